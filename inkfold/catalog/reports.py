@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from inkfold.catalog.registry import SQL_STAMP, query, stamp
 from inkfold.catalog.views import BASE, TEST, Views
-from inkfold.functions.ranking import first_k
 from inkfold.operators import daily_report as H
 from inkfold.operators import investment_report as I
 from inkfold.operators.incremental import report_limit
-from inkfold.session import run_folder
+from inkfold.session import materialize, run_folder
 from inkfold.sources import sinks
 
 STAMP = "2024-01-05 08:00:00"
@@ -181,7 +180,7 @@ left join h on h.date = o.date"""
 
 
 def _daily_text(v: Views):
-    batch = report_limit(v.batch, TEST.daily.limit)
+    batch = materialize(v.batch_of(report_limit(v.articles, TEST.daily.limit)))
     return H.render_report(H.report_lines(batch, STAMP, TEST.site, bounded=True))
 
 
@@ -196,7 +195,7 @@ def sink_report_text(v: Views):
     """The texts written per date and read back; whole-file reading undoes the line split."""
     path = run_folder(v.spark, "reports")
     sinks.write_report_text(_daily_text(v), path)
-    stored = v.spark.read.option("wholetext", True).text(path)
+    stored = v.spark.read.text(path, wholetext=True)
     return stored.select(
         F.col("date").cast("date").alias("date"),
         F.regexp_replace("value", r"\n\z", "").alias("report"),
@@ -351,7 +350,5 @@ left join lo on lo.date = l.date left join ac on ac.date = l.date"""
 @query("render_investment_report", _SQL_INVESTMENT, "batch2")
 def render_investment_report(v: Views):
     """One text per day over the report's own limit of articles."""
-    batch = first_k(
-        v.batch2, ["date"], [F.col(c) for c in I.ORDER], TEST.investment.limit, "batch_no"
-    )
+    batch = materialize(v.batch2_of(report_limit(v.articles, TEST.investment.limit)))
     return I.render_investment_report(I.investment_lines(batch, STAMP, bounded=True))

@@ -200,8 +200,15 @@ class Views:
 
     @cached_property
     def batch(self) -> DataFrame:
+        return self.batch_of(self.articles)
+
+    @cached_property
+    def batch2(self) -> DataFrame:
+        return self.batch2_of(self.articles)
+
+    @staticmethod
+    def batch_of(a: DataFrame) -> DataFrame:
         """Report rows: gate and priority by rule, the analysis built from the text."""
-        a = self.articles
         title, content = F.col("title"), F.col("content")
         issues = R.report_gate_issues(title, content, TEST.gate)
         points = F.split(content, "\n")
@@ -237,8 +244,8 @@ class Views:
             )
         )
 
-    @cached_property
-    def batch2(self) -> DataFrame:
+    @staticmethod
+    def batch2_of(a: DataFrame) -> DataFrame:
         """Investment report rows; importance and action follow the event type."""
         kind = F.col("event_type")
         content = F.col("content")
@@ -257,7 +264,7 @@ class Views:
             .alias("action_required"),
             F.lit("low").alias("confidence"),
         )
-        return self.articles.select(
+        return a.select(
             "date",
             "article_id",
             "title",

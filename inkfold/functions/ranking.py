@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkfold.session import ensure_checkpoint_dir
+from inkfold.session import materialize
 
 
 def first_k(df: DataFrame, group: list[str], order: list[Column], k: int, number: str) -> DataFrame:
@@ -34,12 +34,10 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], number: str)
     narrow: join wide ones back by key afterwards. The sorted rows are checkpointed
     because both halves of the plan must see the same partition borders.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
+    placed = materialize(
         df.sort(*group, *order)
         .withColumn("_slot", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_slot", 33))
-        .checkpoint()
     )
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1

@@ -11,13 +11,14 @@ from inkfold.operators.daily_report import render_report, report_lines
 from inkfold.operators.incremental import (
     enabled_accounts,
     incremental_batch,
+    report_batch,
     report_limit,
     snapshot_rollup,
-    today_articles_join,
 )
 from inkfold.operators.investment_report import investment_lines, render_investment_report
 from inkfold.operators.responses import attach_responses_v1, attach_responses_v2
 from inkfold.params import Params
+from inkfold.session import materialize
 
 
 def collect(
@@ -46,25 +47,6 @@ def run_snapshots(accounts: DataFrame, kept: DataFrame, day: Column, params: Par
     return snapshot_rollup(runs, rows, params.crawl)
 
 
-# Up to this many articles per day their ids go to every executor: a decade of days at
-# 40 bytes an id stays under 30 MB.
-BROADCAST_LIMIT = 200
-
-
-def report_batch(index: DataFrame, documents: DataFrame, limit: int) -> DataFrame:
-    """The articles of each day's report: index rows with a document, first ``limit``.
-
-    The limit is taken on index columns; only the articles that remain fetch their text,
-    and for a report-sized limit the text table is filtered in place, not shuffled.
-    """
-    present = index.join(documents.select("article_id"), "article_id", "left_semi")
-    chosen = report_limit(present.withColumn("date", F.to_date("crawl_time")), limit)
-    if limit <= BROADCAST_LIMIT:
-        ids = F.broadcast(chosen.select("article_id"))
-        documents = documents.join(ids, "article_id", "left_semi")
-    return today_articles_join(chosen, documents)
-
-
 def daily_batch(
     articles: DataFrame, responses: DataFrame | None, params: Params = Params()
 ) -> DataFrame:
@@ -85,7 +67,8 @@ def daily_report(
     params: Params = Params(),
 ) -> DataFrame:
     """One report text per day, limited to the day's first articles."""
-    batch = daily_batch(report_batch(index, documents, params.daily.limit), responses, params)
+    chosen = report_batch(index, documents, params.daily.limit)
+    batch = materialize(daily_batch(chosen, responses, params))
     return render_report(
         report_lines(batch, generated_at, params.site, params.daily, bounded=True)
     )
@@ -104,5 +87,5 @@ def investment_report(
     else:
         batch = attach_responses_v2(chosen, responses, params.entity)
     return render_investment_report(
-        investment_lines(batch, generated_at, params.investment, bounded=True)
+        investment_lines(materialize(batch), generated_at, params.investment, bounded=True)
     )

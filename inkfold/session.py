@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package relies on. The time zone is fixed because
 # crawl days are derived from timestamps.
@@ -71,3 +71,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """``DataFrame.checkpoint`` needs a directory; keep the one the cluster has set."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the checkpoint folder, where a plan reads it several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

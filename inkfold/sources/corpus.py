@@ -56,7 +56,8 @@ def parse_documents(documents: DataFrame, raw: str = "raw", path: str = "path")
             "_l3": at(3),
             "_l4": at(4),
             "_l6": at(6),
-            "_rest": at(_HEADER_LINES),
+            # Some writers end a file with a line break.
+            "_rest": F.rtrim(at(_HEADER_LINES), F.lit("\n")),
         }
     )
     well_formed = F.coalesce(
@@ -99,8 +100,7 @@ def scan_article_corpus(spark: SparkSession, root: str, glob: str = USER_FOLDERS
     files should be converted once with ``write_articles`` and read from there.
     """
     documents = (
-        spark.read.option("wholetext", True)
-        .text(f"{root}/{glob}")
+        spark.read.text(f"{root}/{glob}", wholetext=True)
         .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("path"))
     )
     return parse_documents(documents)

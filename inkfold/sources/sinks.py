@@ -39,7 +39,6 @@ def write_markdown(articles: DataFrame, path: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("user_id", "article_id")
-        .option("lineSep", "")
         .text(path)
     )
 
@@ -77,7 +76,6 @@ def write_report_text(reports: DataFrame, path: str, column: str = "report") ->
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
-        .option("lineSep", "\n")
         .text(path)
     )
 
