@@ -146,34 +146,45 @@ def _sql_section(name: str, title: str, lines: str) -> str:
   from s where priority = '{name}' group by 1)"""
 
 
+_SQL_HEAD = """['# 📊 价值投资日报', '', '**日期**：' || o.date, '', '---', '', '## 一、概览', '',
+  '- **今日新增**：' || total || ' 篇', '- **有效分析**：' || passed || ' 篇（内容 > 200 字）',
+  '- **无效文章**：' || (total - passed) || ' 篇（短状态/评论）', '', '---', '', '## 二、优先级分类', '',
+  '| 优先级 | 数量 | 说明 |', '|--------|------|------|',
+  '| 🔴 必读 | ' || must_read || ' | 高质量长文，深度分析 |',
+  '| 🟡 值得关注 | ' || worth_reading || ' | 有价值的观点和分析 |',
+  '| 🔵 参考 | ' || reference || ' | 短状态、预告类 |', '', '---', '', '## 三、文章集合', '']"""
+_SQL_ENTITY_HEAD = """['---', '', '## 四、相关股票汇总', '', '| 股票 | 出现次数 | 相关文章 |',
+  '|------|----------|----------|']"""
+_SQL_TAIL = f"""['', '---', '', '## 五、今日总结', '', '- **主要话题**：' || coalesce(topics, ''),
+  '- **热门股票**：' || coalesce(hot, '无'), '', '---', '', '*报告生成时间：{STAMP}*', '*分析模型：智谱 GLM-5*']"""
+_SQL_ENTITY_LINE = "'| ' || entity || ' | ' || mentions || ' | ' || links || ' |'"
+
+
+def _sql_day(source: str) -> str:
+    """Per-day values of the fixed lines."""
+    return f"""
+o as (select date, count(*) as total, count(*) filter (where quality_passed) as passed
+  from {source} group by 1),
+p as ({_SQL_COUNTS.format(source)}),
+t as (select date, string_agg(category, ', ' order by category) as topics
+  from (select distinct date, category from {source} where quality_passed) group by 1),
+h as (select date, string_agg(entity, ', ' order by place) as hot from hot group by 1)"""
+
+
 _SQL_REPORT = f"""
 with chosen as (select * exclude (k) from (select *, row_number() over (partition by date
   order by crawl_time, article_id) as k from batch) where k <= 20),
 s as ({_SQL_SECTIONS.format('chosen')}), {_SQL_MENTIONS.format('chosen')}, {_SQL_FIRST3}, {_SQL_HOT},
-o as (select date, count(*) as total, count(*) filter (where quality_passed) as passed from chosen group by 1),
-p as ({_SQL_COUNTS.format('chosen')}),
+{_sql_day('chosen')},
 m as {_sql_section('must_read', '### 🔴 必读文章', _SQL_DETAIL)},
 w as {_sql_section('worth_reading', '### 🟡 值得关注', _SQL_DETAIL)},
 r as {_sql_section('reference', '### 🔵 参考文章', _SQL_BRIEF)},
-e as (select date, array_to_string(['---', '', '## 四、相关股票汇总', '', '| 股票 | 出现次数 | 相关文章 |',
-  '|------|----------|----------|'], chr(10)) || chr(10)
-  || string_agg('| ' || entity || ' | ' || mentions || ' | ' || links || ' |', chr(10)
-    order by mentions desc, first_time, first_article, first_place) as t from entities group by 1),
-t as (select date, string_agg(category, ', ' order by category) as topics
-  from (select distinct date, category from chosen where quality_passed) group by 1),
-h as (select date, string_agg(entity, ', ' order by place) as hot from hot group by 1)
-select o.date, array_to_string(['# 📊 价值投资日报', '', '**日期**：' || o.date, '', '---', '', '## 一、概览', '',
-  '- **今日新增**：' || total || ' 篇', '- **有效分析**：' || passed || ' 篇（内容 > 200 字）',
-  '- **无效文章**：' || (total - passed) || ' 篇（短状态/评论）', '', '---', '', '## 二、优先级分类', '',
-  '| 优先级 | 数量 | 说明 |', '|--------|------|------|',
-  '| 🔴 必读 | ' || must_read || ' | 高质量长文，深度分析 |',
-  '| 🟡 值得关注 | ' || worth_reading || ' | 有价值的观点和分析 |',
-  '| 🔵 参考 | ' || reference || ' | 短状态、预告类 |', '', '---', '', '## 三、文章集合', ''], chr(10))
+e as (select date, array_to_string({_SQL_ENTITY_HEAD}, chr(10)) || chr(10)
+  || string_agg({_SQL_ENTITY_LINE}, chr(10)
+    order by mentions desc, first_time, first_article, first_place) as t from entities group by 1)
+select o.date, array_to_string({_SQL_HEAD}, chr(10))
   || coalesce(chr(10) || m.t, '') || coalesce(chr(10) || w.t, '') || coalesce(chr(10) || r.t, '')
-  || coalesce(chr(10) || e.t, '') || chr(10)
-  || array_to_string(['', '---', '', '## 五、今日总结', '', '- **主要话题**：' || coalesce(topics, ''),
-  '- **热门股票**：' || coalesce(hot, '无'), '', '---', '', '*报告生成时间：{STAMP}*', '*分析模型：智谱 GLM-5*'],
-  chr(10)) as report
+  || coalesce(chr(10) || e.t, '') || chr(10) || array_to_string({_SQL_TAIL}, chr(10)) as report
 from o join p on p.date = o.date left join m on m.date = o.date left join w on w.date = o.date
 left join r on r.date = o.date left join e on e.date = o.date left join t on t.date = o.date
 left join h on h.date = o.date"""
@@ -202,23 +213,31 @@ def sink_report_text(v: Views):
     )
 
 
+_SQL_UNNEST = "unnest(lines) as line, cast(generate_subscripts(lines, 1) - 1 as integer) as line_no"
+
+
 @query(
     "report_lines",
     f"""
-with s as ({_SQL_SECTIONS.format('batch')}),
-x as (select date, priority, article_id, number, case when priority = 'reference'
-    then {_SQL_BRIEF} else {_SQL_DETAIL} end as lines from s),
-y as (select date, case priority when 'must_read' then 11 when 'worth_reading' then 21 else 31 end as block,
-  number, unnest(lines) as line, cast(generate_subscripts(lines, 1) - 1 as integer) as line_no from x)
-select * from y""",
+with s as ({_SQL_SECTIONS.format('batch')}), {_SQL_MENTIONS.format('batch')}, {_SQL_FIRST3}, {_SQL_HOT},
+{_sql_day('batch')},
+x as (select date, case priority when 'must_read' then 11 when 'worth_reading' then 21 else 31 end as block,
+    number, case when priority = 'reference' then {_SQL_BRIEF} else {_SQL_DETAIL} end as lines from s
+  union all select o.date, 0, 0, {_SQL_HEAD} from o join p on p.date = o.date
+  union all select date, 10, 0, ['### 🔴 必读文章', ''] from p where must_read > 0
+  union all select date, 20, 0, ['### 🟡 值得关注', ''] from p where worth_reading > 0
+  union all select date, 30, 0, ['### 🔵 参考文章', ''] from p where reference > 0
+  union all select distinct date, 50, 0, {_SQL_ENTITY_HEAD} from entities
+  union all select date, 51, -mentions, [{_SQL_ENTITY_LINE}] from entities
+  union all select o.date, 60, 0, {_SQL_TAIL} from o left join t on t.date = o.date
+    left join h on h.date = o.date)
+select date, block, number, {_SQL_UNNEST} from x""",
     "batch",
 )
 def report_lines(v: Views):
-    """Article lines of the whole table's reports, without a report limit."""
-    lines = H.report_lines(v.batch, STAMP, TEST.site)
-    return lines.filter(F.col("block").isin(11, 21, 31)).select(
-        "date", "block", F.col("place.a").alias("number"), "line", "line_no"
-    )
+    """Every line of the whole table's reports, without a report limit."""
+    lines = H.report_lines(materialize(v.batch), STAMP, TEST.site)
+    return lines.select("date", "block", F.col("place.a").alias("number"), "line", "line_no")
 
 
 # --- investment report ---

@@ -22,6 +22,7 @@ from inkfold.params import (
     SiteParams,
 )
 from inkfold.session import configure
+from inkfold.sources.tables import spread
 
 BASE = "https://site.example"
 # Starts at a boundary both regular expression dialects see alike.
@@ -66,6 +67,9 @@ SCHEMAS = {
     "supplier": "s_suppkey bigint, s_name string",
 }
 
+# Tables with long texts, and the key that spreads them.
+SPREAD_BY = {"documents": "doc_id", "pages": "page_id"}
+
 
 class Views:
     """The views over one test folder; each is built when first asked for."""
@@ -75,7 +79,8 @@ class Views:
         self.sf = sf
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf}/{name}.parquet")
+        rows = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf}/{name}.parquet")
+        return spread(rows, SPREAD_BY[name]) if name in SPREAD_BY else rows
 
     @cached_property
     def pages(self) -> DataFrame:

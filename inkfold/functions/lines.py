@@ -33,16 +33,23 @@ def lines_if(condition: Column, block: Column) -> Column:
     )
 
 
-def line_rows(df: DataFrame, block: int, lines: Column, order: Column | None = None) -> DataFrame:
-    """``date, block, place, line_no, line`` from one array of lines per row."""
-    return df.select(
-        "date",
-        F.lit(block).alias("block"),
-        (place() if order is None else order).alias("place"),
-        F.posexplode(lines).alias("line_no", "line"),
+def keyed(block: int | Column, lines: Column, order: Column | None = None) -> Column:
+    """The lines with their order keys, as an array of structs."""
+    at = place() if order is None else order
+    number = F.lit(block) if isinstance(block, int) else block
+    return F.transform(
+        lines,
+        lambda line, i: F.named_struct(
+            F.lit("block"), number, F.lit("place"), at, F.lit("line_no"), i, F.lit("line"), line
+        ),
     )
 
 
+def line_rows(df: DataFrame, *keyed_lines: Column) -> DataFrame:
+    """``date, block, place, line_no, line`` from the keyed lines of each row."""
+    return df.select("date", F.inline(F.concat(*keyed_lines)))
+
+
 def render_lines(lines: DataFrame) -> DataFrame:
     """One text per day. Only for days held small by a report limit."""
     return (

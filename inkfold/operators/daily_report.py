@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkfold.functions.lines import line_rows, lines_if, lines_of, place, render_lines
+from inkfold.functions.lines import keyed, line_rows, lines_if, lines_of, place, render_lines
 from inkfold.functions.ranking import first_k, number_rows
 from inkfold.functions.text import cut, fill, text
 from inkfold.params import DailyReportParams, SiteParams
@@ -49,15 +49,19 @@ def article_sections(batch: DataFrame, bounded: bool = False) -> DataFrame:
 
 
 def entity_rows(batch: DataFrame) -> DataFrame:
-    """One narrow row per mention of an entity, in article and list order."""
-    return batch.filter(F.col("analysis").isNotNull()).select(
+    """One narrow row per mention of an entity, in article and list order.
+
+    The outer form with a filter behind it: the inner one makes the optimizer test the
+    list for emptiness further down, which evaluates an extracted list several times.
+    """
+    return batch.select(
         "date",
         F.struct(*ORDER).alias("ord"),
         "user_id",
         "article_id",
         text("title").alias("title"),
-        F.posexplode("analysis.related_stocks").alias("place", "entity"),
-    )
+        F.posexplode_outer("analysis.related_stocks").alias("place", "entity"),
+    ).filter(F.col("entity").isNotNull())
 
 
 def article_url(site: SiteParams, p: DailyReportParams) -> Column:
@@ -223,6 +227,78 @@ def article_brief_rows(
     return _exploded(sections.filter(F.col("priority") == "reference"), _brief_lines(p, site))
 
 
+def _day_totals(batch: DataFrame) -> DataFrame:
+    """Everything the fixed lines of a day need, in one aggregation."""
+    total, passed = F.count(F.lit(1)), F.count_if("quality_passed")
+    return batch.groupBy("date").agg(
+        total.alias("total"),
+        passed.alias("passed"),
+        (total - passed).alias("failed"),
+        *[F.count_if(F.col("priority") == p).alias(p) for p in PRIORITIES],
+        F.array_join(F.array_sort(F.collect_set("analysis.category")), ", ").alias("topics"),
+        F.coalesce(
+            F.bool_or(F.size("analysis.related_stocks") > 0), F.lit(False)
+        ).alias("has_entities"),
+    )
+
+
+def _fixed_lines(
+    batch: DataFrame, generated_at: Column, p: DailyReportParams
+) -> DataFrame:
+    hot = (
+        hot_stocks(batch, p)
+        .groupBy("date")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "entity"))).alias("_hot"))
+        .select("date", F.array_join(F.transform("_hot", lambda x: x["entity"]), ", ").alias("hot"))
+    )
+    head = {c: F.col(c) for c in ("total", "passed", "failed", *PRIORITIES)}
+    head["date"] = F.date_format("date", "yyyy-MM-dd")
+    tail = {
+        "topics": F.col("topics"),
+        "hot": F.coalesce("hot", F.lit(p.none)),
+        "generated_at": generated_at,
+        "model": F.lit(p.model),
+    }
+    titles = [
+        keyed(10 * rank, lines_if(F.col(name) > 0, lines_of(title, "")))
+        for rank, (name, title) in enumerate(p.section_titles, 1)
+    ]
+    return line_rows(
+        _day_totals(batch).join(hot, "date", "left"),
+        keyed(0, lines_of(*[fill(x, **head) for x in p.head])),
+        *titles,
+        keyed(50, lines_if(F.col("has_entities"), lines_of(*p.entity_head))),
+        keyed(60, lines_of(*[fill(x, **tail) for x in p.tail])),
+    )
+
+
+def _article_lines(
+    sections: DataFrame, site: SiteParams, p: DailyReportParams
+) -> DataFrame:
+    order = [name for name, _ in p.section_titles]
+    block = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("priority")) * 10 + 1
+    lines = F.when(F.col("priority") == "reference", _brief_lines(p, site)).otherwise(
+        _detail_lines(p, site)
+    )
+    return line_rows(sections, keyed(block.cast("int"), lines, place(F.col("number"))))
+
+
+def _entity_lines(batch: DataFrame, site: SiteParams, p: DailyReportParams) -> DataFrame:
+    first = F.col("first")
+    line = F.concat(
+        F.lit("| "), F.col("entity"), F.lit(" | "), F.col("mentions").cast("string"),
+        F.lit(" | "), F.col("links"), F.lit(" |"),
+    )
+    # Count descending, then first mention.
+    mention = F.concat_ws(
+        "/",
+        F.date_format(first["ord"]["crawl_time"], "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        first["ord"]["article_id"],
+    )
+    order = place(-F.col("mentions"), mention, first["place"])
+    return line_rows(stock_mentions(batch, site, p), keyed(51, lines_of(line), order))
+
+
 def report_lines(
     batch: DataFrame,
     generated_at: Column | str,
@@ -233,104 +309,15 @@ def report_lines(
     """Every line of every day's report: ``date, block, place, line_no, line``.
 
     Sorting by (block, place, line_no) gives the report; sections without rows have no
-    lines. This form has no size limit: sort and write it by range for a huge day.
+    lines. This form has no size limit: sort and write it by range for a huge day. The
+    batch is read several times, so it should be a stored or materialized table.
     """
     stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
-    numbers = report_overview(batch).join(priority_counts(batch), "date")
-    head = line_rows(
-        numbers,
-        0,
-        F.array(
-            *[
-                fill(
-                    line,
-                    date=F.date_format("date", "yyyy-MM-dd"),
-                    total=F.col("total"),
-                    passed=F.col("passed"),
-                    failed=F.col("failed"),
-                    **{x: F.col(x) for x in PRIORITIES},
-                )
-                for line in p.head
-            ]
-        ),
-    )
-    parts = [head]
-    sections = article_sections(batch, bounded)
-    for rank, (name, title) in enumerate(p.section_titles, 1):
-        parts.append(
-            line_rows(numbers.filter(F.col(name) > 0), 10 * rank, F.array(F.lit(title), F.lit("")))
-        )
-        rows = sections.filter(F.col("priority") == name)
-        lines = _brief_lines(p, site) if name == "reference" else _detail_lines(p, site)
-        parts.append(
-            line_rows(
-                rows, 10 * rank + 1, lines, place(F.col("number"))
-            )
-        )
-    entities = stock_mentions(batch, site, p)
-    with_entities = entities.select("date").distinct()
-    parts.append(line_rows(with_entities, 50, F.array(*[F.lit(x) for x in p.entity_head])))
-    first = F.col("first")
-    parts.append(
-        line_rows(
-            entities,
-            51,
-            F.array(
-                F.concat(
-                    F.lit("| "), F.col("entity"), F.lit(" | "), F.col("mentions").cast("string"),
-                    F.lit(" | "), F.col("links"), F.lit(" |"),
-                )
-            ),
-            # Count descending, then first mention.
-            place(
-                -F.col("mentions"),
-                F.concat_ws(
-                    "/",
-                    F.date_format(first["ord"]["crawl_time"], "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-                    first["ord"]["article_id"],
-                ),
-                first["place"],
-            ),
-        )
-    )
-    topics = topics_distinct(batch).groupBy("date").agg(
-        F.array_join(F.array_sort(F.collect_list("category")), ", ").alias("topics")
-    )
-    hot = (
-        hot_stocks(batch, p)
-        .groupBy("date")
-        .agg(
-            F.array_join(
-                F.transform(
-                    F.array_sort(F.collect_list(F.struct("place", "entity"))), lambda x: x["entity"]
-                ),
-                ", ",
-            ).alias("hot")
-        )
-    )
-    summary = numbers.join(topics, "date", "left").join(hot, "date", "left")
-    parts.append(
-        line_rows(
-            summary,
-            60,
-            F.array(
-                *[
-                    fill(
-                        line,
-                        topics=F.coalesce("topics", F.lit("")),
-                        hot=F.coalesce("hot", F.lit(p.none)),
-                        generated_at=stamp,
-                        model=F.lit(p.model),
-                    )
-                    for line in p.tail
-                ]
-            ),
-        )
+    return (
+        _fixed_lines(batch, stamp, p)
+        .unionByName(_article_lines(article_sections(batch, bounded), site, p))
+        .unionByName(_entity_lines(batch, site, p))
     )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
 
 
 def render_report(lines: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkfold.functions import rules as R
-from inkfold.functions.lines import line_rows, lines_if, lines_of, place, render_lines
+from inkfold.functions.lines import keyed, line_rows, lines_if, lines_of, place, render_lines
 from inkfold.functions.ranking import first_k, number_rows
 from inkfold.functions.text import cut, fill, text
 from inkfold.params import InvestmentReportParams
@@ -58,7 +58,8 @@ def article_list(
 
 def stocks_union(batch: DataFrame) -> DataFrame:
     """Distinct entities of each day."""
-    return batch.select("date", F.explode("analysis.related_stocks").alias("entity")).distinct()
+    named = batch.select("date", F.explode_outer("analysis.related_stocks").alias("entity"))
+    return named.filter(F.col("entity").isNotNull()).distinct()
 
 
 def importance_sections(
@@ -180,40 +181,49 @@ def _low_lines() -> Column:
     return lines_of(F.concat(F.lit("- ["), F.col("title"), F.lit("]("), F.col("url"), F.lit(")")))
 
 
-def investment_lines(
-    batch: DataFrame,
-    generated_at: Column | str,
-    p: InvestmentReportParams = InvestmentReportParams(),
-    bounded: bool = False,
-) -> DataFrame:
-    """Every line of every day's report, keyed as in ``functions.lines``."""
-    stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
-    routed = importance_sections(batch, p)
-    route = F.col("route")
-    days = routed.groupBy("date").agg(
+def _fixed_lines(batch: DataFrame, generated_at: Column, p: InvestmentReportParams) -> DataFrame:
+    route = R.importance(F.col("analysis.importance"))
+    days = batch.groupBy("date").agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(route == r).alias(r) for r in ("high", "medium", "low")],
     )
-    day = F.date_format("date", "yyyy-MM-dd")
-    head = lines_of(*[fill(x, date=day, total=F.col("total")) for x in p.head])
-    listed = article_list(batch, p, bounded)
-    entities = stocks_union(batch).groupBy("date").agg(
+    names = stocks_union(batch).groupBy("date").agg(
         F.array_join(F.array_sort(F.collect_list("entity")), ", $").alias("names")
     )
-    time_key = place(
-        b=F.concat_ws(
-            "/", F.date_format("crawl_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("article_id")
-        )
+    head = {"date": F.date_format("date", "yyyy-MM-dd"), "total": F.col("total")}
+    tail = {"generated_at": generated_at, "model": F.lit(p.model)}
+    titles = ((10, "high", p.high_title), (20, "medium", p.medium_title), (30, "low", p.low_title))
+    entities = lines_of(
+        p.entities_title, "", F.concat(F.lit("$**"), F.col("names"), F.lit("**")), ""
+    )
+    return line_rows(
+        days.join(names, "date", "left"),
+        keyed(0, lines_of(*[fill(x, **head) for x in p.head])),
+        keyed(2, lines_of("")),
+        keyed(3, lines_if(F.col("names").isNotNull(), entities)),
+        *[keyed(n, lines_if(F.col(name) > 0, lines_of(title, ""))) for n, name, title in titles],
+        keyed(32, lines_if(F.col("low") > 0, lines_of(""))),
+        keyed(40, lines_of(p.actions_title, "")),
+        keyed(50, lines_of(*[fill(x, **tail) for x in p.tail])),
+    )
+
+
+def _section_lines(batch: DataFrame, p: InvestmentReportParams) -> DataFrame:
+    route = F.col("route")
+    block = F.when(route == "high", 11).when(route == "medium", 21).otherwise(31)
+    lines = (
+        F.when(route == "high", _high_lines(p))
+        .when(route == "medium", _medium_lines())
+        .otherwise(_low_lines())
+    )
+    order = F.concat_ws(
+        "/", F.date_format("crawl_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("article_id")
     )
+    return line_rows(importance_sections(batch, p), keyed(block, lines, place(b=order)))
 
-    def section(block: int, name: str, title: str, body: Column) -> list[DataFrame]:
-        return [
-            line_rows(days.filter(F.col(name) > 0), block, lines_of(title, "")),
-            line_rows(routed.filter(route == name), block + 1, body, time_key),
-        ]
 
-    actions = action_list(batch, p)
-    action_lines = F.concat(
+def _action_lines(batch: DataFrame, p: InvestmentReportParams) -> DataFrame:
+    lines = F.concat(
         lines_of(F.concat(F.lit("### "), F.col("action"))),
         F.transform("shown", lambda t: F.concat(F.lit("- "), t)),
         lines_if(
@@ -222,30 +232,29 @@ def investment_lines(
         ),
         lines_of(""),
     )
-    tail = lines_of(*[fill(x, generated_at=stamp, model=F.lit(p.model)) for x in p.tail])
-    parts = [
-        line_rows(days, 0, head),
-        line_rows(listed, 1, lines_of(F.col("line")), place(F.col("number"))),
-        line_rows(days, 2, lines_of("")),
-        line_rows(
-            entities,
-            3,
-            lines_of(
-                p.entities_title, "", F.concat(F.lit("$**"), F.col("names"), F.lit("**")), ""
-            ),
-        ),
-        *section(10, "high", p.high_title, _high_lines(p)),
-        *section(20, "medium", p.medium_title, _medium_lines()),
-        *section(30, "low", p.low_title, _low_lines()),
-        line_rows(days.filter(F.col("low") > 0), 32, lines_of("")),
-        line_rows(days, 40, lines_of(p.actions_title, "")),
-        line_rows(actions, 41, action_lines, place(b=F.col("action"))),
-        line_rows(days, 50, tail),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return line_rows(action_list(batch, p), keyed(41, lines, place(b=F.col("action"))))
+
+
+def investment_lines(
+    batch: DataFrame,
+    generated_at: Column | str,
+    p: InvestmentReportParams = InvestmentReportParams(),
+    bounded: bool = False,
+) -> DataFrame:
+    """Every line of every day's report, keyed as in ``functions.lines``.
+
+    The batch is read several times, so it should be a stored or materialized table.
+    """
+    stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
+    listed = line_rows(
+        article_list(batch, p, bounded), keyed(1, lines_of(F.col("line")), place(F.col("number")))
+    )
+    return (
+        _fixed_lines(batch, stamp, p)
+        .unionByName(listed)
+        .unionByName(_section_lines(batch, p))
+        .unionByName(_action_lines(batch, p))
+    )
 
 
 def render_investment_report(lines: DataFrame) -> DataFrame:

@@ -22,6 +22,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Deal a coarsely split input out to all cores by key.
+
+    Text rules cost far more than moving a small table once. An input with at least one
+    split per core, as any large one has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *key)
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
