@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.functions import extract as X
-from inkfold.functions.html_select import with_element_texts
+from inkfold.functions.html_select import split_elements, with_element_texts
 from inkfold.functions.text import first_int, strip, text
 from inkfold.params import SiteParams
 
@@ -130,3 +130,63 @@ def merge_list_detail(items: DataFrame, details: DataFrame) -> DataFrame:
 def page_title_of(html: str = "html"):
     """The ``<title>`` text of a stored page."""
     return strip(F.regexp_extract(F.col(html), X.PAGE_TITLE, 1))
+
+
+def parse_list_items(pages: DataFrame, site: SiteParams) -> DataFrame:
+    """List items of stored author pages (``user_id, html``): one row per timeline item
+    that links to an article, with its place ``pos`` in the page."""
+    fields = {
+        "title": site.item_title_selector,
+        "content": site.item_content_selector,
+        "publish_time": site.item_time_selector,
+        "_likes": site.item_likes_selector,
+    }
+    items = split_elements(pages.select("user_id", "html"), "html", site.item_selector, fields)
+    linked = extract_article_id(extract_article_links(items, site), site, "link")
+    titled = title_fallback_first_line(linked)
+    return titled.select(
+        "user_id",
+        "article_id",
+        "title",
+        text("content").alias("content"),
+        text("publish_time").alias("publish_time"),
+        "link",
+        first_int(text("_likes"), r"(\d+)").alias("likes"),
+        F.lit(0).alias("comments"),
+        F.col("pos").cast("bigint").alias("pos"),
+    )
+
+
+def page_details(pages: DataFrame, site: SiteParams) -> DataFrame:
+    """One detail row per stored article page (``url, html``); verification walls are left out.
+
+    Title and counters come from built-in functions, element texts from one parser pass.
+    """
+    titled = pages.select("url", "html", page_title_of().alias("_page_title"))
+    open_pages = flag_blocked_pages(titled, site, "_page_title").filter(~F.col("blocked"))
+    counted = extract_page_counters(
+        open_pages, {"likes": site.likes_pattern, "comments": site.comments_pattern}
+    )
+    fallbacks = {f"_fb{i}": s for i, s in enumerate(site.body_fallback_selectors)}
+    texts = with_element_texts(
+        counted,
+        "html",
+        {
+            "_author": site.author_selector,
+            "_time": site.time_selector,
+            "_main": site.body_selector,
+            **fallbacks,
+        },
+    )
+    title = X.page_title(F.col("_page_title"), site.title_marker)
+    body, is_column = X.page_body(F.col("_main"), [F.col(n) for n in fallbacks], title)
+    return texts.select(
+        "url",
+        title.alias("title"),
+        text("_author").alias("author"),
+        text("_time").alias("publish_time"),
+        body.alias("content"),
+        "likes",
+        "comments",
+        is_column.alias("is_column"),
+    )

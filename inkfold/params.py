@@ -35,6 +35,15 @@ class SiteParams:
     body_fallback_selectors: tuple[str, ...] = (
         ".status-content", ".article-content", ".status__content", "article",
     )
+    author_selector: str = (
+        '.article__bd__from a, .user-name, .author-name, .status-content a[href*="/u/"]'
+    )
+    time_selector: str = ".article__bd__from .date, .time, .date, .status-content .time"
+    item_selector: str = ".timeline__item"
+    item_title_selector: str = ".article__title, .title, h3, h4"
+    item_content_selector: str = ".content, .status-content, article"
+    item_time_selector: str = ".time, .date"
+    item_likes_selector: str = '.like, [class*="like"]'
 
     @property
     def url_pattern(self) -> str:
