@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -307,7 +308,23 @@ def extract_page_body_fallback(v: Views):
     )
 
 
-@query("extract_page_body_nested")
+# The parser's rules for the tags and character references these pages hold: breaks at
+# block tags, none elsewhere, runs of breaks joined.
+_SQL_NESTED = """
+with a as (select page_id, url, html, regexp_extract(html, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1) as t
+  from pages),
+b as (select *, regexp_replace(regexp_replace(t, '(?i)</?(p|h1|br)\\b[^>]*>', chr(10), 'g'),
+  '<[^>]*>', '', 'g') as u from a),
+c as (select *, {strip} as body from (select *, regexp_replace(regexp_replace(replace(u, '&quot;', '"'),
+  '&amp;?', '&', 'g'), '\\n{{2,}}', chr(10), 'g') as w from b))""".format(strip=sql_strip("w"))
+
+
+@query(
+    "extract_page_body_nested",
+    f"""{_SQL_NESTED}
+select page_id, case when length(body) > 20 then body else {_SQL_TITLE} end as content,
+  false as is_column from c""",
+)
 def extract_page_body_nested(v: Views):
     """The parser path with the site's class selectors; pages have only the last one."""
     titled = v.pages.withColumn("title", X.page_title_of())
@@ -316,6 +333,52 @@ def extract_page_body_nested(v: Views):
     )
 
 
+@query(
+    "page_details",
+    f"""{_SQL_NESTED},
+d as (select *, {_SQL_TITLE} as t0 from c),
+e as (select *, case when contains(t0, ' the ')
+  then {sql_strip("rtrim(rtrim(rtrim(" + sql_strip("split_part(t0, ' the ', 1)") + ", '-'), '—'), '–')")}
+  else t0 end as c0 from d where not contains(t0, '***') and not contains(html, 'spam-'))
+select url, case when length(c0) > 100 then left(c0, 100) || '...' else c0 end as title, '' as author,
+  '' as publish_time,
+  md5(case when length(body) > 20 then body when length(c0) > 100 then left(c0, 100) || '...' else c0 end)
+    as content_md5,
+  coalesce(try_cast(regexp_extract(html, 'track\\((\\d+)\\)', 1) as integer), 0) as likes,
+  coalesce(try_cast(regexp_extract(html, '[?&;]page=(\\d+)', 1) as integer), 0) as comments,
+  false as is_column from e""",
+)
+def page_details(v: Views):
+    """The whole detail row of every stored page."""
+    return X.page_details(v.pages, SITE).select(
+        "url", "title", "author", "publish_time", F.md5("content").alias("content_md5"),
+        "likes", "comments", "is_column",
+    )
+
+
+LIST_SITE = replace(
+    SITE, item_selector="nav li", item_title_selector="a", item_content_selector="li a",
+    item_time_selector=".none", item_likes_selector="li",
+)
+
+
+@query(
+    "parse_list_items",
+    """
+with n as (select page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) as items from pages),
+i as (select page_id, unnest(items) as item, generate_subscripts(items, 1) - 1 as pos from n),
+t as (select *, 'https://site.example' || regexp_extract(item, 'href="([^"]*)"', 1) as link,
+  replace(replace(regexp_extract(item, '>(.*?)</a>', 1), '&amp;', '&'), '&quot;', '"') as title from i)
+select cast(page_id as varchar) as user_id, left(md5(link), 12) as article_id, title, title as content,
+  '' as publish_time, link, coalesce(try_cast(regexp_extract(title, '(\\d+)', 1) as integer), 0) as likes,
+  0 as comments, pos from t where regexp_matches(link, '^https://site\\.example/[a-z]+$')""",
+)
+def parse_list_items(v: Views):
+    """The menu entries of a page stand for a timeline."""
+    pages = v.pages.select(F.col("page_id").cast("string").alias("user_id"), "html")
+    return X.parse_list_items(pages, LIST_SITE)
+
+
 @query(
     "derive_user_name",
     f"""
