@@ -74,9 +74,13 @@ def crawl_cap_per_user(
 
 
 def index_dedup(batch: DataFrame, index: DataFrame, order: list[str]) -> DataFrame:
-    """Drop ids the index holds, and all but the first of an id inside the batch."""
-    unseen = batch.join(index.select("article_id"), "article_id", "left_anti")
-    return first_k(unseen, ["article_id"], [F.col(c) for c in order], 1, "_copy").drop("_copy")
+    """Drop ids the index holds, and all but the first of an id inside the batch.
+
+    Copies go first: that happens inside the map tasks, so an id with very many copies
+    does not reach the join, and the join reuses the partitioning by id.
+    """
+    single = first_k(batch, ["article_id"], [F.col(c) for c in order], 1, "_copy").drop("_copy")
+    return single.join(index.select("article_id"), "article_id", "left_anti")
 
 
 def upsert_index(index: DataFrame, rows: DataFrame, order: list[str]) -> DataFrame:
