@@ -69,8 +69,8 @@ from snapshot_headers h left join snapshots s on s.user_id = h.user_id and s.dat
 )
 def scan_snapshots_explode(v: Views):
     path = run_folder(v.spark, "snapshots")
-    sinks.write_snapshots(_nested_snapshots(v), path)
-    rows = tables.scan_snapshots_explode(v.spark, path, "*/*/*.json")
+    _nested_snapshots(v).write.json(path)
+    rows = tables.scan_snapshots_explode(v.spark, path, "*.json", multiline=False)
     return rows.withColumn("crawl_time", F.left("crawl_time", F.lit(19)))
 
 
@@ -171,15 +171,15 @@ left join replaced s on s.user_id = r.user_id and s.date = r.date""",
 def sink_snapshot_overwrite(v: Views):
     """A second run of the last stored day replaces that day and nothing else."""
     path = run_folder(v.spark, "snapshots")
-    sinks.write_snapshots(_nested_snapshots(v), path)
+    sinks.write_snapshots(_nested_snapshots(v), path, 1)
     last = v.runs.agg(F.max("date")).scalar()
     rows = (
         v.state_articles.filter(F.col("is_column") & (F.col("date") == last))
         .withColumn("ord", F.struct("crawl_time", "article_id"))
     )
     rerun = D.snapshot_rollup(v.runs.filter(F.col("date") == last), rows, TEST.crawl)
-    sinks.write_snapshots(rerun, path)
-    return tables.scan_snapshots_explode(v.spark, path, "*/*/*.json").drop("crawl_time")
+    sinks.write_snapshots(rerun, path, 2)
+    return D.explode_snapshots(tables.scan_snapshots(v.spark, path)).drop("crawl_time")
 
 
 @query(

@@ -370,4 +370,4 @@ left join lo on lo.date = l.date left join ac on ac.date = l.date"""
 def render_investment_report(v: Views):
     """One text per day over the report's own limit of articles."""
     batch = materialize(v.batch2_of(report_limit(v.articles, TEST.investment.limit)))
-    return I.render_investment_report(I.investment_lines(batch, STAMP, bounded=True))
+    return I.render_investment_report(I.investment_lines(batch, STAMP))

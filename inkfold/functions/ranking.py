@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkfold.session import materialize
 
 
-def first_k(df: DataFrame, group: list[str], order: list[Column], k: int, number: str) -> DataFrame:
-    """Rows numbered 1..k inside each group, the rest dropped.
+def first_k(df: DataFrame, group: list[str], order: list[str], k: int, number: str) -> DataFrame:
+    """Rows numbered 1..k inside each group in ascending order, the rest dropped.
 
-    The filter on the rank lets the optimizer put a group limit before the shuffle:
-    each map task sends at most k rows of a group, however large the group is.
+    The filter on the rank lets the optimizer put a group limit before the shuffle: each
+    map task sends at most k rows of a group, however large the group is. It does so up
+    to a configured k; beyond that the numbering that needs no limit takes over.
     """
+    largest = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k > largest:
+        return number_rows(df, group, order, number).filter(F.col(number) <= k)
     window = Window.partitionBy(*group).orderBy(*order)
     return (
         df.withColumn(number, F.row_number().over(window))

@@ -82,22 +82,26 @@ def stock_mentions(
 
     Counting combines map-side and the links come from a per-entity limit that applies
     before the shuffle, so an entity most articles mention costs no more than others.
+    Both are partitioned by day and entity already when they meet.
     """
     mentions = entity_rows(batch)
-    counts = mentions.groupBy("date", "entity").agg(
-        F.count(F.lit(1)).alias("mentions"), F.min(F.struct("ord", "place")).alias("first")
-    )
+    counts = mentions.groupBy("date", "entity").agg(F.count(F.lit(1)).alias("mentions"))
     link = F.concat(
         F.lit("["), cut(F.col("title"), p.link_title_chars), F.lit("]("), article_url(site, p), F.lit(")")
     )
+    shown = first_k(mentions, ["date", "entity"], ["ord", "place"], p.links_per_entity, "nth")
     links = (
-        first_k(
-            mentions, ["date", "entity"], [F.col("ord"), F.col("place")], p.links_per_entity, "nth"
+        shown.groupBy("date", "entity")
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct("nth", F.struct("ord", "place").alias("at"), link.alias("link")))
+            ).alias("_shown")
         )
-        .groupBy("date", "entity")
-        .agg(F.array_sort(F.collect_list(F.struct("nth", link.alias("link")))).alias("_links"))
         .select(
-            "date", "entity", F.array_join(F.transform("_links", lambda x: x["link"]), ", ").alias("links")
+            "date",
+            "entity",
+            F.array_join(F.transform("_shown", lambda x: x["link"]), ", ").alias("links"),
+            F.col("_shown")[0]["at"].alias("first"),
         )
     )
     return counts.join(links, ["date", "entity"])
@@ -110,7 +114,7 @@ def hot_stocks(batch: DataFrame, p: DailyReportParams = DailyReportParams()) ->
         .groupBy("date", "entity")
         .agg(F.min(F.struct("ord", "place")).alias("first"))
     )
-    return first_k(firsts, ["date"], [F.col("first")], p.hot_entities, "place").drop("first")
+    return first_k(firsts, ["date"], ["first"], p.hot_entities, "place").drop("first")
 
 
 def topics_distinct(batch: DataFrame) -> DataFrame:

@@ -60,9 +60,12 @@ def recent_snapshot_ids(
 
 
 def new_articles_antijoin(items: DataFrame, known: DataFrame) -> DataFrame:
-    """Listed items with an id the user's recent snapshots do not hold."""
+    """Listed items with an id the user's recent snapshots do not hold.
+
+    Repeats among the known ids combine before the shuffle the join needs anyway.
+    """
     return items.filter(text("article_id") != "").join(
-        known.select("user_id", "article_id"), ["user_id", "article_id"], "left_anti"
+        known.select("user_id", "article_id").distinct(), ["user_id", "article_id"], "left_anti"
     )
 
 
@@ -70,7 +73,7 @@ def crawl_cap_per_user(
     new_items: DataFrame, n: int = CrawlParams().articles_per_user, order: str = "pos"
 ) -> DataFrame:
     """The first ``n`` new items of each user in list order."""
-    return first_k(new_items, ["user_id"], [F.col(order)], n, "slot").drop("slot")
+    return first_k(new_items, ["user_id"], [order], n, "slot").drop("slot")
 
 
 def index_dedup(batch: DataFrame, index: DataFrame, order: list[str]) -> DataFrame:
@@ -79,7 +82,7 @@ def index_dedup(batch: DataFrame, index: DataFrame, order: list[str]) -> DataFra
     Copies go first: that happens inside the map tasks, so an id with very many copies
     does not reach the join, and the join reuses the partitioning by id.
     """
-    single = first_k(batch, ["article_id"], [F.col(c) for c in order], 1, "_copy").drop("_copy")
+    single = first_k(batch, ["article_id"], order, 1, "_copy").drop("_copy")
     return single.join(index.select("article_id"), "article_id", "left_anti")
 
 
@@ -235,7 +238,7 @@ def report_limit(
     sorted nor, for a report-sized limit, shuffled.
     """
     keys = rows.select(day, *dict.fromkeys([*order, "article_id"]))
-    chosen = first_k(keys, [day], [F.col(c) for c in order], limit, "batch_no").select(
+    chosen = first_k(keys, [day], list(order), limit, "batch_no").select(
         "article_id", "batch_no"
     )
     return rows.join(_sendable(chosen, limit), "article_id")

@@ -133,7 +133,7 @@ def action_list(
     rows = _actions(batch, p)
     totals = rows.groupBy("date", "action").agg(F.count(F.lit(1)).alias("titles"))
     shown = (
-        first_k(rows, ["date", "action"], [F.col(c) for c in ORDER], p.titles_per_action, "nth")
+        first_k(rows, ["date", "action"], ORDER, p.titles_per_action, "nth")
         .groupBy("date", "action")
         .agg(F.array_sort(F.collect_list(F.struct("nth", "title"))).alias("_shown"))
         .select("date", "action", F.transform("_shown", lambda x: x["title"]).alias("shown"))
@@ -239,15 +239,15 @@ def investment_lines(
     batch: DataFrame,
     generated_at: Column | str,
     p: InvestmentReportParams = InvestmentReportParams(),
-    bounded: bool = False,
 ) -> DataFrame:
     """Every line of every day's report, keyed as in ``functions.lines``.
 
-    The batch is read several times, so it should be a stored or materialized table.
+    For day-limited batches: one line names all entities of a day. The batch is read
+    several times, so it should be a stored or materialized table.
     """
     stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
     listed = line_rows(
-        article_list(batch, p, bounded), keyed(1, lines_of(F.col("line")), place(F.col("number")))
+        article_list(batch, p, bounded=True), keyed(1, lines_of(F.col("line")), place(F.col("number")))
     )
     return (
         _fixed_lines(batch, stamp, p)

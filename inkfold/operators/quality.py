@@ -73,7 +73,7 @@ def quality_summary(gated: DataFrame, p: GateParams = GateParams()) -> DataFrame
         "date", "article_id", "crawl_time", F.array_join("issues", ", ").alias("issue_text")
     )
     first = first_k(
-        failures, ["date"], [F.col("crawl_time"), F.col("article_id")], p.summary_rows, "row_no"
+        failures, ["date"], ["crawl_time", "article_id"], p.summary_rows, "row_no"
     ).drop("crawl_time")
     return quality_log_daily(gated).join(first, "date", "left")
 

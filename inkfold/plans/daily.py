@@ -87,5 +87,5 @@ def investment_report(
     else:
         batch = attach_responses_v2(chosen, responses, params.entity)
     return render_investment_report(
-        investment_lines(materialize(batch), generated_at, params.investment, bounded=True)
+        investment_lines(materialize(batch), generated_at, params.investment)
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DateType,
     IntegerType,
     LongType,
     MapType,
@@ -51,6 +52,15 @@ SNAPSHOT_FILE = _struct(
     date=_S, user_id=_S, article_count=_L, articles=ArrayType(SNAPSHOT_ENTRY)
 )
 
+SNAPSHOT_TABLE = _struct(
+    user_id=_S,
+    date=DateType(),
+    chunk=_I,
+    article_count=_L,
+    articles=ArrayType(_struct(article_id=_S, title=_S, crawl_time=_T)),
+    run_id=_L,
+)
+
 ANALYSIS_V1 = _struct(
     category=_S,
     related_stocks=ArrayType(_S),

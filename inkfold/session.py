@@ -15,6 +15,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Whole pages go through the Arrow stages; a batch of them should stay small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 # Settings that have to be given before the context starts.

@@ -54,18 +54,19 @@ def write_index_rows(rows: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
-def write_snapshots(snapshots: DataFrame, path: str) -> None:
-    """Replace the (user, date) snapshots present in ``snapshots``, leave the others.
+def write_snapshots(snapshots: DataFrame, path: str, run_id: int) -> None:
+    """Store the snapshots of one run; they replace those of the same (user, date).
 
-    The partition columns are kept inside the records too, so a record reads alone.
+    Partitioned by date and run, not by user: a day with very many users stays a few
+    files, and a rerun of the run overwrites its own partition. Replacing happens on
+    reading, where the latest run of a (user, date) counts.
     """
     (
-        snapshots.withColumn("p_user", F.col("user_id"))
-        .withColumn("p_date", F.col("date"))
+        snapshots.withColumn("run_id", F.lit(run_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("p_user", "p_date")
-        .json(path)
+        .partitionBy("date", "run_id")
+        .parquet(path)
     )
 
 

@@ -38,18 +38,47 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def scan_snapshot_files(spark: SparkSession, root: str, glob: str = "*/*.json") -> DataFrame:
-    """Snapshot documents under ``<root>/<user>/<date>.json``."""
+def scan_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot table, each (user, date) as its latest run left it.
+
+    Only keys are aggregated; records of replaced runs drop out in an anti join.
+    """
+    stored = spark.read.schema(schemas.SNAPSHOT_TABLE).parquet(path)
+    replaced = (
+        stored.groupBy("user_id", "date")
+        .agg(F.max("run_id").alias("_latest"), F.min("run_id").alias("_oldest"))
+        .filter(F.col("_latest") > F.col("_oldest"))
+        .select(F.col("user_id").alias("_u"), F.col("date").alias("_d"), "_latest")
+    )
+    stale = (
+        (F.col("user_id") == F.col("_u"))
+        & (F.col("date") == F.col("_d"))
+        & (F.col("run_id") < F.col("_latest"))
+    )
+    return stored.join(replaced, stale, "left_anti").drop("run_id")
+
+
+def snapshot_headers(snapshots: DataFrame) -> DataFrame:
+    """One row per (user, date), empty snapshots included."""
+    return snapshots.select("user_id", "date", "article_count").distinct()
+
+
+def scan_snapshot_files(
+    spark: SparkSession, root: str, glob: str = "*/*.json", multiline: bool = True
+) -> DataFrame:
+    """Snapshot documents: one per ``<root>/<user>/<date>.json``, or JSON lines."""
     return (
         spark.read.schema(schemas.SNAPSHOT_FILE)
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .json(f"{root}/{glob}")
         .withColumn("date", F.to_date("date"))
     )
 
 
-def scan_snapshots_explode(spark: SparkSession, root: str, glob: str = "*/*.json") -> DataFrame:
-    return explode_snapshots(scan_snapshot_files(spark, root, glob))
+def scan_snapshots_explode(
+    spark: SparkSession, root: str, glob: str = "*/*.json", multiline: bool = True
+) -> DataFrame:
+    return explode_snapshots(scan_snapshot_files(spark, root, glob, multiline))
 
 
 def index_rows(documents: DataFrame) -> DataFrame:

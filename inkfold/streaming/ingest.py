@@ -53,7 +53,7 @@ def stream_ingest_exact(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = first_k(batch, ["article_id"], [F.col(c) for c in order], 1, "_copy").drop("_copy")
+        first = first_k(batch, ["article_id"], list(order), 1, "_copy").drop("_copy")
         if path_exists(spark, table):
             earlier = (
                 spark.read.schema(_with_batch(batch.schema)).parquet(table)

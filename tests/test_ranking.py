@@ -5,7 +5,6 @@ from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from inkfold.functions.ranking import first_k, number_rows
 
@@ -29,6 +28,14 @@ def test_numbers_of_a_hot_group_spread_over_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_first_k_beyond_the_optimizer_limit(spark):
+    rows = [("hot" if i % 3 else "cold", i % 7, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, o int, i int")
+    got = first_k(df, ["g"], ["o", "i"], 1500, "n")
+    assert "row_number" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.i: r.n for r in got.collect()} == {i: n for i, n in brute(rows).items() if n <= 1500}
+
+
 def test_null_group_is_a_group(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), ("a", 3)], "g string, o int")
     assert sorted((r.o, r.n) for r in number_rows(df, ["g"], ["o"], "n").collect()) == [(1, 1), (2, 2), (3, 1)]
@@ -41,5 +48,5 @@ def test_first_k_and_numbers_agree(spark, pairs, k):
     want = brute(rows)
     df = spark.createDataFrame(rows, "g string, o int, i int")
     assert {r.i: r.n for r in number_rows(df, ["g"], ["o", "i"], "n").collect()} == want
-    first = first_k(df, ["g"], [F.col("o"), F.col("i")], k, "n")
+    first = first_k(df, ["g"], ["o", "i"], k, "n")
     assert {r.i: r.n for r in first.collect()} == {i: n for i, n in want.items() if n <= k}

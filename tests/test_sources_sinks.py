@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkfold.functions.lines import line_rows, keyed, lines_of, place
-from inkfold.operators.incremental import snapshot_rollup
+from inkfold.operators.incremental import explode_snapshots, snapshot_rollup
 from inkfold.operators.quality import merge_quality_logs
 from inkfold.sources import corpus, sinks, tables
 
@@ -81,17 +81,36 @@ def test_same_day_snapshot_is_replaced_and_others_stay(spark, tmp_path):
         snapshots(spark, [("u", "2024-01-01", "a", "t", 1), ("u", "2024-01-02", "b", "t", 1)],
                   [("u", "2024-01-01"), ("u", "2024-01-02"), ("v", "2024-01-02")]),
         path,
+        1,
     )
-    sinks.write_snapshots(
-        snapshots(spark, [("u", "2024-01-02", "c", "t", 1), ("u", "2024-01-02", "d", "t", 2)], [("u", "2024-01-02")]), path
-    )
-    rows = tables.scan_snapshots_explode(spark, path, "*/*/*.json").collect()
+    for again in (["x"], ["c", "d"]):
+        # Run 2 itself runs twice.
+        rows = [("u", "2024-01-02", a, "t", i) for i, a in enumerate(again)]
+        sinks.write_snapshots(snapshots(spark, rows, [("u", "2024-01-02")]), path, 2)
+    table = tables.scan_snapshots(spark, path)
+    assert tables.snapshot_headers(table).count() == 3
+    rows = explode_snapshots(table).collect()
     got = sorted((r.user_id, str(r.date), r.article_count, r.article_id or "") for r in rows)
     assert got == [
         ("u", "2024-01-01", 1, "a"), ("u", "2024-01-02", 2, "c"), ("u", "2024-01-02", 2, "d"), ("v", "2024-01-02", 0, ""),
     ]
 
 
+def test_snapshot_files(spark, tmp_path):
+    for user, date, ids in (("u", "2024-01-01", ["a", "b"]), ("u", "2024-01-02", []), ("v", "2024-01-01", ["c"])):
+        (tmp_path / user).mkdir(exist_ok=True)
+        record = {
+            "date": date, "user_id": user, "article_count": len(ids),
+            "articles": [{"article_id": i, "title": "t", "crawl_time": f"{date}T00:00:00.1"} for i in ids],
+        }
+        (tmp_path / user / f"{date}.json").write_text(json.dumps(record, indent=2))
+    rows = tables.scan_snapshots_explode(spark, str(tmp_path)).collect()
+    got = sorted((r.user_id, str(r.date), r.article_count, r.article_id or "") for r in rows)
+    assert got == [
+        ("u", "2024-01-01", 2, "a"), ("u", "2024-01-01", 2, "b"), ("u", "2024-01-02", 0, ""), ("v", "2024-01-01", 1, "c"),
+    ]
+
+
 def test_index_file_and_missing_index(spark, tmp_path):
     file = tmp_path / "index.json"
     file.write_text(
