@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkfold.functions.lines import line_rows, keyed, lines_of, place
 from inkfold.operators.incremental import explode_snapshots, snapshot_rollup
 from inkfold.operators.quality import merge_quality_logs
+from inkfold.session import materialize
 from inkfold.sources import corpus, sinks, tables
 
 ARTICLE = (
@@ -150,7 +151,7 @@ def test_quality_log_reload(spark, tmp_path):
     for _ in range(2):
         # Reload, add, replace the day.
         merged = merge_quality_logs(tables.scan_quality_log(spark, path, multiline=False), daily)
-        sinks.write_quality_log(merged.checkpoint(), path)
+        sinks.write_quality_log(materialize(merged), path)
     (row,) = tables.scan_quality_log(spark, path, multiline=False).collect()
     assert (row.total_articles, row.passed, row.failed) == (9, 6, 3)
 
