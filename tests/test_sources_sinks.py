@@ -172,3 +172,17 @@ def test_report_text_replaces_its_date(spark, tmp_path):
         rows = spark.createDataFrame([("2024-01-01", text)], "date string, report string")
         sinks.write_report_text(rows, path)
     assert [r.value for r in spark.read.text(path, wholetext=True).collect()] == ["two\nlines\n"]
+
+
+def test_shared_folder_is_the_one_the_cluster_names(spark, tmp_path):
+    from inkfold.session import run_folder, shared_folder
+
+    local = shared_folder(spark)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
+    try:
+        assert shared_folder(spark) == str(tmp_path / "shared")
+        assert run_folder(spark, "x").startswith(str(tmp_path / "shared") + "/x-")
+        assert run_folder(spark, "x") != run_folder(spark, "x")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+    assert shared_folder(spark) == local
