@@ -1,6 +1,9 @@
 """Stored state: written, read back, rerun."""
 
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,15 +177,20 @@ def test_report_text_replaces_its_date(spark, tmp_path):
     assert [r.value for r in spark.read.text(path, wholetext=True).collect()] == ["two\nlines\n"]
 
 
-def test_shared_folder_is_the_one_the_cluster_names(spark, tmp_path):
-    from inkfold.session import run_folder, shared_folder
+SESSION_WITH_FOLDER = """
+import sys
+from inkfold.session import build_session, materialize, run_folder
+spark = build_session("folder", "local[1]", **{"spark.checkpoint.dir": sys.argv[1]})
+assert run_folder(spark, "x").startswith(sys.argv[1] + "/x-")
+assert materialize(spark.range(5)).count() == 5
+assert sys.argv[1] in spark.sparkContext.getCheckpointDir()
+"""
 
-    local = shared_folder(spark)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        assert shared_folder(spark) == str(tmp_path / "shared")
-        assert run_folder(spark, "x").startswith(str(tmp_path / "shared") + "/x-")
-        assert run_folder(spark, "x") != run_folder(spark, "x")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert shared_folder(spark) == local
+
+def test_shared_folder_is_the_one_the_cluster_names(tmp_path):
+    folder = str(tmp_path / "shared")
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run(
+        [sys.executable, "-c", SESSION_WITH_FOLDER, folder], cwd=root, capture_output=True, text=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
