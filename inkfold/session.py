@@ -17,6 +17,10 @@ REQUIRED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Whole pages go through the Arrow stages; a batch of them should stay small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    # A week of article ids is too much state for executor heaps.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 # Settings that have to be given before the context starts.

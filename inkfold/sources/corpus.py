@@ -78,8 +78,8 @@ def parse_documents(documents: DataFrame, raw: str = "raw", path: str = "path")
     pieces = F.split(F.col(path), "/")
     crawl = F.substring(rest, keep + len(tail_text) + 1, F.lit(stamp_chars))
     return split_up.withColumn("well_formed", well_formed).select(
-        F.element_at(pieces, -2).alias("user_id"),
-        F.regexp_replace(F.element_at(pieces, -1), r"\.md$", "").alias("article_id"),
+        F.try_element_at(pieces, F.lit(-2)).alias("user_id"),
+        F.regexp_replace(F.try_element_at(pieces, F.lit(-1)), r"\.md$", "").alias("article_id"),
         field(_between(F.col("_l0"), TITLE_START)).alias("title"),
         field(author_part).alias("author"),
         field(time_part).alias("publish_time"),
