@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -23,11 +23,12 @@ def json_text_v2(response: Column, p: ResponseParams) -> Column:
     return nonempty(F.regexp_extract(response, p.greedy_pattern, 1))
 
 
-def parse_object(json_text: Column, schema: StructType) -> Column:
-    """The object as a struct, NULL unless the text is exactly one readable JSON object.
+def with_object(df: DataFrame, json_text: Column, schema: StructType, out: str) -> DataFrame:
+    """Adds the object as a struct, NULL unless the text is exactly one readable JSON object.
 
     The reader alone would accept an object followed by other text. Inside an array,
-    trailing text is a syntax error and a second object a second element.
+    trailing text is a syntax error and a second object a second element. The parsed
+    value is a column of its own, so that its three uses parse once.
     """
     wrapper = StructType(
         [
@@ -40,5 +41,10 @@ def parse_object(json_text: Column, schema: StructType) -> Column:
         wrapper,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    sound = read[_CORRUPT].isNull() & (F.size(read["v"]) == 1)
-    return F.when(sound, F.get(read["v"], F.lit(0)))
+    objects = F.col("_read")["v"]
+    sound = F.col("_read")[_CORRUPT].isNull() & (F.size(objects) == 1)
+    return (
+        df.withColumn("_read", read)
+        .withColumn(out, F.when(sound, F.get(objects, F.lit(0))))
+        .drop("_read")
+    )

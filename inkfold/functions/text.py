@@ -25,7 +25,7 @@ def strip(c: Column) -> Column:
 
 def nonempty(c: Column) -> Column:
     """NULL in place of an empty string, for use in ``coalesce``."""
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def first_line(c: Column) -> Column:

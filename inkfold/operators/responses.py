@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.functions import rules as R
-from inkfold.functions.responses import json_text_v1, json_text_v2, parse_object
+from inkfold.functions.responses import json_text_v1, json_text_v2, with_object
 from inkfold.functions.text import cut, fill, text
 from inkfold.operators.quality import quality_gate_report
 from inkfold.params import (
@@ -67,7 +67,7 @@ def parse_response_v1(
     is a failure; the text around it is not tried."""
     raw = F.col(response)
     return (
-        responses.withColumn("_parsed", parse_object(json_text_v1(raw, p), ANALYSIS_V1))
+        with_object(responses, json_text_v1(raw, p), ANALYSIS_V1, "_parsed")
         .withColumn("readable", F.col("_parsed").isNotNull())
         .withColumn("analysis", F.coalesce("_parsed", R.unreadable_v1(raw, p)))
         .drop("_parsed")
@@ -82,7 +82,7 @@ def parse_response_v2(
 ) -> DataFrame:
     raw = F.col(response)
     return (
-        responses.withColumn("_parsed", parse_object(json_text_v2(raw, p), ANALYSIS_V2))
+        with_object(responses, json_text_v2(raw, p), ANALYSIS_V2, "_parsed")
         .withColumn("readable", F.col("_parsed").isNotNull())
         .withColumn("analysis", F.coalesce("_parsed", R.unreadable_v2(raw, p, texts)))
         .drop("_parsed")
