@@ -8,14 +8,19 @@ contain elements of the same tag. Plain tags are cheaper with the regular expres
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+# The parser travels with the task, so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = frozenset("p div section article li ul ol h1 h2 h3 h4 h5 h6 tr table blockquote".split())
 SILENT = frozenset(("script", "style"))

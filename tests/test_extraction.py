@@ -1,6 +1,9 @@
 """Extraction rules on small inline rows."""
 
 import hashlib
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +203,22 @@ def test_heuristic_order(spark):
         "i int, title string, source string, content string",
     )
     assert sorted(r.i for r in X.list_item_heuristic(items, SITE).collect()) == [1, 3]
+
+
+WORKER_WITHOUT_PACKAGE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from inkfold.functions.html_select import with_element_texts
+from inkfold.session import build_session
+spark = build_session("workers", "local[1]")
+pages = spark.createDataFrame([("<p>a</p>",)], "html string")
+assert with_element_texts(pages, "html", {"p": "p"}).first().p == "a"
+"""
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    root = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run(
+        [sys.executable, "-c", WORKER_WITHOUT_PACKAGE, root], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
