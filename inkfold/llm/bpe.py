@@ -10,12 +10,13 @@ and their ids put together in order. Decoding concatenates the bytes of the ids.
 from __future__ import annotations
 
 import base64
+import sys
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
 import tiktoken
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +28,10 @@ GROWTH = 8  # of both, for texts whose chunks did not resynchronise
 LOOKAHEAD = 4  # a match that ends so near a chunk's end may go on behind it
 ROWS = 256  # encoded at a time in a task
 
+# Executors get this code with their tasks; they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
-@lru_cache(maxsize=2)
 def encoding(ranks: str, pattern: str) -> tiktoken.Encoding:
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}

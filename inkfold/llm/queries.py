@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, exact_dedup
+from inkfold.llm import bpe, exact_dedup, mixing, ordinal
 from inkfold.llm.storage import documents
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,6 +33,20 @@ window same as (partition by coalesce(text, ''))
 """
 
 
+def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of each document, and the words they take."""
+    planned = mixing.plan(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    return planned.select(
+        "doc_id",
+        F.col("_mix_size").alias("size"),
+        F.col("_mix_words").alias("source_size"),
+        F.col("_mix_target").alias("target"),
+        (F.col("_mix_copies") * F.col("_mix_size")).alias("taken"),
+        F.col("_mix_copies").alias("copies"),
+        F.col("_mix_rate").alias("rate"),
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids by overlapping chunks, and the bytes they decode to."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -47,9 +61,23 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and probability of the top grade of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return ordinal.classify(docs, labels).select(
+        "doc_id",
+        F.col("_expected_grade").alias("expected_grade"),
+        F.col("_top_probability").alias("top_probability"),
+        F.col("_kept").alias("kept"),
+    )
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_entropy_mix": op6_entropy_mix,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_ordinal_quality": op8_ordinal_quality,
 }
 
 ORACLES = {"op4_exact_dedup": SQL_OP4}
