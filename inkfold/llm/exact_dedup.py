@@ -32,7 +32,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ranks below all others. An empty table gives an empty result. Columns of ``docs``
     that start with ``_radix`` are not allowed; any other name is carried along.
 
-    Texts pass one exchange. Only documents with a partner in length and first bytes are
+    Texts pass one exchange, at every size: the joins ask for a merge join, so a small
+    table takes the plan of a large one and needs no broadcast. Only documents with a partner in length and first bytes are
     written with their text for the further rounds. Group tables are written before they
     are joined back, so that the partition of a group of copies that holds a third of
     all rows is split over tasks.
@@ -50,7 +51,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "radix-heads",
     )
     rows = stored(
-        keyed.join(heads, key, "left")
+        keyed.join(heads.hint("merge"), key, "left")
         .drop("_radix_head")
         .withColumn("_radix_row", F.monotonically_increasing_id()),
         "radix-rows",
@@ -72,7 +73,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             "_kept": F.lit(True),
         }
     )
-    together = rows.filter("_radix_count is not null").join(decided, "_radix_row", "left")
+    together = rows.filter("_radix_count is not null").join(decided.hint("merge"), "_radix_row", "left")
     together = together.withColumns(
         {
             "_keep_id": F.when(F.col("_kept").isNull(), F.col(id_col)).otherwise(F.col("_keep_id")),
@@ -99,7 +100,7 @@ def _split(rest: DataFrame) -> DataFrame:
         )
         offset += width
         shared = stored(
-            keyed.join(groups, key).select(
+            keyed.join(groups.hint("merge"), key).select(
                 "_radix_row",
                 "_radix_id",
                 "_radix_n",
@@ -124,7 +125,7 @@ def _split(rest: DataFrame) -> DataFrame:
         ),
         "radix-winners",
     )
-    return ended.join(winners, "_radix_group").select(
+    return ended.join(winners.hint("merge"), "_radix_group").select(
         "_radix_row",
         F.col("_radix_best._radix_id").alias("_keep_id"),
         "_group_size",
