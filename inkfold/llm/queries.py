@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, exact_dedup, mixing, ordinal
+from inkfold.llm import bpe, chosen_path, exact_dedup, mixing, ordinal
 from inkfold.llm.storage import documents
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -73,11 +73,23 @@ def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicates over links of 0.75 and more."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return chosen_path.groups(docs).select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_entropy_mix": op6_entropy_mix,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ordinal_quality": op8_ordinal_quality,
+    "op10_chosen_path": op10_chosen_path,
 }
 
 ORACLES = {"op4_exact_dedup": SQL_OP4}
