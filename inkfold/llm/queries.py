@@ -6,11 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, chosen_path, exact_dedup, mixing, ordinal
+from inkfold.llm import bpe, chosen_path, exact_dedup, mixing, ordinal, token_files
 from inkfold.llm.storage import documents
+from inkfold.session import run_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+END = 2
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the token files hold for each document, from the files."""
+    folder = run_folder(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), folder, TOKENIZER, END)
+    return token_files.read(spark, folder).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +97,7 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_entropy_mix": op6_entropy_mix,
     "op7_byte_bpe": op7_byte_bpe,
