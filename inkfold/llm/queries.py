@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, chosen_path, exact_dedup, mixing, ordinal, token_files
+from inkfold.llm import bpe, chosen_path, exact_dedup, mixing, ordinal, secret_scan, token_files
 from inkfold.llm.storage import documents
 from inkfold.session import run_folder
 
@@ -45,6 +45,27 @@ window same as (partition by coalesce(text, ''))
 """
 
 
+def op5_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and those that the randomness tests add, in every document."""
+    found = secret_scan.scan(documents(spark, sf_dir))
+    kinds = secret_scan.KINDS
+
+    def joined(spans):
+        text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(text, ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] != kinds[-1])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(number(kind).alias(f"n_{kind}") for kind in kinds[:-1]),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of each document, and the words they take."""
     planned = mixing.plan(documents(spark, sf_dir).select("doc_id", "text", "source"))
@@ -99,6 +120,7 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_randomness_secrets": op5_randomness_secrets,
     "op6_entropy_mix": op6_entropy_mix,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ordinal_quality": op8_ordinal_quality,
