@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, chosen_path, exact_dedup, mixing, ordinal, secret_scan, token_files
+from inkfold.llm import bpe, chosen_path, exact_dedup, imatch, mixing, ordinal, secret_scan, token_files
 from inkfold.llm.storage import documents
 from inkfold.session import run_folder
 
@@ -106,6 +106,12 @@ def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they are."""
+    made = imatch.edited_likeness(documents(spark, sf_dir))
+    return made.withColumnRenamed("id", "doc_id")
+
+
 def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicates over links of 0.75 and more."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -124,6 +130,7 @@ QUERIES = {
     "op6_entropy_mix": op6_entropy_mix,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ordinal_quality": op8_ordinal_quality,
+    "op9_imatch": op9_imatch,
     "op10_chosen_path": op10_chosen_path,
 }
 
