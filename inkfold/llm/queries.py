@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, chosen_path, exact_dedup, imatch, mixing, ordinal, secret_scan, token_files
+from inkfold.llm import bpe, chosen_path, exact_dedup, hmm, imatch, mixing, ordinal, secret_scan, token_files
 from inkfold.llm.storage import documents
 from inkfold.session import run_folder
 
@@ -25,6 +25,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likelihood of every text under the base model and the hidden Markov model."""
+    return hmm.score(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of equal texts by MSD radix partitioning."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -125,6 +130,7 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_files": op2_token_files,
+    "op3_hidden_markov": op3_hidden_markov,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_randomness_secrets": op5_randomness_secrets,
     "op6_entropy_mix": op6_entropy_mix,
