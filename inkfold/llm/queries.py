@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, chosen_path, exact_dedup, hmm, imatch, mixing, ordinal, secret_scan, token_files
+from inkfold.llm import bpe, chosen_path, exact_dedup, hmm, imatch, mixing, ordinal, repeats, secret_scan, token_files
 from inkfold.llm.storage import documents
 from inkfold.session import run_folder
 
@@ -16,6 +16,19 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
 
 
+def op1_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings of earlier ones."""
+    found = repeats.remove_repeats(documents(spark, sf_dir))
+    sizes = F.transform("spans", lambda s: (s["stop"] - s["begin"]).cast("bigint"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the token files hold for each document, from the files."""
     folder = run_folder(spark, "token-files")
@@ -129,6 +142,7 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_run_index": op1_run_index,
     "op2_token_files": op2_token_files,
     "op3_hidden_markov": op3_hidden_markov,
     "op4_exact_dedup": op4_exact_dedup,
