@@ -3,8 +3,10 @@
 Every document becomes a set of word shingles, and every distinct set one
 representative with a signature of minwise tokens. Trees branch the representatives:
 a node holds those that agree on the tokens chosen on the way to it. Members are compared
-with the node's first one; small nodes whose members are not yet connected are compared
-exhaustively, large ones branch on further tokens. Every link is confirmed on full sets.
+with one of them, the node's pivot. What is then still unconnected is compared
+exhaustively where that takes few pairs for the node's size; other nodes branch on further
+tokens. Every link is confirmed on full sets. Members that are already connected need no
+comparison, so a large group of near-copies costs a few comparisons a member.
 
 Recall: a node passes each member on to ``BRANCH`` children. Two sets of similarity s stay
 together below a root with probability at least 1 - q, q the smallest root of
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +37,7 @@ TREES = 4
 BRANCH = 3
 TOKENS = 64  # of a signature
 AGREE = 27  # of 64 tokens that two sets of similarity 0.75 share but for 1e-9
-SMALL = 16  # members of a node that is compared exhaustively
+FEW = 16  # pairs a member, on average, up to which a node is compared exhaustively
 ROWS = 256
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -87,7 +90,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _children(rows: DataFrame, level: int) -> DataFrame:
-    """(node, set_key): each row of (path, tree, tokens) goes on under BRANCH more tokens.
+    """(path, tree, branch, set_key): each row goes on to BRANCH nodes by a token each.
 
     Which tokens, the path decides. At the root all trees choose different ones.
     """
@@ -99,8 +102,66 @@ def _children(rows: DataFrame, level: int) -> DataFrame:
             # A stride through the signature that starts anew on each path.
             at = F.pmod(F.xxhash64("path") + F.lit(b + level * BRANCH) * 23, F.lit(TOKENS)).cast("int")
         token = F.element_at("tokens", at + 1)
-        made.append(F.xxhash64("path", F.lit(level), at, token))
-    return rows.select(F.explode(F.array(*made)).alias("path"), "tree", "set_key")
+        path = F.xxhash64("path", F.lit(level), at, token)
+        made.append(F.struct(path.alias("path"), F.lit(b).alias("branch")))
+    return rows.select(F.explode(F.array(*made)).alias("n"), "tree", "set_key").select(
+        "n.path", "tree", "n.branch", "set_key"
+    )
+
+
+def _members(rows: DataFrame, level: int) -> DataFrame:
+    """The children's members, with the pivot of their node, where it has two members."""
+    placed = _children(rows, level)
+    pivot = F.min(F.struct(F.xxhash64("path", "set_key").alias("by"), "set_key"))
+    nodes = stored(
+        placed.groupBy("path", "tree")
+        .agg(F.count(F.lit(1)).alias("size"), pivot.alias("pivot"))
+        .filter("size > 1")
+        .select("path", "tree", F.col("pivot.set_key").alias("pivot")),
+        "path-nodes",
+    )
+    return stored(placed.join(nodes.hint("merge"), ["path", "tree"]), "path-members")
+
+
+def _rooted(rows: DataFrame, ends: DataFrame | None, key: str, name: str) -> DataFrame:
+    """``rows`` with the root of ``key`` so far, itself where it has none."""
+    if ends is None:
+        return rows.withColumn(name, F.col(key))
+    found = ends.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    joined = rows.join(found.hint("merge"), F.col(key) == F.col("_node"), "left")
+    return joined.withColumn(name, F.coalesce("_root", key)).drop("_node", "_root")
+
+
+def _open(members: DataFrame, ends: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Pairs to compare exhaustively, and rows (path, tree, set_key) of nodes that branch."""
+    rows = stored(_rooted(members, ends, "set_key", "root"), "path-rooted")
+    parts = rows.groupBy("path", "tree", "root").agg(F.count(F.lit(1)).alias("n"))
+    nodes = parts.groupBy("path", "tree").agg(
+        F.sum("n").alias("size"),
+        F.sum(F.col("n") * F.col("n")).alias("squares"),
+        F.max(F.struct("n", "root")).alias("most"),
+    )
+    pairs = (F.col("size") * F.col("size") - F.col("squares")) / 2
+    nodes = stored(
+        nodes.filter("size * size > squares").select(
+            "path", "tree", F.col("most.root").alias("main"), (pairs <= FEW * F.col("size")).alias("few")
+        ),
+        "path-apart",
+    )
+    rows = rows.select("path", "tree", "set_key", "root")
+    apart = stored(rows.join(nodes.hint("merge"), ["path", "tree"]), "path-open")
+    # All pairs but those inside a component have a member outside the largest one.
+    few = apart.filter("few")
+    outside = few.filter("root != main").select(
+        "path", "tree", F.col("set_key").alias("u"), F.col("root").alias("root_u")
+    )
+    exhaustive = (
+        few.select("path", "tree", F.col("set_key").alias("v"), "root")
+        .join(outside.hint("merge"), ["path", "tree"])
+        .filter("root != root_u")
+        .select("u", "v")
+    )
+    return exhaustive, apart.filter("not few").select("path", "tree", "set_key")
 
 
 def _candidates(pairs: DataFrame, sets: DataFrame, tested: DataFrame | None, percent: int) -> DataFrame:
@@ -124,7 +185,11 @@ def _candidates(pairs: DataFrame, sets: DataFrame, tested: DataFrame | None, per
 
 
 def _confirmed(candidates: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The candidates whose full sets are similar enough."""
+    """The candidates whose full sets are similar enough.
+
+    ``texts`` is bucketed by set, so it is not moved. A pair moves the text of u to v;
+    partitions of a v with very many pairs are split.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last, one = shingles.WordHashes(), None, None
@@ -140,34 +205,30 @@ def _confirmed(candidates: DataFrame, texts: DataFrame, percent: int) -> DataFra
 
     left = texts.select(F.col("set_key").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("set_key").alias("v"), F.col("text").alias("text_v"))
-    pairs = candidates.join(left.hint("merge"), "u").join(right.hint("merge"), "v")
+    mine = stored(candidates.select("v").distinct().join(right.hint("merge"), "v"), "path-right")
+    pairs = candidates.join(left.hint("merge"), "u").join(mine.hint("merge"), "v")
     return pairs.select("u", "v", "text_u", "text_v").mapInArrow(run, "u binary, v binary")
 
 
-class _Texts:
-    """One text for each set that has been asked for, fetched once."""
-
-    def __init__(self, docs: DataFrame, sets: DataFrame, id_col: str, text_col: str):
-        self.docs = docs.select(
-            F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")
-        )
-        self.sets, self.parts, self.held = sets, [], None
-
-    def of(self, candidates: DataFrame) -> DataFrame:
-        wanted = candidates.select(F.explode(F.array("u", "v")).alias("set_key")).distinct()
-        for keys in self.parts:
-            wanted = wanted.join(keys.select("set_key"), "set_key", "left_anti")
-        wanted = wanted.join(self.sets.select("set_key", "best"), "set_key").select("set_key", "best.*")
-        fetched = self.docs.join(
-            wanted.hint("merge"),
-            [self.docs["id"].eqNullSafe(wanted["id"]), self.docs["text_key"] == wanted["text_key"]],
-        ).select("set_key", "text")
-        # Repeated rows carry the same text once more; one of them is enough.
-        self.parts.append(stored(fetched.dropDuplicates(["set_key"]), "path-texts"))
-        together = self.parts[0]
-        for part in self.parts[1:]:
-            together = together.unionByName(part)
-        return together
+def _texts(docs: DataFrame, sets: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> str:
+    """Name of a table with one text for each of ``keys``, bucketed by set."""
+    spark = docs.sparkSession
+    wanted = stored(
+        keys.distinct().join(sets.select("set_key", "best"), "set_key").select("set_key", "best.*"),
+        "path-wanted",
+    ).hint("merge")
+    rows = docs.select(
+        F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_key"), F.col(text_col).alias("text")
+    )
+    fetched = rows.join(
+        wanted, [F.col("_id").eqNullSafe(F.col("id")), F.col("_key") == F.col("text_key")]
+    ).select("set_key", "text")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"path_texts_{uuid.uuid4().hex}"
+    # Repeated rows bring the same text once more; one is enough.
+    once = fetched.dropDuplicates(["set_key"])
+    once.write.bucketBy(buckets, "set_key").saveAsTable(name)
+    return name
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -222,61 +283,42 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
 
 def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """(node, root) of all sets that link to a smaller one."""
-    texts = _Texts(docs, sets, id_col, text_col)
+    spark = docs.sparkSession
     trees = F.explode(F.array(*map(F.lit, range(TREES)))).alias("tree")
     inner = sets.select("set_key", "tokens", trees).withColumn("path", F.col("tree").cast("bigint"))
-    links = tested = None
-    small = None  # exhaustive pairs found at the level before
-    level = 0
-    while True:
-        members = _children(inner, level)
-        nodes = stored(
-            members.groupBy("path", "tree")
-            .agg(F.count(F.lit(1)).alias("size"), F.min("set_key").alias("first"))
-            .filter("size > 1"),
-            "path-nodes",
-        )
-        members = stored(members.join(nodes, ["path", "tree"]), "path-members")
-        pairs = members.select(F.col("set_key").alias("u"), F.col("first").alias("v"))
-        if small is not None:
-            pairs = pairs.unionByName(small)
+    members = _members(inner, 0)
+    name = _texts(docs, sets, members.select("set_key"), id_col, text_col)
+    texts = spark.table(name)
+    ends = tested = None
+
+    def compare(pairs: DataFrame) -> None:
+        nonlocal ends, tested
         candidates = stored(_candidates(pairs, sets, tested, percent), "path-candidates")
         tested = candidates if tested is None else tested.unionByName(candidates)
-        found = stored(_confirmed(candidates, texts.of(candidates), percent), "path-links")
-        links = found if links is None else links.unionByName(found)
-        ends = components(links)
-        links = ends.select(F.col("node").alias("u"), F.col("root").alias("v"))
-        # Nodes whose members are all connected need no more work.
-        rooted = members.join(ends.hint("merge"), members.set_key == ends.node, "left").select(
-            "path", "tree", "set_key", "size", F.coalesce("root", "set_key").alias("root")
-        )
-        apart = (
-            rooted.groupBy("path", "tree")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-            .filter("low < high")
-            .select("path", "tree")
-        )
-        open_rows = stored(rooted.join(stored(apart, "path-apart"), ["path", "tree"]), "path-open")
-        listed = (
-            open_rows.filter(F.col("size") <= SMALL)
-            .groupBy("path", "tree")
-            .agg(F.collect_list(F.struct("set_key", "root")).alias("m"))
-        )
-        pair = F.explode(F.col("m")).alias("x")
-        small = (
-            listed.select("m", pair)
-            .select("x", F.explode("m").alias("y"))
-            .filter("x.root < y.root")
-            .select(F.col("x.set_key").alias("u"), F.col("y.set_key").alias("v"))
-        )
-        large = open_rows.filter(F.col("size") > SMALL).select("path", "tree", "set_key").distinct()
-        level += 1
-        inner = large.join(sets.select("set_key", "tokens"), "set_key")
+        links = _confirmed(candidates, texts, percent)
+        if ends is not None:
+            links = links.unionByName(ends.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        ends = components(stored(links, "path-links"))
+
+    # Pivots differ from node to node. What one node connects, the next need not compare.
+    rounds = ["tree = 0 and branch = 0", "tree = 1", "true"]
+    level, exhaustive = 0, None
+    while True:
+        for which in rounds:
+            pairs = members.filter(which).filter("set_key != pivot").select("set_key", "pivot")
+            pairs = _rooted(_rooted(pairs.distinct(), ends, "set_key", "x"), ends, "pivot", "y")
+            pairs = pairs.filter("x != y").select(F.col("set_key").alias("u"), F.col("pivot").alias("v"))
+            if exhaustive is not None:
+                pairs, exhaustive = pairs.unionByName(exhaustive), None
+            compare(pairs)
+        exhaustive, large = _open(members, ends)
         if large.isEmpty():
             break
-    candidates = stored(_candidates(small, sets, tested, percent), "path-candidates")
-    found = _confirmed(candidates, texts.of(candidates), percent)
-    return components(stored(found, "path-links").unionByName(links))
+        level, rounds = level + 1, ["true"]
+        members = _members(large.join(sets.select("set_key", "tokens").hint("merge"), "set_key"), level)
+    compare(exhaustive)
+    spark.sql(f"drop table {name}")
+    return ends
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
