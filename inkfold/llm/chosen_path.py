@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import sys
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,14 +29,14 @@ from pyspark.sql import functions as F
 
 from inkfold.llm import shingles
 from inkfold.llm.components import components
-from inkfold.llm.storage import stored
+from inkfold.llm.storage import bucketed, neutral, stored
 
 PERCENT = 75  # similarity that links
 TREES = 4
 BRANCH = 3
 TOKENS = 64  # of a signature
 AGREE = 27  # of 64 tokens that two sets of similarity 0.75 share but for 1e-9
-FEW = 16  # pairs a member, on average, up to which a node is compared exhaustively
+FEW = 48  # pairs a member up to which a node is compared exhaustively; doubles each level
 ROWS = 256
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -132,8 +131,12 @@ def _rooted(rows: DataFrame, ends: DataFrame | None, key: str, name: str) -> Dat
     return joined.withColumn(name, F.coalesce("_root", key)).drop("_node", "_root")
 
 
-def _open(members: DataFrame, ends: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare exhaustively, and rows (path, tree, set_key) of nodes that branch."""
+def _open(members: DataFrame, ends: DataFrame | None, level: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs to compare exhaustively, and rows (path, tree, set_key) of nodes that branch.
+
+    Nodes halve at least from level to level, so the pairs of a deeper one may be twice as
+    many a member. That keeps the tree short.
+    """
     rows = stored(_rooted(members, ends, "set_key", "root"), "path-rooted")
     parts = rows.groupBy("path", "tree", "root").agg(F.count(F.lit(1)).alias("n"))
     nodes = parts.groupBy("path", "tree").agg(
@@ -144,7 +147,7 @@ def _open(members: DataFrame, ends: DataFrame | None) -> tuple[DataFrame, DataFr
     pairs = (F.col("size") * F.col("size") - F.col("squares")) / 2
     nodes = stored(
         nodes.filter("size * size > squares").select(
-            "path", "tree", F.col("most.root").alias("main"), (pairs <= FEW * F.col("size")).alias("few")
+            "path", "tree", F.col("most.root").alias("main"), (pairs <= FEW * 2**level * F.col("size")).alias("few")
         ),
         "path-apart",
     )
@@ -176,8 +179,8 @@ def _candidates(pairs: DataFrame, sets: DataFrame, tested: DataFrame | None, per
         F.zip_with("t_u", "t_v", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x
     )
     return (
-        pairs.join(left, "u")
-        .join(right, "v")
+        pairs.join(left.hint("merge"), "u")
+        .join(right.hint("merge"), "v")
         .filter(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
         .filter(same >= AGREE)
         .select("u", "v")
@@ -210,9 +213,10 @@ def _confirmed(candidates: DataFrame, texts: DataFrame, percent: int) -> DataFra
     return pairs.select("u", "v", "text_u", "text_v").mapInArrow(run, "u binary, v binary")
 
 
-def _texts(docs: DataFrame, sets: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> str:
-    """Name of a table with one text for each of ``keys``, bucketed by set."""
-    spark = docs.sparkSession
+def _texts(
+    docs: DataFrame, sets: DataFrame, keys: DataFrame, id_col: str, text_col: str
+) -> tuple[DataFrame, str]:
+    """A table with one text for each of ``keys``, bucketed by set, and its name."""
     wanted = stored(
         keys.distinct().join(sets.select("set_key", "best"), "set_key").select("set_key", "best.*"),
         "path-wanted",
@@ -223,12 +227,8 @@ def _texts(docs: DataFrame, sets: DataFrame, keys: DataFrame, id_col: str, text_
     fetched = rows.join(
         wanted, [F.col("_id").eqNullSafe(F.col("id")), F.col("_key") == F.col("text_key")]
     ).select("set_key", "text")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"path_texts_{uuid.uuid4().hex}"
     # Repeated rows bring the same text once more; one is enough.
-    once = fetched.dropDuplicates(["set_key"])
-    once.write.bucketBy(buckets, "set_key").saveAsTable(name)
-    return name
+    return bucketed(fetched.dropDuplicates(["set_key"]), "set_key", "path_texts")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -243,7 +243,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
     """
     rows = stored(signed(docs, id_col, text_col), "path-rows")
     full = rows.filter("n > 0")
-    sets = stored(
+    sets, name = bucketed(
         full.groupBy("set_key")
         .agg(
             F.min(F.struct("id", "text_key")).alias("best"),
@@ -251,7 +251,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
             F.first("n").alias("n"),
             F.first("tokens").alias("tokens"),
         ),
-        "path-sets",
+        "set_key",
+        "path_sets",
     )
     roots = stored(_linked(docs, sets, id_col, text_col, percent), "path-roots")
     named = sets.select("set_key", "least_id", "best").join(roots, sets.set_key == roots.node, "left")
@@ -260,6 +261,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
         F.min("least_id").alias("component_id"), F.min("best").alias("component_best")
     )
     labelled = stored(named.join(least, "root").select("set_key", "component_id", "component_best"), "path-labels")
+    docs.sparkSession.sql(f"drop table {name}")
     multiple = rows.groupBy("id", "text_key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     mine = F.struct("id", "text_key")
     return (
@@ -287,8 +289,7 @@ def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percen
     trees = F.explode(F.array(*map(F.lit, range(TREES)))).alias("tree")
     inner = sets.select("set_key", "tokens", trees).withColumn("path", F.col("tree").cast("bigint"))
     members = _members(inner, 0)
-    name = _texts(docs, sets, members.select("set_key"), id_col, text_col)
-    texts = spark.table(name)
+    texts, name = _texts(docs, sets, members.select("set_key"), id_col, text_col)
     ends = tested = None
 
     def compare(pairs: DataFrame) -> None:
@@ -301,7 +302,7 @@ def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percen
         ends = components(stored(links, "path-links"))
 
     # Pivots differ from node to node. What one node connects, the next need not compare.
-    rounds = ["tree = 0 and branch = 0", "tree = 1", "true"]
+    rounds = ["tree = 0 and branch = 0", "true"]
     level, exhaustive = 0, None
     while True:
         for which in rounds:
@@ -311,7 +312,7 @@ def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percen
             if exhaustive is not None:
                 pairs, exhaustive = pairs.unionByName(exhaustive), None
             compare(pairs)
-        exhaustive, large = _open(members, ends)
+        exhaustive, large = _open(members, ends, level)
         if large.isEmpty():
             break
         level, rounds = level + 1, ["true"]
@@ -324,8 +325,11 @@ def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percen
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with one of each component, all without words, and no other.
 
-    Of the smallest id's rows the one with the least text hash stays, once.
+    Of the smallest id's rows the one with the least text hash stays, once. Any column
+    names will do.
     """
+    columns = docs.columns
+    docs, id_col, text_col = neutral(docs, id_col, text_col)
     decided = stored(groups(docs, id_col, text_col, percent), "path-decisions")
     drop = decided.filter("not best").select(F.col("id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     key = F.xxhash64(docs[text_col])
@@ -335,6 +339,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
         F.col("id").alias("_id"), F.col("text_key").alias("_key")
     ).distinct()
     if again.isEmpty():
-        return kept
+        return kept.toDF(*columns)
     once = docs.join(again, match(again), "left_semi").dropDuplicates([id_col, text_col])
-    return kept.join(again, match(again), "left_anti").unionByName(once)
+    return kept.join(again, match(again), "left_anti").unionByName(once).toDF(*columns)
