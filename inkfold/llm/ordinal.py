@@ -19,13 +19,16 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkfold.llm.storage import neutral
+
 WORDS_BITS = 18  # buckets for words and their beginnings
 STYLE = 4096  # buckets for letter shapes and for bins of document measures
 STYLE_SCALE = 10.0
 SAMPLE = 12_000  # rated documents the weights are fitted to, at most
-ITERATIONS = 150
-RATE = 0.05
-PENALTY = 2e-5
+ITERATIONS = 200
+PENALTY = 2e-3
+LEAST_ROWS = 3  # of the sample that a feature must be in
+SOFTEN = 0.2  # added to a feature's share of rows when features are scaled to equal spread
 SELECT = 0.5  # of the probability of the top grade
 MEMO = 300_000  # words whose features a task remembers
 
@@ -38,15 +41,16 @@ _SHAPE = bytes(
 )
 
 
-def word_features(word: bytes) -> tuple[int, int, int]:
-    """Buckets of the lower-cased word, of its beginning, and of its shape."""
+def word_features(word: bytes) -> tuple[int, int, int, int]:
+    """Buckets of the lower-cased word, of two beginnings of it, and of its shape."""
     low = word.lower()
     mask = (1 << WORDS_BITS) - 1
     shape = word.translate(_SHAPE)
     short = bytes(b for i, b in enumerate(shape) if i < 2 or not (b == shape[i - 1] == shape[i - 2]))
     return (
         zlib.crc32(b"w" + low) & mask,
-        zlib.crc32(b"p" + low[:5]) & mask,
+        zlib.crc32(b"p" + low[:4]) & mask,
+        zlib.crc32(b"q" + low[:6]) & mask,
         (1 << WORDS_BITS) + zlib.crc32(short[:12]) % STYLE,
     )
 
@@ -99,11 +103,11 @@ def _featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = raw.split()
             distinct = set(words)
             found = [word_features(w) for w in distinct]
-            style, n = np.unique([s for _, _, s in found], return_counts=True)
+            style, n = np.unique([x[3] for x in found], return_counts=True)
             own = measures(raw, words, len(distinct))
-            at = np.concatenate([[a for a, _, _ in found], [b for _, b, _ in found], style, own])
+            at = np.concatenate([[f for x in found for f in x[:3]], style, own])
             value = np.concatenate(
-                [np.ones(2 * len(found)), STYLE_SCALE * n / max(1, len(found)), np.ones(len(own))]
+                [np.ones(3 * len(found)), STYLE_SCALE * n / max(1, len(found)), np.ones(len(own))]
             )
             rows.append((at.astype(np.int32).tobytes(), value.astype(np.float32).tobytes()))
         yield pd.DataFrame({"grade": frame["grade"], "at": [a for a, _ in rows], "value": [v for _, v in rows]})
@@ -139,34 +143,47 @@ def _solve(grades: np.ndarray, at: np.ndarray, value: np.ndarray, begin: np.ndar
     cuts = np.log(share / (1 - share))
     # Ordered by construction: the first threshold and the logarithms of the steps to the next.
     free = np.concatenate([cuts[:1], np.log(np.maximum(np.diff(cuts), 0.1))])
-    weights = np.zeros(DIMENSIONS)
-    moments = [np.zeros(DIMENSIONS + top), np.zeros(DIMENSIONS + top)]
-    for step in range(1, ITERATIONS + 1):
+    # Features are scaled to about equal spread; those of very few documents are left out,
+    # as they would only learn these by heart. Accelerated gradient steps, whose size comes
+    # from the largest curvature of the features (power iteration).
+    rows = len(grades)
+    seen = np.bincount(at, minlength=DIMENSIONS)
+    usual = np.bincount(at, value, DIMENSIONS) / np.maximum(seen, 1)
+    scale = np.where(seen >= LEAST_ROWS, 1 / (np.maximum(usual, 1e-6) * np.sqrt(seen / rows + SOFTEN)), 0.0)
+    value = value * scale[at]
+
+    def forth(w: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(w[at] * value, begin)
+
+    def back(by_row: np.ndarray) -> np.ndarray:
+        return np.bincount(at, np.repeat(by_row, lengths) * value, DIMENSIONS) / rows
+
+    direction = np.bincount(at, value, DIMENSIONS)
+    for _ in range(8):
+        direction = back(forth(direction / np.linalg.norm(direction)))
+    rate = 2.0 / np.linalg.norm(direction)
+    weights, ahead, momentum = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS), 1.0
+    row = np.arange(rows)
+    for _ in range(ITERATIONS):
         cuts = np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
-        score = np.add.reduceat(weights[at] * value, begin)
+        score = forth(ahead)
         below = 1 / (1 + np.exp(np.clip(score[:, None] - cuts[None, :], -500, 500)))
-        edges = np.hstack([np.zeros((len(score), 1)), below, np.ones((len(score), 1))])
-        row = np.arange(len(grades))
+        edges = np.hstack([np.zeros((rows, 1)), below, np.ones((rows, 1))])
         low, high = edges[row, grades], edges[row, grades + 1]
         p = np.maximum(high - low, 1e-12)
-        by_score = (1 - low - high) / len(grades)
-        by_weight = np.bincount(at, np.repeat(by_score, lengths) * value, DIMENSIONS) + PENALTY * weights
+        moved = ahead - rate * (back(1 - low - high) + PENALTY * ahead)
+        after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        ahead = moved + (momentum - 1) / after * (moved - weights)
+        weights, momentum = moved, after
         by_cut = np.array(
             [
-                (-(high * (1 - high) / p)[grades == k].sum() + (low * (1 - low) / p)[grades == k + 1].sum())
-                / len(grades)
+                ((low * (1 - low) / p)[grades == k + 1].sum() - (high * (1 - high) / p)[grades == k].sum()) / rows
                 for k in range(top)
             ]
         )
-        by_free = np.concatenate([[by_cut.sum()], [np.exp(free[j]) * by_cut[j:].sum() for j in range(1, top)]])
-        gradient = np.concatenate([by_weight, by_free])
-        moments[0] = 0.9 * moments[0] + 0.1 * gradient
-        moments[1] = 0.999 * moments[1] + 0.001 * gradient**2
-        move = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
-        weights = weights - move[:DIMENSIONS]
-        free = free - move[DIMENSIONS:]
+        free = free - np.concatenate([[by_cut.sum()], [np.exp(free[k]) * by_cut[k:].sum() for k in range(1, top)]])
     cuts = np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
-    return Model(weights.astype(np.float32), cuts)
+    return Model((weights * scale).astype(np.float32), cuts)
 
 
 class _Memo(dict):
@@ -176,9 +193,9 @@ class _Memo(dict):
     def __missing__(self, word: bytes) -> tuple[float, float]:
         if len(self) >= MEMO:
             self.clear()
-        a, b, s = word_features(word)
+        a, b, c, s = word_features(word)
         w = self.weights
-        self[word] = made = (float(w[a]) + float(w[b]), float(w[s]))
+        self[word] = made = (float(w[a]) + float(w[b]) + float(w[c]), float(w[s]))
         return made
 
 
@@ -231,3 +248,11 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", select:
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return score(docs, fit(docs, grade(labels, id_col), id_col, text_col), text_col)
+
+
+def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps. Any column names will do."""
+    plain, own_id, own_text = neutral(docs, id_col, text_col)
+    model = fit(plain, grade(labels, id_col), own_id, own_text)
+    kept = score(plain, model, own_text).filter("_kept")
+    return kept.select(*plain.columns).toDF(*docs.columns)
