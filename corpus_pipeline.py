@@ -19,7 +19,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose probability of the top grade is high enough; others go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return ordinal.classify(docs, labels).filter("_kept").select(*docs.columns)
+    return ordinal.select(docs, labels)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.llm.storage import stored
+from inkfold.llm.storage import neutral, stored
 
 CHUNK = 16_384  # characters
 OVERLAP = 256
@@ -176,9 +176,13 @@ def encode(
     row by row. Texts of any length are taken whole; one whose chunks do not
     resynchronise (a run of one kind of character longer than the overlap) is cut again
     with longer chunks and overlaps, until it does or is one chunk. Columns other than
-    the text pass unchanged; ``ids_col`` must not be among them. An empty table gives an
-    empty result.
+    the text pass unchanged, whatever their names; one called ``ids_col`` gives way to the
+    ids. An empty table gives an empty result.
     """
+    docs = docs.select(*(docs[c] for c in docs.columns if c == text_col or c != ids_col))
+    outer = [*(c for c in docs.columns if c != text_col), ids_col]
+    docs, text_col = neutral(docs, text_col)
+    ids_col = "ids"
     size = F.char_length(F.coalesce(F.col(text_col), F.lit("")))
     names = [*(c for c in docs.columns if c != text_col), ids_col]
     short = _encode_rows(docs.filter(size <= chunk), text_col, ids_col, ranks, pattern)
@@ -197,7 +201,7 @@ def encode(
         .join(long.select("_row", "_rest"), "_row")
         .select(*(F.col("_rest").getField(c).alias(c) for c in names[:-1]), F.col("_ids").alias(ids_col))
     )
-    return short.select(*names).unionByName(together)
+    return short.select(*names).unionByName(together).toDF(*outer)
 
 
 def decode(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.llm.storage import discard, stored
+from inkfold.llm.storage import discard, neutral, stored
 
 HEAD = 64  # bytes of the first split, which counts only
 WIDTH = 512  # bytes of the first round that carries texts
@@ -134,5 +134,7 @@ def _split(rest: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one for each distinct text."""
-    return classes(docs, id_col, text_col).filter("_kept").select(*docs.columns)
+    """The rows of ``docs`` that stay, one for each distinct text. Any column names will do."""
+    plain, own_id, own_text = neutral(docs, id_col, text_col)
+    kept = classes(plain, own_id, own_text).filter("_kept")
+    return kept.select(*plain.columns).toDF(*docs.columns)

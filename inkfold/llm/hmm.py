@@ -110,10 +110,26 @@ class _Classes(dict):
         return made
 
 
+def _frequent(counts: DataFrame) -> DataFrame:
+    """The most frequent words, HEAD at most: those above a limit that a histogram gives.
+
+    No more than these rows come together; a sorted limit would send as many from each task.
+    """
+    bins = counts.groupBy(F.floor(F.log2("n") * 16).alias("bin")).agg(F.count(F.lit(1)).alias("words"))
+    lowest, held = None, 0
+    for row in sorted(bins.collect(), key=lambda r: -r["bin"]):  # sixteen for each power of two
+        held += row["words"]
+        if held > HEAD:
+            break
+        lowest = row["bin"]
+    return counts.filter(F.floor(F.log2("n") * 16) >= (2**31 if lowest is None else lowest))
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
-    head = {bytes(w): int(n) for w, n in zip(top["word"], top["n"])}
+    top = _frequent(counts).toPandas()
+    order = sorted((-int(n), bytes(w)) for w, n in zip(top["word"], top["n"]))
+    head = {w: -n for n, w in order}
     own = dict(zip(range(OWN), head.values()))
     last = F.substring("word", -SUFFIX, SUFFIX)
     shared = F.when(F.octet_length("word") < SUFFIX, F.col("word")).otherwise(last)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkfold.functions.ranking import number_rows
-from inkfold.llm.storage import discard, stored
+from inkfold.llm.storage import discard, neutral, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -189,10 +189,17 @@ def plan(
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the plan says."""
-    planned = plan(docs, **options)
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    **options,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the plan says. Any column names will do."""
+    plain, own_id, own_text, own_source = neutral(docs, id_col, text_col, source_col)
+    planned = plan(plain, own_id, own_text, own_source, **options)
     repeated = planned.filter("_mix_copies > 0").withColumn(
         "_mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_mix_copies"))
     )
-    return repeated.select(*docs.columns)
+    return repeated.select(*plain.columns).toDF(*docs.columns)
