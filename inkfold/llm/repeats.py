@@ -32,8 +32,7 @@ from inkfold.llm.storage import stored
 LENGTH = 50  # bytes of a string
 EVERY = 512  # windows of a chunk, about
 SLICE = 4_000_000  # bytes of texts a task looks at together
-BLOCK = 2_000_000  # bytes of contexts in an index, but an anchor's are never divided
-BUCKETS = 256  # of anchors, when those of several documents are sought
+BLOCK = 200_000  # bytes of contexts in an index, but an anchor's are never divided
 LEAST_ID = -(2**63)  # stands for a null id
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -110,28 +109,47 @@ def _ranges(batch: pa.RecordBatch) -> list[np.ndarray]:
     return made
 
 
-_MARK = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("ids", pa.binary()), ("keys", pa.binary())])
+_MARK = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("ids", pa.binary()), ("which", pa.binary())])
 
 
-def _marks(bucket: int, h: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> dict:
-    return {"bucket": bucket, "anchors": _packed(h), "ids": ids.tobytes(), "keys": keys.tobytes()}
+def _marks(bucket: int, h: np.ndarray, ids: np.ndarray) -> dict:
+    """Anchors of one bucket with their documents, each of which is written once."""
+    own, which = np.unique(ids, return_inverse=True)
+    which = which.astype("<u4").view(np.uint8).reshape(-1, 4)
+    size = 2 if len(own) <= 2**16 else 4
+    return {
+        "bucket": bucket,
+        "anchors": _packed(h),
+        "ids": own.tobytes(),
+        "which": np.ascontiguousarray(which[:, :size]).tobytes(),
+    }
 
 
-def _split(h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by anchor, and for it whether the anchor has two documents."""
+def _marked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    h = _unpacked(row["anchors"])
+    kind = "<u2" if len(row["which"]) == 2 * len(h) else "<u4"
+    return h, np.frombuffer(row["ids"], np.int64)[np.frombuffer(row["which"], kind)]
+
+
+def _both(h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether another document has the anchor too, in the order given."""
     order = np.lexsort((ids, h))
     h, ids = h[order], ids[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     last = np.append(first[1:], len(h)) - 1
-    return order, np.repeat(ids[first] != ids[last], last - first + 1)
+    found = np.empty(len(h), bool)
+    found[order] = np.repeat(ids[first] != ids[last], last - first + 1)
+    return found
 
 
 def _shared(ranged: DataFrame, length: int) -> DataFrame:
-    """(id, key, anchors): the anchors of each row that another document has too.
+    """(id, anchors): the anchors of each document that another one has too.
 
     Anchors that two documents of a slice have are known at once; they go on once a slice,
     so a passage of a third of all documents is not gathered anywhere.
     """
+    buckets = int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = 2**63 - 1
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -139,56 +157,38 @@ def _shared(ranged: DataFrame, length: int) -> DataFrame:
             if not len(h):
                 continue
             ids = batch["id"].to_numpy()[number]
-            keys = batch["key"].to_numpy()[number]
-            order, both = _split(h, ids)
-            h, ids, keys = h[order], ids[order], keys[order]
-            once = np.flatnonzero(both & np.concatenate([[True], h[1:] != h[:-1]]))
-            # Known here: bucket -1 passes through. The anchor alone goes on under both
-            # ends of the ids, which no document has to itself.
-            out = [_marks(-1 - int(h[0] % np.uint64(BUCKETS)), h[both], ids[both], keys[both])]
-            alone = np.flatnonzero(~both)
-            low, high = np.full(len(once), LEAST_ID), np.full(len(once), 2**63 - 1)
-            h = np.concatenate([h[alone], h[once], h[once]])
-            ids = np.concatenate([ids[alone], low, high])
-            keys = np.concatenate([keys[alone], np.zeros(2 * len(once), np.int64)])
-            known = np.concatenate([np.zeros(len(alone), bool), np.ones(2 * len(once), bool)])
-            bucket = (h % np.uint64(BUCKETS)).astype(np.int64)
+            both = _both(h, ids)
+            once = np.unique(h[both])
+            # Known here: passes through under a negative number. The anchor alone goes on
+            # under the two ends of the ids, so any other document finds it shared.
+            out = [_marks(-1 - int(h[0] % np.uint64(buckets)), h[both], ids[both])] if len(once) else []
+            ends = np.repeat([LEAST_ID, top], len(once))
+            h, ids = np.concatenate([h[~both], once, once]), np.concatenate([ids[~both], ends])
+            bucket = (h % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
-                row = _marks(int(bucket[part[0]]), h[part], ids[part], keys[part])
-                row["keys"] = np.where(known[part], 0, keys[part]).tobytes() + known[part].tobytes()
-                out.append(row)
+                out.append(_marks(int(bucket[part[0]]), h[part], ids[part]))
             yield pa.RecordBatch.from_pylist(out, schema=_MARK)
 
-    def answer(h: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((h, keys, ids))
-        h, ids, keys = h[order], ids[order], keys[order]
-        new = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
-        first = np.flatnonzero(np.concatenate([[True], new]))
+    def answer(h: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(ids, kind="stable")
+        h, ids = h[order], ids[order]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
         raw, ends = _packed(h), np.append(first[1:], len(h))
         found = [raw[6 * a : 6 * b] for a, b in zip(first, ends)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids[first]), pa.array(keys[first]), pa.array(found, pa.binary())],
-            names=["id", "key", "anchors"],
-        )
+        return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(found, pa.binary())], names=["id", "anchors"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-            if not rows:
-                return
-            h = np.concatenate([_unpacked(r["anchors"]) for r in rows])
-            ids = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in rows])
-            sizes = [len(r["anchors"]) // 6 for r in rows]
-            if rows[0]["bucket"] < 0:
-                if len(h):
-                    yield answer(h, ids, np.concatenate([np.frombuffer(r["keys"], np.int64) for r in rows]))
-                return
-            keys = np.concatenate([np.frombuffer(r["keys"][: 8 * n], np.int64) for r, n in zip(rows, sizes)])
-            known = np.concatenate([np.frombuffer(r["keys"][8 * n :], bool) for r, n in zip(rows, sizes)])
-            order, both = _split(h, ids)
-            keep = order[both & ~known[order]]
-            if len(keep):
-                yield answer(h[keep], ids[keep], keys[keep])
+            parts = [_marked(r) for r in rows]
+            h, ids = (np.concatenate(x) for x in zip(*parts))
+            if rows[0]["bucket"] >= 0:
+                keep = _both(h, ids) & (ids != top)
+                # The least id may be a document's own (a null id); a mark it did not ask
+                # for does no harm.
+                h, ids = h[keep], ids[keep]
+            if len(h):
+                yield answer(h, ids)
 
         held: list[dict] = []
         for batch in batches:
@@ -197,11 +197,12 @@ def _shared(ranged: DataFrame, length: int) -> DataFrame:
                     yield from flush(held)
                     held = []
                 held.append(row)
-        yield from flush(held)
+        if held:
+            yield from flush(held)
 
-    marks = ranged.mapInArrow(local, "bucket int, anchors binary, ids binary, keys binary")
+    marks = ranged.mapInArrow(local, "bucket int, anchors binary, ids binary, which binary")
     placed = marks.repartition("bucket").sortWithinPartitions("bucket")
-    return placed.mapInArrow(meet, "id bigint, key bigint, anchors binary")
+    return placed.mapInArrow(meet, "id bigint, anchors binary")
 
 
 _CONTEXT = pa.schema(
@@ -248,46 +249,62 @@ def _gathered(marked: DataFrame, length: int) -> DataFrame:
 def _indexed(contexts: DataFrame, length: int) -> DataFrame:
     """(id, key, begin, stop): bytes of each row that an earlier document has."""
 
-    def spans(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        ids = np.array([r["id"] for r in rows], np.int64)
-        index = RunIndex([r["context"] for r in rows], ids, length)
-        which, places = [], []
-        for number, place, least in index.stream():
-            gone = least < ids[number]
-            which.append(number[gone])
-            places.append(place[gone])
-        which, places = np.concatenate(which), np.concatenate(places)
-        if not len(which):
+    def spans(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """``rows``: (context, id, key, begin). Equal contexts are one string of the index."""
+        of: dict[bytes, int] = {}
+        which_string = np.array([of.setdefault(r[0], len(of)) for r in rows])
+        ids = np.array([r[1] for r in rows], np.int64)
+        owners = np.full(len(of), 2**63 - 1)
+        np.minimum.at(owners, which_string, ids)
+        index = RunIndex(list(of), owners, length)
+        strings, places, least = (np.concatenate(x) for x in zip(*index.stream()))
+        # By string; all rows of a string then look at its places.
+        order = np.lexsort((places, strings))
+        strings, places, least = strings[order], places[order], least[order]
+        begin = np.searchsorted(strings, which_string)
+        count = np.searchsorted(strings, which_string, "right") - begin
+        row = np.repeat(np.arange(len(rows)), count)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
+        gone = least[at] < ids[row]
+        row, place = row[gone], places[at[gone]]
+        if not len(row):
             return
-        order = np.lexsort((places, which))
-        which, places = which[order], places[order]
-        new = np.concatenate([[True], (which[1:] != which[:-1]) | (places[1:] != places[:-1] + 1)])
+        new = np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(which)) - 1
-        begins = np.array([r["begin"] for r in rows], np.int64)[which[first]]
-        keys = np.array([r["key"] for r in rows], np.int64)
+        last = np.append(first[1:], len(row)) - 1
+        begins = np.array([r[3] for r in rows], np.int64)[row[first]]
+        keys = np.array([r[2] for r in rows], np.int64)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(ids[which[first]]),
-                pa.array(keys[which[first]]),
-                pa.array((begins + places[first]).astype(np.int32)),
-                pa.array((begins + places[last] + length).astype(np.int32)),
+                pa.array(ids[row[first]]),
+                pa.array(keys[row[first]]),
+                pa.array((begins + place[first]).astype(np.int32)),
+                pa.array((begins + place[last] + length).astype(np.int32)),
             ],
             names=["id", "key", "begin", "stop"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        size = 0
+        held: list[tuple] = []  # of finished anchors
+        group: list[tuple] = []  # of the anchor at hand
+        size, current = 0, None
         for batch in batches:
-            done = batch.filter(batch["context"].is_null())
-            yield done.select(["id", "key", "begin", "stop"])
-            for row in batch.filter(batch["context"].is_valid()).to_pylist():
-                if size > BLOCK and row["anchor"] != held[-1]["anchor"]:
-                    yield from spans(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row["context"])
+            yield batch.filter(batch["context"].is_null()).select(["id", "key", "begin", "stop"])
+            rest = batch.filter(batch["context"].is_valid())
+            columns = (rest[c].to_pylist() for c in ("anchor", "context", "id", "key", "begin"))
+            for anchor, *row in zip(*columns):
+                if anchor != current:
+                    # An anchor that one document alone still has holds no repeat.
+                    if any(r[1] != group[0][1] for r in group):
+                        held += group
+                        size += sum(len(r[0]) for r in group)
+                        if size > BLOCK:
+                            yield from spans(held)
+                            held, size = [], 0
+                    group, current = [], anchor
+                group.append(row)
+        if any(r[1] != group[0][1] for r in group):
+            held += group
         if held:
             yield from spans(held)
 
@@ -347,8 +364,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     fresh = stored(fresh, "repeat-fresh")
     ranged = rows.join(fresh.hint("merge"), per_row).select("id", "key", "text", "ranges")
-    shared = _shared(ranged, length).groupBy(*per_row).agg(F.collect_list("anchors").alias("anchors"))
-    marked = ranged.join(shared.hint("merge"), per_row)
+    # Rows that share an id share marks: one that is not their own finds nothing in them.
+    shared = _shared(ranged, length).groupBy("id").agg(F.collect_list("anchors").alias("anchors"))
+    marked = ranged.join(shared.hint("merge"), "id")
     found = _indexed(_gathered(marked, length), length)
     spans = found.unionByName(copied).groupBy(*per_row).agg(F.collect_set(place).alias("spans"))
     joined = rows.join(spans.hint("merge"), per_row, "left").select("id", "key", "text", "spans")
