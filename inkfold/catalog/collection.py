@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from inkfold.catalog.registry import SQL_STAMP, query, stamp
 from inkfold.catalog.views import TEST, Views, sql_strip
-from inkfold.functions.extract import HREF
 from inkfold.operators import extraction as X
 from inkfold.operators import filters as C
 from inkfold.operators import incremental as D
@@ -204,7 +203,12 @@ def scan_quality_log(v: Views):
 
 # --- page extraction ---
 
-_SQL_HREFS = f"regexp_extract_all(html, '{HREF.replace(chr(39), chr(39) * 2)}', 1)"
+# Attribute by attribute, unlike the expression it checks.
+_SQL_VALUE = r"""(?:"[^"]*"|''[^'']*''|[^\s"''>]+)"""
+_SQL_HREFS = (
+    rf"""list_transform(regexp_extract_all(html, '(?i)<a(?:\s+[a-z_:-]+(?:\s*=\s*{_SQL_VALUE})?)*?"""
+    rf"""\s+href\s*=\s*({_SQL_VALUE})', 1), lambda h: replace(trim(h, '"'''), '&amp;', '&'))"""
+)
 _SQL_LINK = f"""list_filter(list_transform(list_filter({_SQL_HREFS}, lambda h: h <> ''),
   lambda h: case when h like 'http%' then h else '{SITE.base_url}' || h end),
   lambda h: regexp_matches(h, '{SITE.url_pattern}') and not contains(h, '#comment'))[1]"""

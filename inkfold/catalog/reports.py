@@ -8,7 +8,6 @@ from inkfold.catalog.registry import SQL_STAMP, query, stamp
 from inkfold.catalog.views import BASE, TEST, Views
 from inkfold.operators import daily_report as H
 from inkfold.operators import investment_report as I
-from inkfold.operators.incremental import report_limit
 from inkfold.session import materialize, run_folder
 from inkfold.sources import sinks
 
@@ -172,8 +171,7 @@ h as (select date, string_agg(entity, ', ' order by place) as hot from hot group
 
 
 _SQL_REPORT = f"""
-with chosen as (select * exclude (k) from (select *, row_number() over (partition by date
-  order by crawl_time, article_id) as k from batch) where k <= 20),
+with chosen as (select * from batch),
 s as ({_SQL_SECTIONS.format('chosen')}), {_SQL_MENTIONS.format('chosen')}, {_SQL_FIRST3}, {_SQL_HOT},
 {_sql_day('chosen')},
 m as {_sql_section('must_read', '### 🔴 必读文章', _SQL_DETAIL)},
@@ -191,13 +189,12 @@ left join h on h.date = o.date"""
 
 
 def _daily_text(v: Views):
-    batch = materialize(v.batch_of(report_limit(v.articles, TEST.daily.limit)))
-    return H.render_report(H.report_lines(batch, STAMP, TEST.site, bounded=True))
+    return H.render_report(H.report_lines(materialize(v.batch), STAMP, TEST.site))
 
 
 @query("render_report", _SQL_REPORT, "batch")
 def render_report(v: Views):
-    """One text per day over the report's own limit of articles."""
+    """One text per day over all of its articles; ``report_limit`` is an operator of its own."""
     return _daily_text(v)
 
 
@@ -326,14 +323,12 @@ def action_list(v: Views):
 
 
 _SQL_INVESTMENT = f"""
-with chosen as (select * exclude (k) from (select *, row_number() over (partition by date
-  order by crawl_time, article_id) as k from batch2) where k <= 20),
-n as ({_SQL_NUMBERED.format('chosen')}), r as ({_SQL_ROUTED.format('chosen')}),
-{_SQL_ACTIONS.format('chosen')},
+with n as ({_SQL_NUMBERED.format('batch2')}), r as ({_SQL_ROUTED.format('batch2')}),
+{_SQL_ACTIONS.format('batch2')},
 l as (select date, count(*) as total, string_agg({_SQL_LIST_LINE}, chr(10) order by number) as t
   from n group by 1),
 e as (select date, string_agg(entity, ', $' order by entity) as t from (
-  select distinct date, unnest(related_stocks) as entity from chosen) group by 1),
+  select distinct date, unnest(related_stocks) as entity from batch2) group by 1),
 kd as (select *, coalesce(json_extract_string(props, '$.k'), '') as kv from r),
 hi as (select date, string_agg('### [' || title || '](' || u || ')' || chr(10) || chr(10) || '**关联标的：** ' || names
   || chr(10) || chr(10) || '**核心论点：** ' || coalesce(core_thesis, '无') || chr(10) || chr(10)
@@ -368,6 +363,6 @@ left join lo on lo.date = l.date left join ac on ac.date = l.date"""
 
 @query("render_investment_report", _SQL_INVESTMENT, "batch2")
 def render_investment_report(v: Views):
-    """One text per day over the report's own limit of articles."""
-    batch = materialize(v.batch2_of(report_limit(v.articles, TEST.investment.limit)))
+    """One text per day over all of its articles."""
+    batch = materialize(v.batch2)
     return I.render_investment_report(I.investment_lines(batch, STAMP))

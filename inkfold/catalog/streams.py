@@ -39,7 +39,7 @@ def stream_incremental_ingest(v: Views):
     source, schema = _arrivals(v, 2)
     table, state = run_folder(v.spark, "ingested"), run_folder(v.spark, "ingest-state")
     arrivals = ingest.read_arrivals(v.spark, source, schema)
-    ingest.stream_ingest_within_watermark(arrivals, table, state).awaitTermination()
+    ingest.stream_ingest_by_state(arrivals, table, state).awaitTermination()
     return _once(_stored(v, table, schema))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from inkfold.functions.text import before_marker, cut, first_line, nonempty, strip
 from inkfold.params import SiteParams
 
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+QUOTES = r"""^["']|["']$"""
 PAGE_TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 MAX_TITLE = 100
 MIN_FIRST_LINE = 5
@@ -18,7 +19,11 @@ MIN_HEURISTIC_CONTENT = 200
 
 def article_links(html: Column, site: SiteParams) -> Column:
     """All absolute article links of a page or list item, in page order."""
-    hrefs = F.filter(F.regexp_extract_all(html, F.lit(HREF), 1), lambda h: h != "")
+    values = F.transform(
+        F.regexp_extract_all(html, F.lit(HREF), 1),
+        lambda h: F.replace(F.regexp_replace(h, QUOTES, ""), F.lit("&amp;"), F.lit("&")),
+    )
+    hrefs = F.filter(values, lambda h: h != "")
     absolute = F.transform(
         hrefs,
         lambda h: F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(site.base_url), h)),

@@ -27,24 +27,24 @@ def with_object(df: DataFrame, json_text: Column, schema: StructType, out: str)
     """Adds the object as a struct, NULL unless the text is exactly one readable JSON object.
 
     The reader alone would accept an object followed by other text. Inside an array,
-    trailing text is a syntax error and a second object a second element. The parsed
-    value is a column of its own, so that its three uses parse once.
+    trailing text is a syntax error and a second object a second element. Whether the
+    text is JSON is decided on its elements as plain text, which fit any value; its fields
+    are read in a second pass, where one of another type is NULL and the others stay.
     """
-    wrapper = StructType(
+    wrapped = F.concat(F.lit('{"v":['), json_text, F.lit("]}"))
+    any_value = StructType(
         [
-            StructField("v", ArrayType(schema), True),
+            StructField("v", ArrayType(StringType()), True),
             StructField(_CORRUPT, StringType(), True),
         ]
     )
-    read = F.from_json(
-        F.concat(F.lit('{"v":['), json_text, F.lit("]}")),
-        wrapper,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
-    )
-    objects = F.col("_read")["v"]
-    sound = F.col("_read")[_CORRUPT].isNull() & (F.size(objects) == 1)
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    read = F.from_json(wrapped, any_value, {**strict, "columnNameOfCorruptRecord": _CORRUPT})
+    values = F.from_json(wrapped, StructType([StructField("v", ArrayType(schema), True)]), strict)
+    sound = F.col("_read")[_CORRUPT].isNull() & (F.size(F.col("_read")["v"]) == 1)
     return (
         df.withColumn("_read", read)
-        .withColumn(out, F.when(sound, F.get(objects, F.lit(0))))
-        .drop("_read")
+        .withColumn("_values", values)
+        .withColumn(out, F.when(sound, F.get(F.col("_values")["v"], F.lit(0))))
+        .drop("_read", "_values")
     )

@@ -105,9 +105,13 @@ def incremental_batch(
     site: SiteParams = SiteParams(),
     crawl: CrawlParams = CrawlParams(),
     batch_order: tuple[str, ...] = ("account_order", "pos"),
+    detail_order: str | None = None,
 ) -> DataFrame:
     """The articles one run keeps.
 
+    Of several details of one url the one with the largest ``detail_order`` (a column such
+    as the fetch time) counts, then the one with the largest hash of its content.
+
     Order matters: known ids out, cap, detail overlay, type filter, index dedup. An item
     dropped after the cap is not replaced by a later one. The list's text is left out
     until the cap has cut the list to a few items per user.
@@ -120,9 +124,24 @@ def incremental_batch(
     # Only an item with a detail row can be a column article, and a detail row replaces
     # every list field; so the list's own text and counters never reach the result. The
     # filters need title and type alone, and only what they keep fetches its text.
+    details = one_detail(details, detail_order)
     typed = merge_list_detail(capped, details.select("url", "title", "is_column"))
     kept = index_dedup(filter_column_articles(typed, site), index, list(batch_order))
-    return merge_list_detail(kept.drop("title", "is_column", "url"), details)
+    # Details that are equal in all columns are still several rows; few articles are left.
+    return merge_list_detail(kept.drop("title", "is_column", "url"), details).dropDuplicates(
+        ["article_id"]
+    )
+
+
+def one_detail(details: DataFrame, order: str | None = None) -> DataFrame:
+    """The rows of ``details`` that count for their url; equal rows are left as they are."""
+    rank = F.struct(*([F.col(order)] if order else []), F.xxhash64(*details.columns).alias("_hash"))
+    ranked = details.withColumn("_rank", rank)
+    best = ranked.groupBy("url").agg(F.max("_rank").alias("_best"))
+    best = best.select(F.col("url").alias("_url"), "_best")
+    return ranked.join(best, (F.col("url") == F.col("_url")) & (F.col("_rank") == F.col("_best"))).drop(
+        "_url", "_best", "_rank"
+    )
 
 
 def incremental_counts(

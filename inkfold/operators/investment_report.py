@@ -242,12 +242,12 @@ def investment_lines(
 ) -> DataFrame:
     """Every line of every day's report, keyed as in ``functions.lines``.
 
-    For day-limited batches: one line names all entities of a day. The batch is read
-    several times, so it should be a stored or materialized table.
+    One line names all entities of a day; everything else is a line per article. The
+    batch is read several times, so it should be a stored or materialized table.
     """
     stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
     listed = line_rows(
-        article_list(batch, p, bounded=True), keyed(1, lines_of(F.col("line")), place(F.col("number")))
+        article_list(batch, p), keyed(1, lines_of(F.col("line")), place(F.col("number")))
     )
     return (
         _fixed_lines(batch, stamp, p)

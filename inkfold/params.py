@@ -223,7 +223,6 @@ class DailyReportParams:
 class InvestmentReportParams:
     """Cuts and line formats of the investment report. Fixed values."""
 
-    limit: int = 20
     list_title_chars: int = 50
     medium_title_chars: int = 40
     medium_thesis_chars: int = 60

@@ -12,7 +12,6 @@ from inkfold.operators.incremental import (
     enabled_accounts,
     incremental_batch,
     report_batch,
-    report_limit,
     snapshot_rollup,
 )
 from inkfold.operators.investment_report import investment_lines, render_investment_report
@@ -80,12 +79,11 @@ def investment_report(
     generated_at: Column | str,
     params: Params = Params(),
 ) -> DataFrame:
-    """One investment report text per day, limited to the day's first articles."""
-    chosen = report_limit(articles, params.investment.limit)
+    """One investment report text per day over all of the day's articles."""
     if responses is None:
-        batch = analyze_rules_v2(chosen, params.entity).drop("content")
+        batch = analyze_rules_v2(articles, params.entity).drop("content")
     else:
-        batch = attach_responses_v2(chosen, responses, params.entity)
+        batch = attach_responses_v2(articles, responses, params.entity)
     return render_investment_report(
         investment_lines(materialize(batch), generated_at, params.investment)
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,14 +11,14 @@ from inkfold.operators.incremental import enabled_accounts, explode_snapshots
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path (no wildcard) exists on whatever file system it names."""
+    """Whether a path (no wildcard) exists on whatever file system it names.
+
+    A file system that fails is an error, not a missing file.
+    """
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    try:
-        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hadoop_path))
-    except Py4JJavaError:
-        return False
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hadoop_path))
 
 
 def spread(df: DataFrame, *key: str) -> DataFrame:

@@ -118,8 +118,8 @@ def test_investment_report(spark):
         .withColumn("link", F.concat(F.lit("l"), "article_id"))
     )
     (rules,) = daily.investment_report(articles, None, "now").collect()
-    assert "共爬取 **20** 篇新文章。" in rules.report and "20. [Title 19](l19)" in rules.report
-    assert "### 需要关注\n- Title 0\n" in rules.report and "- ... 还有 15 条" in rules.report
+    assert "共爬取 **25** 篇新文章。" in rules.report and "25. [Title 24](l24)" in rules.report
+    assert "### 需要关注\n- Title 0\n" in rules.report and "- ... 还有 20 条" in rules.report
     responses = spark.createDataFrame(
         [("0", '{"importance": "high", "core_thesis": "big", "related_stocks": ["X"]}', None)],
         "article_id string, response string, error string",

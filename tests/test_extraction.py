@@ -222,3 +222,21 @@ def test_workers_need_not_have_the_package(tmp_path):
         [sys.executable, "-c", WORKER_WITHOUT_PACKAGE, root], cwd=tmp_path, capture_output=True, text=True, timeout=300
     )
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_links_of_the_right_attribute(spark):
+    from pyspark.sql import functions as F
+
+    from inkfold.functions.extract import article_links
+    from inkfold.params import SiteParams
+
+    site = SiteParams(base_url="https://s.example", article_url_pattern=r"/\d+/\d+")
+    pages = [
+        '<a data-href="/9/9" href="/1/2">x</a>',
+        "<a href=/1/2>x</a>",
+        "<a class='c' HREF = '/1/2?a=1&amp;b=2'>x</a>",
+        '<a data-href="/9/9">x</a>',
+    ]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    found = [r.l for r in df.select(article_links(F.col("html"), site).alias("l")).collect()]
+    assert found == [["https://s.example/1/2"], ["https://s.example/1/2"], ["https://s.example/1/2?a=1&b=2"], []]

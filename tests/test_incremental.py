@@ -203,3 +203,13 @@ def test_report_batch_skips_missing_documents_before_the_limit(spark):
             for n, i in enumerate([i for i in range(2, 12) if i % 2 == day][:limit], 1)
         }
         assert picked == want
+
+
+def test_one_detail_of_each_url(spark):
+    from inkfold.operators.incremental import one_detail
+
+    rows = [("u1", "a", 1), ("u1", "b", 2), ("u2", "c", 1), ("u2", "c", 1), (None, "d", 1)]
+    details = spark.createDataFrame(rows, "url string, title string, at int")
+    found = [tuple(r) for r in one_detail(details, "at").collect()]
+    assert sorted(found) == [("u1", "b", 2), ("u2", "c", 1), ("u2", "c", 1)]
+    assert len({r.title for r in one_detail(details).filter("url = 'u1'").collect()}) == 1

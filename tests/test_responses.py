@@ -111,3 +111,12 @@ def test_second_form_falls_back_to_rules(spark):
     rows = {r.article_id: r.analysis for r in G.attach_responses_v2(articles, responses).collect()}
     assert rows["a"].importance == "low" and rows["a"].related_stocks is None
     assert rows["b"].related_stocks == ["CD"] and rows["c"].related_stocks == ["EF"]
+
+
+def test_other_than_json_is_not_readable_and_a_mistyped_field_costs_itself_only(spark):
+    from inkfold.operators.responses import parse_response_v1
+
+    rows = ["{'category': 'x'}", "{category: \"x\"}", '{"category": "c", "related_stocks": "A", "summary": "s"}']
+    found = parse_response_v1(spark.createDataFrame([(r,) for r in rows], "response string")).collect()
+    assert [r.readable for r in found] == [False, False, True]
+    assert (found[2].analysis.category, found[2].analysis.summary, found[2].analysis.related_stocks) == ("c", "s", None)

@@ -194,3 +194,11 @@ def test_shared_folder_is_the_one_the_cluster_names(tmp_path):
         [sys.executable, "-c", SESSION_WITH_FOLDER, folder], cwd=root, capture_output=True, text=True, timeout=300
     )
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_a_file_system_that_fails_is_not_a_missing_file(spark, tmp_path):
+    from inkfold.sources import tables
+
+    assert not tables.path_exists(spark, str(tmp_path / "none"))
+    with pytest.raises(Exception):
+        tables.scan_index_map(spark, "nosuchscheme://host/index.json")

@@ -20,7 +20,7 @@ def arrivals(spark, path, schema, one_file_at_a_time=True):
     return ingest.read_arrivals(spark, path, schema, 1 if one_file_at_a_time else None)
 
 
-@pytest.mark.parametrize("start", [ingest.stream_ingest_within_watermark, ingest.stream_ingest_exact])
+@pytest.mark.parametrize("start", [ingest.stream_ingest_by_state, ingest.stream_ingest_exact])
 def test_each_article_once_also_after_a_restart(spark, tmp_path, start):
     source, table, state = (str(tmp_path / x) for x in ("in", "table", "state"))
     first = rows(spark, range(40))
@@ -56,3 +56,22 @@ def test_counters_equal_batch_and_grow(spark, tmp_path):
         want = sorted(map(tuple, quality_counters.daily_counters(total).collect()))
         got = spark.read.parquet(table).select("date", "total_articles", "passed", "failed")
         assert sorted(map(tuple, got.collect())) == want
+
+
+def test_late_articles_are_stored_and_counted(spark, tmp_path):
+    """Months behind what has arrived already."""
+    source, table, state, counts, kept = (str(tmp_path / x) for x in ("in", "table", "state", "counts", "kept"))
+    schema = rows(spark, [1]).schema
+    total = None
+    for month, ids in ((12, range(20)), (11, range(15, 25)), (1, range(24, 30))):
+        new = rows(spark, ids).withColumn("crawl_time", F.lit(f"2024-{month:02d}-03 10:00:00").cast("timestamp"))
+        total = new if total is None else total.unionByName(new)
+        new.write.mode("append").parquet(source)
+        ingest.stream_ingest_by_state(arrivals(spark, source, schema, False), table, state).awaitTermination()
+        quality_counters.stream_quality_counters(
+            arrivals(spark, source, schema, False), counts, kept
+        ).awaitTermination()
+    assert sorted(int(r.article_id) for r in spark.read.parquet(table).collect()) == list(range(30))
+    want = sorted(map(tuple, quality_counters.daily_counters(total).collect()))
+    got = spark.read.parquet(counts).select("date", "total_articles", "passed", "failed")
+    assert sorted(map(tuple, got.collect())) == want
