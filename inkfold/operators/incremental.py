@@ -199,12 +199,10 @@ def snapshot_rollup(
     chunks = F.ceil(F.col("article_count") / F.lit(chunk)).cast("int")
     records = (
         kept.join(counts, ["user_id", "date"])
-        .groupBy(
-            "user_id",
-            "date",
-            "article_count",
-            F.pmod(F.hash("article_id"), chunks).alias("chunk"),
-        )
+        .withColumn("chunk", F.pmod(F.hash("article_id"), chunks))
+        # The join leaves a run's rows in one partition, and the grouping would keep them there.
+        .repartition("user_id", "date", "chunk")
+        .groupBy("user_id", "date", "article_count", "chunk")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     )
     return runs.join(records, ["user_id", "date"], "left").select(

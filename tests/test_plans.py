@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from inkfold.catalog.registry import QUERIES
 from inkfold.operators import daily_report as H
 from inkfold.operators import filters as C
 from inkfold.operators import incremental as D
@@ -99,7 +100,7 @@ def test_entities_are_extracted_once_per_pass(spark):
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 @pytest.mark.parametrize(
-    "name", [n for n in contract.queries() if not n.startswith(("stream_", "sink_", "scan_", "render_", "report_lines"))]
+    "name", [n for n in QUERIES if not n.startswith(("stream_", "sink_", "scan_", "render_", "report_lines"))]
 )
 def test_no_cross_join_and_no_single_task_window(spark, name):
     text = plan(contract.queries()[name](spark, SF))
@@ -108,3 +109,22 @@ def test_no_cross_join_and_no_single_task_window(spark, name):
     # A window without a partition would pull the whole table into one task.
     if "Window [" in text or "WindowGroupLimit" in text:
         assert "Exchange SinglePartition\n" not in text.split("Subquery")[0]
+
+
+def test_a_hot_run_is_dealt_by_chunk(spark):
+    """One (user, date) with most of the rows is gathered by several tasks."""
+    from inkfold.operators.incremental import snapshot_rollup
+
+    kept = spark.range(20_000).select(
+        F.lit("u").alias("user_id"),
+        F.lit("2024-01-01").cast("date").alias("date"),
+        F.col("id").alias("ord"),
+        F.col("id").cast("string").alias("article_id"),
+        F.lit("t").alias("title"),
+        F.lit("2024-01-01 10:00:00").cast("timestamp").alias("crawl_time"),
+    )
+    runs = kept.select("user_id", "date").distinct()
+    rolled = snapshot_rollup(runs, kept, chunk=1000)
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    assert rolled.count() == 20
