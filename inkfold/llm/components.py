@@ -25,7 +25,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of ``links`` (columns u, v); root is the least of its component.
 
-    Large-star and small-star steps in turn, until nothing changes. Each is a grouping
+    Large-star and small-star steps in turn, until all links lead to a root. Each is a grouping
     with a partial minimum and a join of tables with exchanges of their own, so a node
     with very many links is split. Rows stay as many as links at most. A root itself is
     not listed unless it links to itself; links of a node to itself are ignored.
@@ -36,13 +36,19 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = None
     while True:
         high = stored(_large_star(edges).filter("u > v").distinct(), "links")
         after = stored(_small_star(high).filter("u > v").distinct(), "links")
         discard(edges, high)
         edges = after
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before:
+        if _is_forest_of_stars(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+
+
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, which is no u itself. Steps keep what is connected."""
+    roles = edges.select("u", F.lit(1).alias("low"), F.lit(0).alias("high")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("low"), F.lit(1).alias("high"))
+    )
+    roles = roles.groupBy("u").agg(F.sum("low").alias("low"), F.max("high").alias("high"))
+    return roles.agg(F.count_if(F.expr("low > 1 or low = 1 and high = 1"))).first()[0] == 0
