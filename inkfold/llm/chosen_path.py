@@ -35,7 +35,8 @@ PERCENT = 75  # similarity that links
 TREES = 4
 BRANCH = 3
 TOKENS = 64  # of a signature
-AGREE = 27  # of 64 tokens that two sets of similarity 0.75 share but for 1e-9
+AGREE = 27  # of 64 tokens that two sets of similarity 0.75 share but for 6e-9
+DIFFER = 42  # of a sketch's 128 bits in which they differ at most, but for 3e-7
 FEW = 48  # pairs a member up to which a node is compared exhaustively; doubles each level
 ROWS = 256
 
@@ -60,8 +61,14 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _sketches(tokens: np.ndarray) -> np.ndarray:
+    """Two bits of every token, as two 64-bit numbers a row."""
+    bits = np.stack([tokens & 1, (tokens >> 1) & 1], 1).astype(np.uint8)
+    return np.packbits(bits, axis=2).reshape(len(tokens), 2, -1).view("<i8")[:, :, 0]
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_key, n, set_key, tokens) of every row."""
+    """(id, text_key, n, set_key, tokens, s1, s2) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = shingles.WordHashes()
@@ -70,6 +77,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 batch = whole.slice(start, ROWS)
                 sets = [shingles.shingle_set(t, hashes) for t in batch["text"].to_pylist()]
                 tokens = _signatures(sets)
+                sketches = _sketches(tokens)
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -78,18 +86,23 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(list(tokens), pa.list_(pa.int32())),
+                        pa.array(sketches[:, 0].copy()),
+                        pa.array(sketches[:, 1].copy()),
                     ],
-                    names=["id", "text_key", "n", "set_key", "tokens"],
+                    names=["id", "text_key", "n", "set_key", "tokens", "s1", "s2"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")
-    ).mapInArrow(run, f"id {kind}, text_key bigint, n bigint, set_key binary, tokens array<int>")
+    ).mapInArrow(
+        run,
+        f"id {kind}, text_key bigint, n bigint, set_key binary, tokens array<int>, s1 bigint, s2 bigint",
+    )
 
 
 def _children(rows: DataFrame, level: int) -> DataFrame:
-    """(path, tree, branch, set_key): each row goes on to BRANCH nodes by a token each.
+    """(path, tree, branch, set_key, s1, s2): each row goes on to BRANCH nodes by a token each.
 
     Which tokens, the path decides. At the root all trees choose different ones.
     """
@@ -103,25 +116,37 @@ def _children(rows: DataFrame, level: int) -> DataFrame:
         token = F.element_at("tokens", at + 1)
         path = F.xxhash64("path", F.lit(level), at, token)
         made.append(F.struct(path.alias("path"), F.lit(b).alias("branch")))
-    return rows.select(F.explode(F.array(*made)).alias("n"), "tree", "set_key").select(
-        "n.path", "tree", "n.branch", "set_key"
+    return rows.select(F.explode(F.array(*made)).alias("n"), "tree", "set_key", "s1", "s2").select(
+        "n.path", "tree", "n.branch", "set_key", "s1", "s2"
     )
 
 
 def _members(rows: DataFrame, level: int) -> DataFrame:
     """The children's members, with the pivot of their node, where it has two members."""
     placed = _children(rows, level)
-    pivot = F.min(F.struct(F.xxhash64("path", "set_key").alias("by"), "set_key"))
+    pivot = F.min(F.struct(F.xxhash64("path", "set_key").alias("by"), "set_key", "s1", "s2"))
     nodes = stored(
         placed.groupBy("path", "tree")
         .agg(F.count(F.lit(1)).alias("size"), pivot.alias("pivot"))
         .filter("size > 1")
-        .select("path", "tree", F.col("pivot.set_key").alias("pivot")),
+        .select(
+            "path",
+            "tree",
+            F.col("pivot.set_key").alias("pivot"),
+            F.col("pivot.s1").alias("p1"),
+            F.col("pivot.s2").alias("p2"),
+        ),
         "path-nodes",
     )
     return stored(placed.join(nodes.hint("merge"), ["path", "tree"]), "path-members")
 
 
+def _alike(a1: str, a2: str, b1: str, b2: str):
+    """Whether two sketches differ in few enough bits."""
+    bits = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+    return bits(a1, b1) + bits(a2, b2) <= DIFFER
+
+
 def _rooted(rows: DataFrame, ends: DataFrame | None, key: str, name: str) -> DataFrame:
     """``rows`` with the root of ``key`` so far, itself where it has none."""
     if ends is None:
@@ -151,17 +176,19 @@ def _open(members: DataFrame, ends: DataFrame | None, level: int) -> tuple[DataF
         ),
         "path-apart",
     )
-    rows = rows.select("path", "tree", "set_key", "root")
+    rows = rows.select("path", "tree", "set_key", "root", "s1", "s2")
     apart = stored(rows.join(nodes.hint("merge"), ["path", "tree"]), "path-open")
     # All pairs but those inside a component have a member outside the largest one.
     few = apart.filter("few")
     outside = few.filter("root != main").select(
-        "path", "tree", F.col("set_key").alias("u"), F.col("root").alias("root_u")
+        "path", "tree", F.col("set_key").alias("u"), F.col("root").alias("root_u"),
+        F.col("s1").alias("p1"), F.col("s2").alias("p2"),
     )
     exhaustive = (
-        few.select("path", "tree", F.col("set_key").alias("v"), "root")
+        few.select("path", "tree", F.col("set_key").alias("v"), "root", "s1", "s2")
         .join(outside.hint("merge"), ["path", "tree"])
         .filter("root != root_u")
+        .filter(_alike("s1", "s2", "p1", "p2"))
         .select("u", "v")
     )
     return exhaustive, apart.filter("not few").select("path", "tree", "set_key")
@@ -250,6 +277,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
             F.min("id").alias("least_id"),
             F.first("n").alias("n"),
             F.first("tokens").alias("tokens"),
+            F.first("s1").alias("s1"),
+            F.first("s2").alias("s2"),
         ),
         "set_key",
         "path_sets",
@@ -287,7 +316,7 @@ def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percen
     """(node, root) of all sets that link to a smaller one."""
     spark = docs.sparkSession
     trees = F.explode(F.array(*map(F.lit, range(TREES)))).alias("tree")
-    inner = sets.select("set_key", "tokens", trees).withColumn("path", F.col("tree").cast("bigint"))
+    inner = sets.select("set_key", "tokens", "s1", "s2", trees).withColumn("path", F.col("tree").cast("bigint"))
     members = _members(inner, 0)
     texts, name = _texts(docs, sets, members.select("set_key"), id_col, text_col)
     ends = tested = None
@@ -306,7 +335,8 @@ def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percen
     level, exhaustive = 0, None
     while True:
         for which in rounds:
-            pairs = members.filter(which).filter("set_key != pivot").select("set_key", "pivot")
+            near = members.filter(which).filter(_alike("s1", "s2", "p1", "p2"))
+            pairs = near.filter("set_key != pivot").select("set_key", "pivot")
             pairs = _rooted(_rooted(pairs.distinct(), ends, "set_key", "x"), ends, "pivot", "y")
             pairs = pairs.filter("x != y").select(F.col("set_key").alias("u"), F.col("pivot").alias("v"))
             if exhaustive is not None:
@@ -316,7 +346,7 @@ def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percen
         if large.isEmpty():
             break
         level, rounds = level + 1, ["true"]
-        members = _members(large.join(sets.select("set_key", "tokens").hint("merge"), "set_key"), level)
+        members = _members(large.join(sets.select("set_key", "tokens", "s1", "s2").hint("merge"), "set_key"), level)
     compare(exhaustive)
     spark.sql(f"drop table {name}")
     return ends
