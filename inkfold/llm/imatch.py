@@ -59,13 +59,17 @@ def _row(kept: Column, scale: Column) -> Column:
         lambda x: x["slot"] < SLOTS,
     )
 
-    def one(slot):
-        mine = F.transform(F.filter(inside, lambda x: x["slot"] == slot), lambda x: x["term"])
+    slots = F.sequence(F.lit(0), F.least(size, F.lit(SLOTS)) - 1)
+
+    def one(held, slot):
+        mine = F.transform(F.filter(held, lambda x: x["slot"] == slot), lambda x: x["term"])
         return F.when(F.size(mine) == 0, "-").otherwise(F.right(F.hex(F.xxhash64(mine)), F.lit(8)))
 
-    return F.array_join(
-        F.transform(F.sequence(F.lit(0), F.least(size, F.lit(SLOTS)) - 1), one), ","
+    # Inside an array of one, the chosen terms are computed once for all subsets.
+    joined = F.transform(
+        F.array(inside), lambda held: F.array_join(F.transform(slots, lambda slot: one(held, slot)), ",")
     )
+    return joined[0]
 
 
 def fingerprint(kept: Column, whole: Column) -> Column:
