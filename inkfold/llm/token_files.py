@@ -20,6 +20,7 @@ import hashlib
 import os
 import re
 import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ SAMPLE = 1000  # documents the dictionary is trained on, at most
 SAMPLE_IDS = 4096  # ids of one of them, at most; longer ones need no dictionary
 LEVEL = 3
 ROWS = 256
-MEMO = 300_000  # units whose ids a task remembers
+MEMO = 800_000  # units whose ids a worker process remembers
 UNIT = 64  # characters of a unit that is remembered
 
 MANIFEST = (
@@ -56,6 +57,15 @@ _UNITS = re.compile("[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 
 
+def _memo(tokenizer: str) -> dict[str, bytes]:
+    """Ids of units, kept for the next tasks of the process.
+
+    The code of a task comes with it and has globals of its own; a module stays.
+    """
+    kept = sys.modules.setdefault("_inkfold_units", types.ModuleType("_inkfold_units"))
+    return kept.__dict__.setdefault(tokenizer, {})
+
+
 class Encoder:
     """Ids of whole texts through the library, whose result for a unit is remembered."""
 
@@ -66,7 +76,7 @@ class Encoder:
         self.library = Tokenizer.from_file(tokenizer)
         self.library.encode_special_tokens = True
         self.end = b"" if end is None else int(end).to_bytes(4, "little")
-        self.memo: dict[str, bytes] = {}
+        self.memo = _memo(tokenizer)
 
     def _fresh(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
