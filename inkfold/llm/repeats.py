@@ -339,6 +339,17 @@ def _removed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _by_id(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with what ``other`` has for the same id and key.
+
+    Only the id is a key of the join, so that all joins of texts share one exchange; the
+    other equality is written so that it stays a condition beside it.
+    """
+    other = other.withColumnsRenamed({"id": "_id", "key": "_key"}).hint("merge")
+    same = F.col("key").bitwiseXOR(F.col("_key")) == 0
+    return rows.join(other, (F.col("id") == F.col("_id")) & same, how).drop("_id", "_key")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """(id, n_bytes, spans, kept) of every row of ``docs``.
 
@@ -349,7 +360,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``length`` are kept. Repeated rows get a row each. Other columns are not read. An empty
     table gives an empty result. ``length`` is at least 24.
 
-    Texts pass one exchange, by row: all three joins that need them read it.
+    Texts pass one exchange, by id: all three joins that need them read it.
     """
     rows = _rows(docs, id_col, text_col)
     chunks = stored(_chunked(rows, length), "repeat-chunks")
@@ -363,11 +374,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "id", "key", "begin", (F.col("stop") + length - 1).cast("int").alias("stop")
     )
     fresh = stored(fresh, "repeat-fresh")
-    ranged = rows.join(fresh.hint("merge"), per_row).select("id", "key", "text", "ranges")
+    ranged = _by_id(rows, fresh).select("id", "key", "text", "ranges")
     # Rows that share an id share marks: one that is not their own finds nothing in them.
     shared = _shared(ranged, length).groupBy("id").agg(F.collect_list("anchors").alias("anchors"))
     marked = ranged.join(shared.hint("merge"), "id")
     found = _indexed(_gathered(marked, length), length)
     spans = found.unionByName(copied).groupBy(*per_row).agg(F.collect_set(place).alias("spans"))
-    joined = rows.join(spans.hint("merge"), per_row, "left").select("id", "key", "text", "spans")
+    joined = _by_id(rows, spans, "left").select("id", "key", "text", "spans")
     return _removed(joined).withColumn("id", F.nullif("id", F.lit(LEAST_ID)))
