@@ -106,9 +106,8 @@ def _featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             style, n = np.unique([x[3] for x in found], return_counts=True)
             own = measures(raw, words, len(distinct))
             at = np.concatenate([[f for x in found for f in x[:3]], style, own])
-            value = np.concatenate(
-                [np.ones(3 * len(found)), STYLE_SCALE * n / max(1, len(found)), np.ones(len(own))]
-            )
+            # Words count one each; only the values behind them are sent.
+            value = np.concatenate([STYLE_SCALE * n / max(1, len(found)), np.ones(len(own))])
             rows.append((at.astype(np.int32).tobytes(), value.astype(np.float32).tobytes()))
         yield pd.DataFrame({"grade": frame["grade"], "at": [a for a, _ in rows], "value": [v for _, v in rows]})
 
@@ -130,10 +129,28 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     if rows["grade"].nunique() < 2:
         return None
     rows = rows.sort_values(["grade", "at"])  # the sums below then add up in one order
+    grades, (at, value, begin) = rows["grade"].to_numpy(), _sparse(rows)
+    del rows
+    return _solve(grades, at, value, begin)
+
+
+def _sparse(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of all rows one after another, their values, and where each row begins.
+
+    Features of fewer than LEAST_ROWS rows are left out here, before anything is computed.
+    """
     at = np.frombuffer(b"".join(rows["at"]), np.int32)
-    value = np.frombuffer(b"".join(rows["value"]), np.float32)
-    begin = np.concatenate([[0], np.cumsum(rows["at"].map(len).to_numpy() // 4)])[:-1]
-    return _solve(rows["grade"].to_numpy(), at, value, begin)
+    ends = np.cumsum(rows["at"].map(len).to_numpy() // 4)
+    tails = rows["value"].map(len).to_numpy() // 4
+    value = np.ones(len(at), np.float32)
+    place = np.arange(tails.sum()) - np.repeat(np.cumsum(tails) - tails, tails)
+    value[np.repeat(ends - tails, tails) + place] = np.frombuffer(b"".join(rows["value"]), np.float32)
+    own = np.arange((1 << WORDS_BITS) + STYLE, DIMENSIONS)  # measures stay, so no row is empty
+    often = np.bincount(at, minlength=DIMENSIONS) >= LEAST_ROWS
+    often[own] = True
+    keep = often[at]
+    begin = np.concatenate([[0], np.cumsum(keep)[ends[:-1] - 1]])
+    return at[keep].astype(np.int64), value[keep], begin
 
 
 def _solve(grades: np.ndarray, at: np.ndarray, value: np.ndarray, begin: np.ndarray) -> Model:
@@ -150,13 +167,13 @@ def _solve(grades: np.ndarray, at: np.ndarray, value: np.ndarray, begin: np.ndar
     seen = np.bincount(at, minlength=DIMENSIONS)
     usual = np.bincount(at, value, DIMENSIONS) / np.maximum(seen, 1)
     scale = np.where(seen >= LEAST_ROWS, 1 / (np.maximum(usual, 1e-6) * np.sqrt(seen / rows + SOFTEN)), 0.0)
-    value = value * scale[at]
+    value = value * scale.astype(np.float32)[at]
 
     def forth(w: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(w[at] * value, begin)
+        return np.add.reduceat(w.astype(np.float32)[at] * value, begin).astype(np.float64)
 
     def back(by_row: np.ndarray) -> np.ndarray:
-        return np.bincount(at, np.repeat(by_row, lengths) * value, DIMENSIONS) / rows
+        return np.bincount(at, np.repeat(by_row.astype(np.float32), lengths) * value, DIMENSIONS) / rows
 
     direction = np.bincount(at, value, DIMENSIONS)
     for _ in range(8):
