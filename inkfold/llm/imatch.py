@@ -198,7 +198,8 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts pass one exchange, by id; it serves both sides of the join with the neighbour,
     whose other side carries only the beginnings that are asked for.
     """
-    docs = _rows(docs, id_col, text_col)
+    # The key comes after the joins: both sides then ask for the same columns and exchange.
+    docs = _rows(docs, id_col, text_col).drop("key")
     counted = stored(frequencies(docs, "text"), "imatch-frequencies")
     sizes = stored(
         docs.groupBy("own").agg(F.max(F.char_length("text")).alias("n"), F.count(F.lit(1)).alias("rows")),
@@ -219,7 +220,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     rows = edited.select(
         "own",
-        "key",
+        F.xxhash64("text").alias("key"),
         terms(F.col("text")).alias("side_0"),
         terms(F.col("edited")).alias("side_1"),
         "next_id",
