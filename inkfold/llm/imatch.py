@@ -1,8 +1,12 @@
 """I-Match fingerprints over randomised lexicon subsets.
 
 The lexicon is the terms whose document frequency lies in a band: common enough that a
-document has many, rare enough to tell documents apart. A document keeps its distinct
-lexicon terms, sorted. The lexicon is split at random into ``2 ** scale`` subsets; the
+document has many, rare enough to tell documents apart. Frequencies count documents with the
+same terms once. A document keeps its distinct lexicon terms, sorted. Where more of its terms
+lie above the band than in it, as in a large group of near copies, which lifts its own words
+there, the rarest of those above are added until half of them all are kept.
+
+The lexicon is split at random into ``2 ** scale`` subsets; the
 fingerprint holds a hash of the document's terms in each of the first ``SLOTS`` of them. The
 scale follows the number of terms, so that a subset has one or two: an edit then
 changes the hashes of the subsets it touches and leaves the others. A second row of hashes
@@ -35,20 +39,47 @@ def terms(text: Column) -> Column:
     return F.sort_array(F.transform(distinct, lambda w: F.xxhash64(w)))
 
 
-def lexicon(counted: DataFrame, documents: int) -> DataFrame:
-    """(term) of the band. At most the mean number of terms of a document over LEAST_SHARE."""
-    return counted.filter(
-        (F.col("documents") >= LEAST_SHARE * documents) & (F.col("documents") <= MOST_SHARE * documents)
-    ).select("term")
-
+def lexicon(docs: DataFrame, text_col: str) -> DataFrame:
+    """(term, above) of the band and above it; ``above`` is null in the band, else the frequency.
 
-def frequencies(docs: DataFrame, text_col: str) -> DataFrame:
-    """(term, documents) over all rows."""
-    return (
-        docs.select(F.explode(terms(F.col(text_col))).alias("term"))
+    At most the mean number of terms of a document over LEAST_SHARE.
+    """
+    counted, documents = frequencies(docs, text_col)
+    counted = stored(counted, "imatch-frequencies").filter(F.col("documents") >= LEAST_SHARE * documents)
+    above = F.when(F.col("documents") > MOST_SHARE * documents, F.col("documents"))
+    return stored(counted.select("term", above.alias("above")), "imatch-lexicon")
+
+
+def frequencies(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
+    """(term, documents) over the distinct sets of terms, and how many sets there are."""
+    held = docs.select(terms(F.col(text_col)).alias("terms")).withColumn("whole", F.xxhash64("terms"))
+    sets = stored(held.groupBy("whole").agg(F.count(F.lit(1)).alias("rows")), "imatch-sets")
+    repeated = sets.filter("rows > 1").select("whole", F.col("whole").alias("repeated"))
+    if repeated.count() <= BROADCAST_TERMS:
+        repeated = F.broadcast(repeated)
+    # Rows whose set has no other are added up in the map tasks; a repeated set is one each.
+    counted = (
+        held.join(repeated, "whole", "left")
+        .select("repeated", F.explode("terms").alias("term"))
+        .groupBy("term", "repeated")
+        .agg(F.count(F.lit(1)).alias("rows"))
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("documents"))
+        .agg(F.sum(F.when(F.col("repeated").isNull(), F.col("rows")).otherwise(1)).alias("documents"))
     )
+    return counted, sets.count()
+
+
+def chosen(band: Column, above: Column, whole: Column) -> Column:
+    """Sorted terms that a document keeps.
+
+    ``band`` has its terms of the band, ``above`` those above it as (frequency, term), rarest
+    first. Without any in the band, common terms alone would make different documents
+    equal, so ``whole``, a hash of all its terms, is one more.
+    """
+    missing = F.ceil((F.size(above) - F.size(band)) / 2).cast("int")
+    added = F.transform(F.slice(above, 1, missing), lambda x: x["term"])
+    alone = F.when(F.size(band) == 0, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(missing > 0, F.sort_array(F.concat(band, added, alone))).otherwise(band)
 
 
 def _row(kept: Column, scale: Column) -> Column:
@@ -73,7 +104,7 @@ def _row(kept: Column, scale: Column) -> Column:
 
 
 def fingerprint(kept: Column, whole: Column) -> Column:
-    """``scale:hashes:finer hashes`` of the sorted lexicon terms ``kept``.
+    """``scale:hashes:finer hashes`` of the sorted terms ``kept``.
 
     A document without any has ``x:`` and ``whole``, a hash of all its terms, so that only
     equal ones agree.
@@ -84,9 +115,10 @@ def fingerprint(kept: Column, whole: Column) -> Column:
 
 
 def _kept(rows: DataFrame, known: DataFrame, sides: int) -> DataFrame:
-    """(own, key, payload, times, kept_0, ..): the sorted lexicon terms of each side.
+    """(own, key, payload, times, kept_0, ..): the sorted terms that each side keeps.
 
-    ``rows`` has own, key, payload and arrays of terms side_0, ... A row's terms are
+    ``rows`` has own, key, arrays of terms side_0, .. and a payload with their hashes
+    whole_0, ... A row's terms are
     exploded, joined with the lexicon and gathered again. Where the lexicon is broadcast,
     rows stay in the partition that they are in. Equal own and key are one row, ``times`` fold.
     """
@@ -99,19 +131,29 @@ def _kept(rows: DataFrame, known: DataFrame, sides: int) -> DataFrame:
     of_side = lambda k: F.transform(f"side_{k}", lambda t: item(k, t, none))
     items = [of_side(k) for k in range(sides)]
     terms_of = rows.select("own", "key", F.inline(F.concat(mark, *items)))
-    known = known.select("term", F.lit(True).alias("known"))
+    known = known.select("term", "above", F.lit(True).alias("known"))
     if known.count() <= BROADCAST_TERMS:
         known = F.broadcast(known)
     found = terms_of.join(known, "term", "left").filter("known or side = -1")
+    gathered = lambda k, usual, value: F.array_distinct(
+        F.sort_array(F.collect_list(F.when((F.col("side") == k) & usual, value)))
+    )
+    usual = F.col("above").isNull()
     return (
         found.groupBy("own", "key")
         .agg(
             F.first("payload", ignorenulls=True).alias("payload"),
             F.count_if(F.col("side") == -1).alias("times"),
+            *(gathered(k, usual, F.col("term")).alias(f"band_{k}") for k in range(sides)),
+            *(gathered(k, ~usual, F.struct("above", "term")).alias(f"above_{k}") for k in range(sides)),
+        )
+        .select(
+            "own",
+            "key",
+            "payload",
+            "times",
             *(
-                F.array_distinct(
-                    F.sort_array(F.collect_list(F.when(F.col("side") == k, F.col("term"))))
-                ).alias(f"kept_{k}")
+                chosen(F.col(f"band_{k}"), F.col(f"above_{k}"), F.col(f"payload.whole_{k}")).alias(f"kept_{k}")
                 for k in range(sides)
             ),
         )
@@ -123,7 +165,7 @@ def _kept(rows: DataFrame, known: DataFrame, sides: int) -> DataFrame:
 def likeness(a: Column, b: Column) -> Column:
     """Share of subsets with equal hashes among those where either document has a term.
 
-    1 for equal fingerprints; 0 where a document has no lexicon term or the scales are
+    1 for equal fingerprints; 0 where a document keeps no term or the scales are
     further apart than one.
     """
     p, q = F.split(a, ":"), F.split(b, ":")
@@ -168,21 +210,20 @@ def _id(c: str) -> Column:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint) of every row; ids are whole numbers.
 
-    Equal texts have equal fingerprints. Null counts as empty. Frequencies count every
-    row, so a repeated one as often as it comes. An empty table gives an empty result.
+    Equal texts have equal fingerprints. Null counts as empty. Frequencies count rows
+    with the same terms once. An empty table gives an empty result.
     """
     rows = _rows(docs, id_col, text_col)
-    counted = stored(frequencies(rows, "text"), "imatch-frequencies")
-    known = stored(lexicon(counted, rows.count()), "imatch-lexicon")
+    known = lexicon(rows, "text")
     found = rows.select(
         "own",
         "key",
         terms(F.col("text")).alias("side_0"),
-        F.struct(F.xxhash64(terms(F.col("text"))).alias("whole")).alias("payload"),
+        F.struct(F.xxhash64(terms(F.col("text"))).alias("whole_0")).alias("payload"),
     )
     kept = _kept(found, known, 1)
     return kept.select(
-        _id("own").alias("id"), fingerprint(F.col("kept_0"), F.col("payload.whole")).alias("fingerprint")
+        _id("own").alias("id"), fingerprint(F.col("kept_0"), F.col("payload.whole_0")).alias("fingerprint")
     )
 
 
@@ -200,13 +241,12 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     # The key comes after the joins: both sides then ask for the same columns and exchange.
     docs = _rows(docs, id_col, text_col).drop("key")
-    counted = stored(frequencies(docs, "text"), "imatch-frequencies")
+    known = lexicon(docs, "text")
     sizes = stored(
         docs.groupBy("own").agg(F.max(F.char_length("text")).alias("n"), F.count(F.lit(1)).alias("rows")),
         "imatch-sizes",
     )
-    total, most = sizes.agg(F.sum("rows"), F.max("rows")).first()
-    known = stored(lexicon(counted, total or 0), "imatch-lexicon")
+    most = sizes.agg(F.max("rows")).first()[0]
     needs = sizes.select(F.col("own").alias("to_id"), F.floor(F.col("n") / 3).cast("int").alias("need"))
     links = stored(neighbours(sizes.select("own")).join(needs, "to_id"), "imatch-links")
     placed = docs.join(links.hint("merge"), "own")

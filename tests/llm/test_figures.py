@@ -233,6 +233,40 @@ def test_fingerprints(spark, tmp_path):
     assert imatch.edited_likeness(table(spark, [])).collect() == []
 
 
+def test_fingerprints_of_a_large_group(spark):
+    """Near copies that hold a third of all rows are alike although their words are above the band."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, prose(i, 150), None, None, None) for i in range(200)]
+    for i in range(200, 300):
+        words = list(base)
+        for at in rng.sample(range(200), 6):
+            words[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(words), None, None, None))
+    found = {r["id"]: r for r in imatch.edited_likeness(table(spark, rows)).collect()}
+    group = [found[i] for i in range(201, 300)]  # the next of 200 is no copy
+    assert np.mean([r["near_next"] for r in group]) > 0.6
+    assert np.mean([r["near_edited"] for r in group]) > 0.3
+    assert np.mean([found[i]["near_next"] for i in range(1, 200)]) < 0.05
+    assert len({r["fingerprint"] for r in group}) > 50
+
+
+def test_frequencies_count_equal_sets_once(spark):
+    rows = [(i, "one two" if i % 2 else "Two  one one", None, None, None) for i in range(50)]
+    rows += [(50, "two three", None, None, None), (51, "", None, None, None), (52, None, None, None, None)]
+    counted, sets = imatch.frequencies(table(spark, rows), "text")
+    of = {r["w"]: r["h"] for r in spark.sql("select w, xxhash64(w) h from values ('one'), ('two'), ('three') t(w)").collect()}
+    assert sets == 3
+    assert {r["term"]: r["documents"] for r in counted.collect()} == {of["one"]: 1, of["two"]: 2, of["three"]: 1}
+
+
+def test_documents_without_lexicon_terms(spark):
+    """Common words alone do not make different documents equal, nor a changed rare one all else."""
+    rows = [(i, f"page zz{i} of the long report", None, None, None) for i in range(1500)]
+    found = imatch.edited_likeness(table(spark, rows)).agg(F.avg("near_next"), F.max("near_next")).first()
+    assert 0.2 < found[0] < 1 and found[1] < 1
+
+
 def test_likeness(spark):
     rows = [("1:a,b:a,b,c,-", "1:a,b:a,b,c,-", 1.0), ("1:a,-:x,x,x,x", "1:a,c:y,y,y,y", 0.5), ("1:a,b:p,q,-,-", "2:p,z,-,-:k", 0.5), ("x:1", "x:2", 0.0), ("1:a,b:c,d,e,f", "3:a,b:c,d", 0.0)]
     df = spark.createDataFrame(rows, "a string, b string, want double")
