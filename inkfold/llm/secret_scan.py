@@ -2,12 +2,15 @@
 
 Base spans come from three patterns. Other runs of 20 and more key characters are
 candidates. For each, the smallest alphabet that holds it is inferred (digits,
-hexadecimal, base32, base64) and three tests ask whether it could be random in it:
-chi-squared uniformity, runs about the middle of the alphabet, serial correlation.
+hexadecimal, letters, base32 and base36 of one case, letters of both, base58, base62,
+base64) and three tests ask whether it could be random in it: chi-squared uniformity, runs
+about the middle of the alphabet, serial correlation. In digits and letters of one case
+hyphens are separators and are left out; elsewhere they are the URL form of base64.
 What passes them is weighed against ordinary text: how low its chi-squared is, and how often
 lower case, upper case and digits alternate, for its length. The two p-values are combined
 (Fisher), and Benjamini-Hochberg over all candidates of the corpus, by length band, holds
-the share of false discoveries. Everything is built-in expressions.
+the share of false discoveries. Letters of one case do not alternate, so short keys of
+them alone are not told from text. Everything is built-in expressions.
 """
 
 from __future__ import annotations
@@ -32,10 +35,15 @@ FALSE_SHARE = 0.01  # of discoveries
 BANDS = (32, 64)  # lengths at which a new band begins
 BINS = 100  # of the p-value's decimal logarithm
 DEEPEST = 3000  # last bin
-ALPHABETS = {
+ALPHABETS = {  # up to 36 of either case; 32 in upper case, the others in lower case
     10: "0123456789",
     16: "0123456789abcdef",
+    26: "abcdefghijklmnopqrstuvwxyz",
     32: "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    36: "0123456789abcdefghijklmnopqrstuvwxyz",
+    52: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    58: "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz",
+    62: "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     64: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 
@@ -63,20 +71,34 @@ def _phi(z: Column) -> Column:
 
 
 def battery(candidates: DataFrame, value: str = "match") -> DataFrame:
-    """``candidates`` plus ``_alphabet``, the three randomness p-values and ``_p`` against text."""
+    """``candidates`` plus ``_alphabet``, the three randomness p-values and ``_p`` against text.
+
+    Those with less than two characters besides padding and separators are left out.
+    """
     bare = F.regexp_replace(F.rtrim(F.translate(value, "=", " ")), " ", "")
-    s = F.translate(bare, "-_", "+/")
+    joined = F.translate(bare, "-", "")
+    s = F.when(joined.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), joined).otherwise(F.translate(bare, "-_", "+/"))
     kind = (
         F.when(s.rlike("^[0-9]*$"), 10)
         .when(s.rlike("^([0-9a-f]*|[0-9A-F]*)$"), 16)
-        .when(s.rlike("^[A-Z2-7]*$"), 32)
+        .when(s.rlike("^([a-z]*|[A-Z]*)$"), 26)
+        .when(s.rlike("^([A-Z2-7]*|[a-z2-7]*)$"), 32)
+        .when(s.rlike("^([0-9a-z]*|[0-9A-Z]*)$"), 36)
+        .when(s.rlike("^[A-Za-z]*$"), 52)
+        .when(s.rlike("^[1-9A-HJ-NP-Za-km-z]*$"), 58)
+        .when(s.rlike("^[0-9A-Za-z]*$"), 62)
         .otherwise(64)
     )
     order = F.lit(ALPHABETS[64])
     for size, letters in ALPHABETS.items():
         order = F.when(F.col("_alphabet") == size, F.lit(letters)).otherwise(order)
-    coded = F.when(F.col("_alphabet") == 16, F.lower("_s")).otherwise(F.col("_s"))
-    df = candidates.withColumns({"_s": s, "_alphabet": kind}).withColumns(
+    coded = (
+        F.when(F.col("_alphabet").isin(16, 26, 36), F.lower("_s"))
+        .when(F.col("_alphabet") == 32, F.upper("_s"))
+        .otherwise(F.col("_s"))
+    )
+    some = candidates.withColumns({"_s": s, "_alphabet": kind}).filter(F.char_length("_s") > 1)
+    df = some.withColumns(
         {
             "_n": F.char_length("_s").cast("double"),
             "_code": F.transform(
