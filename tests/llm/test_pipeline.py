@@ -66,3 +66,12 @@ def test_pipeline_is_registered():
 
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert ("pipeline" in __spark_entry__.oracle_sql()) == (corpus_pipeline.ORACLE_SQL is not None)
+
+
+def test_bench_times_every_query():
+    import __spark_entry__
+    import bench
+
+    assert bench.timed([]) == list(__spark_entry__.queries())
+    assert "pipeline" in bench.timed([])
+    assert bench.timed(["op4_exact_dedup"]) == ["op4_exact_dedup"]
