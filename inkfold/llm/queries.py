@@ -32,7 +32,7 @@ def op1_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the token files hold for each document, from the files."""
     folder = run_folder(spark, "token-files")
-    token_files.write(documents(spark, sf_dir), folder, TOKENIZER, END)
+    token_files.write(documents(spark, sf_dir), folder, TOKENIZER, END, special=True)
     return token_files.read(spark, folder).select(
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )

@@ -57,33 +57,43 @@ _UNITS = re.compile("[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 
 
-def _memo(tokenizer: str) -> dict[str, bytes]:
+def _memo(tokenizer: str, special: bool) -> dict[str, bytes]:
     """Ids of units, kept for the next tasks of the process.
 
     The code of a task comes with it and has globals of its own; a module stays.
     """
     kept = sys.modules.setdefault("_inkfold_units", types.ModuleType("_inkfold_units"))
-    return kept.__dict__.setdefault(tokenizer, {})
+    return kept.__dict__.setdefault(f"{special}:{tokenizer}", {})
 
 
 class Encoder:
-    """Ids of whole texts through the library, whose result for a unit is remembered."""
+    """Ids of whole texts through the library, whose result for a unit is remembered.
 
-    def __init__(self, tokenizer: str, end: int | None):
+    ``special``: special tokens written out in a text are those tokens, as the library does
+    by default; else ordinary pieces.
+    """
+
+    def __init__(self, tokenizer: str, end: int | None, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special
+        # A text with one of these is encoded in one piece, as they may take in what is beside them.
+        marks = [t.content for t in self.library.get_added_tokens_decoder().values()] if special else []
+        self.marks = re.compile("|".join(map(re.escape, marks))) if marks else None
         self.end = b"" if end is None else int(end).to_bytes(4, "little")
-        self.memo = _memo(tokenizer)
+        self.memo = _memo(tokenizer, special)
 
     def _fresh(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _whole(self, text: str) -> bool:
+        return bool(_OTHER_SPACE.search(text) or self.marks and self.marks.search(text))
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        cut = [[t] if t and _OTHER_SPACE.search(t) else _UNITS.findall(t or "") for t in texts]
+        cut = [[t] if t and self._whole(t) else _UNITS.findall(t or "") for t in texts]
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
@@ -100,7 +110,9 @@ def _codec(dictionary: bytes):
     return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
 
 
-def train(docs: DataFrame, tokenizer: str, end: int | None, id_col: str, text_col: str) -> bytes:
+def train(
+    docs: DataFrame, tokenizer: str, end: int | None, id_col: str, text_col: str, special: bool = False
+) -> bytes:
     """A dictionary from a bounded sample: the ids with the smallest hashes.
 
     At most ``SAMPLE`` documents of at most ``SAMPLE_IDS`` ids come to the driver. It is
@@ -109,7 +121,7 @@ def train(docs: DataFrame, tokenizer: str, end: int | None, id_col: str, text_co
     chosen = docs.select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer, end)
+        encode = Encoder(tokenizer, end, special)
         for batch in batches:
             raw = [x for x in encode(batch[text_col].to_pylist()) if len(x) <= 4 * SAMPLE_IDS]
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary())], names=["ids"])
@@ -135,16 +147,17 @@ def write(
     end: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    special: bool = False,
 ) -> None:
     """Encode ``docs`` and write the files; ``folder`` must be new and reachable by all.
 
     Ids ascend over all shards, null first. Rows that share an id follow each other by
     the hash of their text, so a repeated row is written as often as it comes. Null and
-    empty texts have only the end id. Columns other than id and text are not read. An
+    empty texts have only the end id. ``special``: see ``Encoder``. Columns other than id and text are not read. An
     empty table makes an empty manifest.
     """
     docs = docs.select(id_col, text_col)
-    dictionary = train(docs, tokenizer, end, id_col, text_col)
+    dictionary = train(docs, tokenizer, end, id_col, text_col, special)
     digest = hashlib.sha256(dictionary).hexdigest()
     target, root = fs.FileSystem.from_uri(folder)
     target.create_dir(f"{root}/shards", recursive=True)
@@ -152,7 +165,7 @@ def write(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to, at = fs.FileSystem.from_uri(folder)
-        encode = Encoder(tokenizer, end)
+        encode = Encoder(tokenizer, end, special)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_codec(dictionary))
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"

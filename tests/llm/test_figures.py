@@ -429,6 +429,19 @@ def test_token_files(spark, tmp_path):
     assert token_files.fetch(spark, folder, 999) == []
 
 
+def test_token_files_as_the_library(spark, tmp_path):
+    """The query's ids are those of the tokenizer as it comes, special tokens in texts included."""
+    texts = ["<|endoftext|> a", "a b<|endoftext|>\n c d", " <|endoftext|><|endoftext|> ", "<|endoftext| >", "plain text"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    library = Tokenizer.from_file(TOKENIZER)
+    want = [library.encode(t, add_special_tokens=False).ids + [queries.END] for t in texts]
+    assert 50256 in want[0]
+    found = queries.op2_token_files(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r["n_tokens"] for r in found] == list(map(len, want))
+    assert [r["ids_crc32"] for r in found] == [zlib.crc32(np.array(w, "<u4").tobytes()) for w in want]
+
+
 def test_token_files_dictionary(spark, tmp_path):
     docs = table(spark, [(i, prose(i, 30), None, None, None) for i in range(400)])
     folder = f"{tmp_path}/files"
