@@ -1,9 +1,9 @@
 """A run-compressed Burrows-Wheeler index of many strings, for code that runs in tasks.
 
 The transform is kept as its runs: where each begins, and how far its rows move when the
-text is walked one byte back. The order of suffixes is sampled at the ends of runs. Rows
-whose suffixes agree on ``length`` bytes are a class; the index knows where classes begin
-and the least owner in each. Queries stream through the runs from their last byte to their
+text is walked one byte back. Rows whose suffixes agree on ``length`` bytes are a class; where
+classes begin, and the least owner in each, come from the whole order of suffixes, which is
+not kept. No matching statistics are computed. Queries stream through the runs from their last byte to their
 first; at each place the row gives the class of the string that begins there.
 """
 
@@ -42,7 +42,6 @@ class RunIndex:
         self.runs = heads
         symbols = before[heads]
         lengths = np.diff(np.append(heads, n))
-        self.sample = order[np.append(heads[1:], n) - 1]  # suffixes at the ends of runs
         # Rows of a symbol keep their order: a run moves as one, to behind those before it.
         by_symbol = np.argsort(symbols, kind="stable")
         target = np.empty(len(heads), np.int64)

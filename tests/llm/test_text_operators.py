@@ -232,3 +232,8 @@ def test_every_operator_has_a_query():
 
     names = list(__spark_entry__.queries())
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+
+
+def test_run_index_keeps_what_it_reads():
+    index = RunIndex([b"a" * 60, b"b" * 55], __import__("numpy").array([1, 2]), 50)
+    assert set(vars(index)) == {"stops", "sizes", "length", "left", "runs", "shift", "class_rows", "least"}
