@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, chosen_path, exact_dedup, hmm, imatch, mixing, ordinal, repeats, secret_scan, token_files
+from inkfold.llm import (
+    bpe,
+    chosen_path,
+    exact_dedup,
+    fim,
+    hmm,
+    imatch,
+    mixing,
+    ordinal,
+    repeats,
+    secret_scan,
+    token_files,
+)
 from inkfold.llm.storage import documents
 from inkfold.session import run_folder
 
@@ -141,6 +153,42 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_chunked_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut at two of its line boundaries, and what is restored from the output."""
+    made = fim.transform(documents(spark, sf_dir).select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        F.col("_fim_units").alias("n"),
+        F.col("_fim_form").alias("form"),
+        F.col("_fim_prefix_chars").alias("prefix_chars"),
+        F.col("_fim_middle_chars").alias("middle_chars"),
+        F.sha2(F.encode("_fim_output", "UTF-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(fim.restore("_fim_output", "_fim_form"), "UTF-8"), 256).alias("restored_sha256"),
+    )
+
+
+SQL_OP11 = r"""
+with texts as (select doc_id, coalesce(text, '') as t, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as d
+  from documents),
+cut as (select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') as u,
+  cast('0x' || d[1:8] as bigint) as h1, cast('0x' || d[9:16] as bigint) as h2,
+  cast('0x' || d[17:24] as bigint) as h3, cast('0x' || d[25:32] as bigint) as h4 from texts),
+placed as (select *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a,
+  greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 100
+    then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form from cut),
+parts as (select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m,
+  array_to_string(u[b + 1:], '') as s from placed)
+select doc_id, len(u) as n, form,
+  case when form <> 'plain' then length(p) end as prefix_chars,
+  case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else t end) as output_sha256,
+  sha256(p || m || s) as restored_sha256
+from parts
+""".replace("\\n", "\n")
+
+
 QUERIES = {
     "op1_run_index": op1_run_index,
     "op2_token_files": op2_token_files,
@@ -152,6 +200,7 @@ QUERIES = {
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_imatch": op9_imatch,
     "op10_chosen_path": op10_chosen_path,
+    "op11_chunked_fim": op11_chunked_fim,
 }
 
-ORACLES = {"op4_exact_dedup": SQL_OP4}
+ORACLES = {"op4_exact_dedup": SQL_OP4, "op11_chunked_fim": SQL_OP11}
