@@ -73,25 +73,18 @@ def test_empty_table(spark):
     st.lists(st.sampled_from(["ab\n", "é", "😀", "\n", "long line of a text\n", "x" * 40]), max_size=200),
     st.integers(0, 250),
 )
-def test_cuts_by_chunks(monkeypatch_sizes, parts, k):
+def test_cuts_by_chunks(parts, k):
     text = "".join(parts)
     lines = re.findall(r"[^\n]*\n|[^\n]+", text)
-    counted = fim.Lines(text, fim.Summaries(10, memory=200))
+    with pytest.MonkeyPatch.context() as m:
+        # Chunks small enough that short texts have many.
+        for name, value in (("LEAST", 4), ("MOST", 24), ("BITS", 3), ("BLOCK", 16)):
+            m.setattr(fim, name, value)
+        counted = fim.Lines(text, fim.Summaries(10, memory=200))
     assert counted.n == len(lines)
     assert counted.stop(min(k, len(lines))) == len("".join(lines[: min(k, len(lines))]))
 
 
-@pytest.fixture(scope="module")
-def monkeypatch_sizes():
-    """Chunks small enough that short texts have many."""
-    with pytest.MonkeyPatch.context() as m:
-        m.setattr(fim, "LEAST", 4)
-        m.setattr(fim, "MOST", 24)
-        m.setattr(fim, "BITS", 3)
-        m.setattr(fim, "BLOCK", 16)
-        yield
-
-
 def test_chunks_follow_the_content():
     shared = prose(3, 3000).encode()
     sets = []
