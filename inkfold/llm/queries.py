@@ -16,6 +16,7 @@ from inkfold.llm import (
     mixing,
     ordinal,
     repeats,
+    runs,
     secret_scan,
     token_files,
 )
@@ -189,6 +190,47 @@ from parts
 """.replace("\\n", "\n")
 
 
+def op13_maximal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every text, one text in ten made periodic first."""
+    planted = F.expr("""
+        case when h % 10 = 0 and n > 0 then array_join(
+          transform(sequence(0, n - 1), i -> words[if(i < a, i, a + (i - a) % p)]), ' ') else text end""")
+    docs = (
+        documents(spark, sf_dir)
+        .select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+        .withColumn(
+            "words",
+            F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))),
+        )
+        .withColumns({"g": F.expr("h div 10"), "n": F.size("words")})
+        .withColumn("a", F.when(F.col("n") > 0, F.expr("cast(g % n as int)")))
+        .withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+        .select("doc_id", planted.alias("text"))
+    )
+    found = F.col("_runs")
+    best = F.array_max(
+        F.transform(found, lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    )
+    line = F.transform(
+        found,
+        lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")),
+    )
+    return (
+        runs.periodic(docs)
+        .withColumn("best", best)
+        .select(
+            "doc_id",
+            F.size(found).cast("bigint").alias("n_runs"),
+            (-F.col("best.col2")).alias("start"),
+            F.col("best.length").alias("length"),
+            (-F.col("best.col3")).alias("period"),
+            F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+            F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+            F.sha2(F.encode("_collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+        )
+    )
+
+
 QUERIES = {
     "op1_run_index": op1_run_index,
     "op2_token_files": op2_token_files,
@@ -201,6 +243,7 @@ QUERIES = {
     "op9_imatch": op9_imatch,
     "op10_chosen_path": op10_chosen_path,
     "op11_chunked_fim": op11_chunked_fim,
+    "op13_maximal_pairs": op13_maximal_pairs,
 }
 
 ORACLES = {"op4_exact_dedup": SQL_OP4, "op11_chunked_fim": SQL_OP11}
