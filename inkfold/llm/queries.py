@@ -18,6 +18,7 @@ from inkfold.llm import (
     repeats,
     runs,
     secret_scan,
+    tag_paths,
     token_files,
 )
 from inkfold.llm.storage import documents
@@ -190,6 +191,17 @@ from parts
 """.replace("\\n", "\n")
 
 
+def op12_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return tag_paths.extract(pages).select(
+        "page_id",
+        "url",
+        F.col("_main_text").alias("text"),
+        F.char_length("_main_text").cast("bigint").alias("n_chars"),
+    )
+
+
 def op13_maximal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of the words of every text, one text in ten made periodic first."""
     planted = F.expr("""
@@ -243,6 +255,7 @@ QUERIES = {
     "op9_imatch": op9_imatch,
     "op10_chosen_path": op10_chosen_path,
     "op11_chunked_fim": op11_chunked_fim,
+    "op12_tag_path_ratios": op12_tag_path_ratios,
     "op13_maximal_pairs": op13_maximal_pairs,
 }
 
