@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from inkfold.catalog.registry import SQL_STAMP, query, stamp
 from inkfold.catalog.views import BASE, TEST, Views
+from inkfold.functions import lines
 from inkfold.operators import daily_report as H
 from inkfold.operators import investment_report as I
-from inkfold.session import materialize, run_folder
+from inkfold.session import run_folder
 from inkfold.sources import sinks
+from inkfold.sources.ordered_text import scan_ordered_text
 
 STAMP = "2024-01-05 08:00:00"
 _URL = f"'{BASE}/' || user_id || '/' || article_id"
@@ -131,12 +133,12 @@ select date, priority, number, article_id, unnest(lines) as line,
     "article_detail_rows", _sql_lines(_SQL_DETAIL, "priority in ('must_read', 'worth_reading')"), "batch"
 )
 def article_detail_rows(v: Views):
-    return H.article_detail_rows(H.article_sections(v.batch), TEST.site)
+    return H.article_detail_rows(v.batch, TEST.site)
 
 
 @query("article_brief_rows", _sql_lines(_SQL_BRIEF, "priority = 'reference'"), "batch")
 def article_brief_rows(v: Views):
-    return H.article_brief_rows(H.article_sections(v.batch), TEST.site)
+    return H.article_brief_rows(v.batch, TEST.site)
 
 
 def _sql_section(name: str, title: str, lines: str) -> str:
@@ -156,6 +158,10 @@ _SQL_ENTITY_HEAD = """['---', '', '## 四、相关股票汇总', '', '| 股票 |
   '|------|----------|----------|']"""
 _SQL_TAIL = f"""['', '---', '', '## 五、今日总结', '', '- **主要话题**：' || coalesce(topics, ''),
   '- **热门股票**：' || coalesce(hot, '无'), '', '---', '', '*报告生成时间：{STAMP}*', '*分析模型：智谱 GLM-5*']"""
+# The same lines as they are stored: the topics are rows between the two.
+_SQL_TAIL_1 = "['', '---', '', '## 五、今日总结', '', '- **主要话题**：']"
+_SQL_TAIL_2 = f"""['', '- **热门股票**：' || coalesce(hot, '无'), '', '---', '', '*报告生成时间：{STAMP}*',
+  '*分析模型：智谱 GLM-5*']"""
 _SQL_ENTITY_LINE = "'| ' || entity || ' | ' || mentions || ' | ' || links || ' |'"
 
 
@@ -188,26 +194,35 @@ left join r on r.date = o.date left join e on e.date = o.date left join t on t.d
 left join h on h.date = o.date"""
 
 
-def _daily_text(v: Views):
-    return H.render_report(H.report_lines(materialize(v.batch), STAMP, TEST.site))
+# Reports are compared in pages far smaller than those of a real run, so that most of a
+# day's pages come from several tasks and cut pieces of text.
+PAGE = 20_000
 
 
-@query("render_report", _SQL_REPORT, "batch")
+def _sql_pages(reports: str) -> str:
+    return f"""
+with whole as ({reports}),
+cut as (select date, report, unnest(range(0, (length(report) + {PAGE - 1}) // {PAGE})) as page from whole)
+select date, page, substring(report, page * {PAGE} + 1, {PAGE}) as report from cut"""
+
+
+def _daily_blocks(v: Views):
+    return H.report_blocks(v.batch, STAMP, TEST.site)
+
+
+@query("render_report", _sql_pages(_SQL_REPORT), "batch")
 def render_report(v: Views):
-    """One text per day over all of its articles; ``report_limit`` is an operator of its own."""
-    return _daily_text(v)
+    """The text of each day over all of its articles; ``report_limit`` is an operator of its own."""
+    return H.render_report(_daily_blocks(v), PAGE)
 
 
-@query("sink_report_text", _SQL_REPORT, "batch")
+@query("sink_report_text", _sql_pages(_SQL_REPORT), "batch")
 def sink_report_text(v: Views):
-    """The texts written per date and read back; whole-file reading undoes the line split."""
+    """The texts written per date in parts by offset, and read back in slices."""
     path = run_folder(v.spark, "reports")
-    sinks.write_report_text(_daily_text(v), path)
-    stored = v.spark.read.text(path, wholetext=True)
-    return stored.select(
-        F.col("date").cast("date").alias("date"),
-        F.regexp_replace("value", r"\n\z", "").alias("report"),
-    )
+    sinks.write_report_text(H.report_text(_daily_blocks(v)), path)
+    stored = scan_ordered_text(v.spark, path)
+    return lines.pages(lines.ordered(stored, "date", "offset"), PAGE)
 
 
 _SQL_UNNEST = "unnest(lines) as line, cast(generate_subscripts(lines, 1) - 1 as integer) as line_no"
@@ -226,15 +241,16 @@ x as (select date, case priority when 'must_read' then 11 when 'worth_reading' t
   union all select date, 30, 0, ['### 🔵 参考文章', ''] from p where reference > 0
   union all select distinct date, 50, 0, {_SQL_ENTITY_HEAD} from entities
   union all select date, 51, -mentions, [{_SQL_ENTITY_LINE}] from entities
-  union all select o.date, 60, 0, {_SQL_TAIL} from o left join t on t.date = o.date
-    left join h on h.date = o.date)
+  union all select o.date, 60, 0, {_SQL_TAIL_1} from o
+  union all select date, 61, 0, [case when category = min(category) over (partition by date) then '' else ', ' end
+    || category] from (select distinct date, category from batch where quality_passed)
+  union all select o.date, 62, 0, {_SQL_TAIL_2} from o left join h on h.date = o.date)
 select date, block, number, {_SQL_UNNEST} from x""",
     "batch",
 )
 def report_lines(v: Views):
     """Every line of the whole table's reports, without a report limit."""
-    lines = H.report_lines(materialize(v.batch), STAMP, TEST.site)
-    return lines.select("date", "block", F.col("place.a").alias("number"), "line", "line_no")
+    return H.report_lines(_daily_blocks(v)).select("date", "block", "number", "line", "line_no")
 
 
 # --- investment report ---
@@ -361,8 +377,7 @@ from l left join e on e.date = l.date left join hi on hi.date = l.date left join
 left join lo on lo.date = l.date left join ac on ac.date = l.date"""
 
 
-@query("render_investment_report", _SQL_INVESTMENT, "batch2")
+@query("render_investment_report", _sql_pages(_SQL_INVESTMENT), "batch2")
 def render_investment_report(v: Views):
-    """One text per day over all of its articles."""
-    batch = materialize(v.batch2)
-    return I.render_investment_report(I.investment_lines(batch, STAMP))
+    """The text of each day over all of its articles."""
+    return I.render_investment_report(I.investment_blocks(v.batch2, STAMP), PAGE)

@@ -2,19 +2,31 @@
 
 A *batch* has one row per analysed article: ``date, article_id, user_id, title, author,
 crawl_time, word_count, quality_passed, issues, priority, analysis``. Articles are in
-(crawl_time, article_id) order. Except for ``render_report`` nothing here assumes that
-a day is small.
+(crawl_time, article_id) order. Nothing here assumes that a day is small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.functions.lines import keyed, line_rows, lines_if, lines_of, place, render_lines
+from inkfold.functions.lines import (
+    PAGE_CHARS,
+    article_place,
+    block_rows,
+    in_order,
+    keyed,
+    line_rows,
+    lines_if,
+    lines_of,
+    pages,
+    pieces,
+    place,
+)
 from inkfold.functions.ranking import first_k, number_rows
 from inkfold.functions.text import cut, fill, text
 from inkfold.params import DailyReportParams, SiteParams
+from inkfold.session import materialize
 
 ORDER = ["crawl_time", "article_id"]
 PRIORITIES = ("must_read", "worth_reading", "reference")
@@ -34,15 +46,8 @@ def priority_counts(batch: DataFrame) -> DataFrame:
     )
 
 
-def article_sections(batch: DataFrame, bounded: bool = False) -> DataFrame:
-    """Articles numbered from 1 inside each (date, priority) section, as ``number``.
-
-    ``bounded`` says that a day holds at most a report's limit of articles, so a plain
-    ranking window does; otherwise the numbering is spread over tasks.
-    """
-    if bounded:
-        window = Window.partitionBy("date", "priority").orderBy(*ORDER)
-        return batch.withColumn("number", F.row_number().over(window).cast("bigint"))
+def article_sections(batch: DataFrame) -> DataFrame:
+    """Articles numbered from 1 inside each (date, priority) section, as ``number``."""
     keys = batch.select("date", "priority", *ORDER)
     numbers = number_rows(keys, ["date", "priority"], ORDER, "number")
     return batch.join(numbers.select("article_id", "number"), "article_id")
@@ -126,14 +131,17 @@ def topics_distinct(batch: DataFrame) -> DataFrame:
     )
 
 
+FULL_LEAD, BRIEF_LEAD = "#### ", ""  # in front of an article's number
+
+
 def _detail_lines(p: DailyReportParams, site: SiteParams) -> Column:
-    """The lines of one full article entry as an array; absent parts leave no line."""
+    """The lines of one full article entry, from behind its number; absent parts leave no line."""
     a = F.col("analysis")
     vi = a["value_investment"]
     stocks = a["related_stocks"]
     points = F.slice(a["core_points"], 1, p.points_shown)
     head = lines_of(
-        F.concat(F.lit("#### "), F.col("number").cast("string"), F.lit(". "), text("title", p.no_title)),
+        F.concat(F.lit(". "), text("title", p.no_title)),
         "",
         F.concat(F.lit("- **作者**："), text("author", p.no_author)),
         F.concat(F.lit("- **链接**："), article_url(site, p)),
@@ -195,9 +203,9 @@ def _detail_lines(p: DailyReportParams, site: SiteParams) -> Column:
 
 
 def _brief_lines(p: DailyReportParams, site: SiteParams) -> Column:
-    """One linked line, and the gate's issues where it failed."""
+    """One linked line from behind its number, and the gate's issues where it failed."""
     first = F.concat(
-        F.col("number").cast("string"), F.lit(". ["), text("title", p.no_title), F.lit("]("),
+        F.lit(". ["), text("title", p.no_title), F.lit("]("),
         article_url(site, p), F.lit(")（"), text("author", p.no_author), F.lit("）"),
     )
     second = F.when(
@@ -206,29 +214,60 @@ def _brief_lines(p: DailyReportParams, site: SiteParams) -> Column:
     return F.array_compact(F.array(first, second))
 
 
-def _exploded(sections: DataFrame, lines: Column) -> DataFrame:
-    return sections.select(
-        "date", "priority", "number", "article_id", F.posexplode(lines).alias("line_no", "line")
+def _numbered_lines(articles: DataFrame, lead: str, lines: Column) -> DataFrame:
+    """``date, priority, number, article_id, line_no, line`` of the articles' entries.
+
+    The entries are put together where the articles are read, so what they do not show is
+    gone before anything moves; only entries that go into the result are numbered.
+    """
+    shown = articles.select("date", "priority", *ORDER, lines.alias("_lines"))
+    numbers = number_rows(
+        shown.select("date", "priority", *ORDER), ["date", "priority"], ORDER, "number"
+    ).select("article_id", "number")
+    line = F.when(
+        F.col("line_no") == 0, F.concat(F.lit(lead), F.col("number").cast("string"), F.col("line"))
+    ).otherwise(F.col("line"))
+    return (
+        shown.join(numbers, "article_id")
+        .select("date", "priority", "number", "article_id", F.posexplode("_lines").alias("line_no", "line"))
+        .withColumn("line", line)
     )
 
 
 def article_detail_rows(
-    sections: DataFrame,
+    batch: DataFrame,
     site: SiteParams = SiteParams(),
     p: DailyReportParams = DailyReportParams(),
 ) -> DataFrame:
     """Lines of the full entries, for the priorities shown in full."""
-    full = sections.filter(F.col("priority").isin("must_read", "worth_reading"))
-    return _exploded(full, _detail_lines(p, site))
+    full = batch.filter(F.col("priority").isin("must_read", "worth_reading"))
+    return _numbered_lines(full, FULL_LEAD, _detail_lines(p, site))
 
 
 def article_brief_rows(
-    sections: DataFrame,
+    batch: DataFrame,
     site: SiteParams = SiteParams(),
     p: DailyReportParams = DailyReportParams(),
 ) -> DataFrame:
     """Lines of the short entries."""
-    return _exploded(sections.filter(F.col("priority") == "reference"), _brief_lines(p, site))
+    brief = batch.filter(F.col("priority") == "reference")
+    return _numbered_lines(brief, BRIEF_LEAD, _brief_lines(p, site))
+
+
+def shown_articles(
+    batch: DataFrame,
+    site: SiteParams = SiteParams(),
+    p: DailyReportParams = DailyReportParams(),
+) -> DataFrame:
+    """What a report needs of each article: keys, figures, and its entry ready but for the number."""
+    lines = F.when(F.col("priority") == "reference", _brief_lines(p, site)).otherwise(
+        _detail_lines(p, site)
+    )
+    analysis = F.struct(F.col("analysis.related_stocks"), F.col("analysis.category"))
+    return batch.select(
+        "date", *ORDER, "user_id", "title", "quality_passed", "priority",
+        analysis.alias("analysis"), lines.alias("lines"),
+    )
 
 
 def _day_totals(batch: DataFrame) -> DataFrame:
@@ -239,18 +278,25 @@ def _day_totals(batch: DataFrame) -> DataFrame:
         passed.alias("passed"),
         (total - passed).alias("failed"),
         *[F.count_if(F.col("priority") == p).alias(p) for p in PRIORITIES],
-        F.array_join(F.array_sort(F.collect_set("analysis.category")), ", ").alias("topics"),
         F.coalesce(
             F.bool_or(F.size("analysis.related_stocks") > 0), F.lit(False)
         ).alias("has_entities"),
+        F.min("analysis.category").alias("first_topic"),
     )
 
 
-def _fixed_lines(
-    batch: DataFrame, generated_at: Column, p: DailyReportParams
+def _split_tail(tail: tuple[str, ...]) -> tuple[list[str], list[str]]:
+    """The tail's lines up to the slot of the topics, and from behind it."""
+    at = next(i for i, line in enumerate(tail) if "{topics}" in line)
+    before, behind = tail[at].split("{topics}", 1)
+    return [*tail[:at], before], [behind, *tail[at + 1 :]]
+
+
+def _fixed_blocks(
+    articles: DataFrame, generated_at: Column, p: DailyReportParams
 ) -> DataFrame:
     hot = (
-        hot_stocks(batch, p)
+        hot_stocks(articles, p)
         .groupBy("date")
         .agg(F.array_sort(F.collect_list(F.struct("place", "entity"))).alias("_hot"))
         .select("date", F.array_join(F.transform("_hot", lambda x: x["entity"]), ", ").alias("hot"))
@@ -258,7 +304,6 @@ def _fixed_lines(
     head = {c: F.col(c) for c in ("total", "passed", "failed", *PRIORITIES)}
     head["date"] = F.date_format("date", "yyyy-MM-dd")
     tail = {
-        "topics": F.col("topics"),
         "hot": F.coalesce("hot", F.lit(p.none)),
         "generated_at": generated_at,
         "model": F.lit(p.model),
@@ -267,27 +312,34 @@ def _fixed_lines(
         keyed(10 * rank, lines_if(F.col(name) > 0, lines_of(title, "")))
         for rank, (name, title) in enumerate(p.section_titles, 1)
     ]
-    return line_rows(
-        _day_totals(batch).join(hot, "date", "left"),
+    before, behind = _split_tail(p.tail)
+    days = _day_totals(articles)
+    topics = topics_distinct(articles).join(days.select("date", "first_topic"), "date")
+    comma = F.when(F.col("category") == F.col("first_topic"), "").otherwise(", ")
+    return block_rows(
+        days.join(hot, "date", "left"),
         keyed(0, lines_of(*[fill(x, **head) for x in p.head])),
         *titles,
         keyed(50, lines_if(F.col("has_entities"), lines_of(*p.entity_head))),
-        keyed(60, lines_of(*[fill(x, **tail) for x in p.tail])),
+        keyed(60, lines_of(*[fill(x, **tail) for x in before]), open=True),
+        # The report ends without a line break.
+        keyed(62, lines_of(*[fill(x, **tail) for x in behind]), open=True),
+    ).unionByName(
+        block_rows(
+            topics,
+            keyed(61, lines_of(F.concat(comma, F.col("category"))), place(b=F.col("category")), open=True),
+        )
     )
 
 
-def _article_lines(
-    sections: DataFrame, site: SiteParams, p: DailyReportParams
-) -> DataFrame:
+def _article_blocks(articles: DataFrame, p: DailyReportParams) -> DataFrame:
     order = [name for name, _ in p.section_titles]
     block = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("priority")) * 10 + 1
-    lines = F.when(F.col("priority") == "reference", _brief_lines(p, site)).otherwise(
-        _detail_lines(p, site)
-    )
-    return line_rows(sections, keyed(block.cast("int"), lines, place(F.col("number"))))
+    lead = F.when(F.col("priority") == "reference", BRIEF_LEAD).otherwise(FULL_LEAD)
+    return block_rows(articles, keyed(block.cast("int"), F.col("lines"), article_place(), lead))
 
 
-def _entity_lines(batch: DataFrame, site: SiteParams, p: DailyReportParams) -> DataFrame:
+def _entity_blocks(articles: DataFrame, site: SiteParams, p: DailyReportParams) -> DataFrame:
     first = F.col("first")
     line = F.concat(
         F.lit("| "), F.col("entity"), F.lit(" | "), F.col("mentions").cast("string"),
@@ -300,30 +352,42 @@ def _entity_lines(batch: DataFrame, site: SiteParams, p: DailyReportParams) -> D
         first["ord"]["article_id"],
     )
     order = place(-F.col("mentions"), mention, first["place"])
-    return line_rows(stock_mentions(batch, site, p), keyed(51, lines_of(line), order))
+    return block_rows(stock_mentions(articles, site, p), keyed(51, lines_of(line), order))
 
 
-def report_lines(
+def report_blocks(
     batch: DataFrame,
     generated_at: Column | str,
     site: SiteParams = SiteParams(),
     p: DailyReportParams = DailyReportParams(),
-    bounded: bool = False,
 ) -> DataFrame:
-    """Every line of every day's report: ``date, block, place, line_no, line``.
+    """Every day's report as ordered block rows (``functions.lines``), days of any size.
 
-    Sorting by (block, place, line_no) gives the report; sections without rows have no
-    lines. This form has no size limit: sort and write it by range for a huge day. The
-    batch is read several times, so it should be a stored or materialized table.
+    The batch is read once, into entries that hold only what is shown.
     """
     stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
-    return (
-        _fixed_lines(batch, stamp, p)
-        .unionByName(_article_lines(article_sections(batch, bounded), site, p))
-        .unionByName(_entity_lines(batch, site, p))
+    articles = materialize(shown_articles(batch, site, p))
+    return in_order(
+        _fixed_blocks(articles, stamp, p)
+        .unionByName(_article_blocks(articles, p))
+        .unionByName(_entity_blocks(articles, site, p))
     )
 
 
-def render_report(lines: DataFrame) -> DataFrame:
-    """One text per day from the lines of a day-limited batch."""
-    return render_lines(lines)
+def report_lines(blocks: DataFrame) -> DataFrame:
+    """Every line of every day's report: ``date, block, number, place, open, line_no, line``.
+
+    Sorting by (block, place, line_no) gives the report; sections without rows have no
+    lines. The line that lists the topics has a row for each of its pieces.
+    """
+    return line_rows(blocks)
+
+
+def report_text(blocks: DataFrame) -> DataFrame:
+    """The reports as ordered pieces of text, to be written by ``write_report_text``."""
+    return pieces(blocks)
+
+
+def render_report(blocks: DataFrame, chars: int = PAGE_CHARS) -> DataFrame:
+    """The text of each day in pages of ``chars`` characters, most days in one."""
+    return pages(pieces(blocks), chars)

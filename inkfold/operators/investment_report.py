@@ -6,14 +6,27 @@ analysis`` with the second form of analysis, in (crawl_time, article_id) order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.functions import rules as R
-from inkfold.functions.lines import keyed, line_rows, lines_if, lines_of, place, render_lines
+from inkfold.functions.lines import (
+    PAGE_CHARS,
+    article_place,
+    block_rows,
+    in_order,
+    keyed,
+    line_rows,
+    lines_if,
+    lines_of,
+    pages,
+    pieces,
+    place,
+)
 from inkfold.functions.ranking import first_k, number_rows
 from inkfold.functions.text import cut, fill, text
 from inkfold.params import InvestmentReportParams
+from inkfold.session import materialize
 
 ORDER = ["crawl_time", "article_id"]
 
@@ -27,32 +40,25 @@ def _tagged(stocks: Column) -> Column:
     return F.array_join(F.transform(stocks, lambda s: F.concat(F.lit("$"), s)), ", ")
 
 
-def numbered(batch: DataFrame, bounded: bool = False) -> DataFrame:
-    """Articles numbered from 1 inside each day, as ``number``."""
-    if bounded:
-        window = Window.partitionBy("date").orderBy(*ORDER)
-        return batch.withColumn("number", F.row_number().over(window).cast("bigint"))
-    numbers = number_rows(batch.select("date", *ORDER), ["date"], ORDER, "number")
-    return batch.join(numbers.select("article_id", "number"), "article_id")
-
-
-def article_list(
-    batch: DataFrame, p: InvestmentReportParams = InvestmentReportParams(), bounded: bool = False
-) -> DataFrame:
-    """One numbered, linked line per article with its entities."""
+def _list_line(p: InvestmentReportParams) -> Column:
+    """A linked title with its entities, from behind the number."""
     stocks = F.col("analysis.related_stocks")
     suffix = F.when(
         F.size(stocks) > 0, F.concat(F.lit(" ["), _tagged(stocks), F.lit("]"))
     ).otherwise("")
     title = cut(text("title", p.no_title), p.list_title_chars)
-    return numbered(batch, bounded).select(
-        "date",
-        "number",
-        "article_id",
-        F.concat(
-            F.col("number").cast("string"), F.lit(". ["), title, F.lit("]("), _link(), F.lit(")"),
-            suffix,
-        ).alias("line"),
+    return F.concat(F.lit(". ["), title, F.lit("]("), _link(), F.lit(")"), suffix)
+
+
+def article_list(
+    batch: DataFrame, p: InvestmentReportParams = InvestmentReportParams()
+) -> DataFrame:
+    """One numbered, linked line per article with its entities."""
+    listed = batch.select("date", *ORDER, _list_line(p).alias("line"))
+    numbers = number_rows(listed.select("date", *ORDER), ["date"], ORDER, "number")
+    return listed.join(numbers.select("article_id", "number"), "article_id").select(
+        "date", "number", "article_id",
+        F.concat(F.col("number").cast("string"), F.col("line")).alias("line"),
     )
 
 
@@ -63,9 +69,14 @@ def stocks_union(batch: DataFrame) -> DataFrame:
 
 
 def importance_sections(
-    batch: DataFrame, p: InvestmentReportParams = InvestmentReportParams()
+    batch: DataFrame,
+    p: InvestmentReportParams = InvestmentReportParams(),
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Each article's route with its fields cut as that route's section shows them."""
+    """Each article's route with its fields cut as that route's section shows them.
+
+    Columns named in ``keep`` come along.
+    """
     a = F.col("analysis")
     route = R.importance(a["importance"])
     title = text("title", p.no_title)
@@ -101,6 +112,7 @@ def importance_sections(
             F.coalesce(a["action_required"], F.lit(p.default_action)), none, none
         ).alias("action"),
         F.when(route == "high", a["key_data"]).alias("key_data"),
+        *keep,
     )
 
 
@@ -181,48 +193,50 @@ def _low_lines() -> Column:
     return lines_of(F.concat(F.lit("- ["), F.col("title"), F.lit("]("), F.col("url"), F.lit(")")))
 
 
-def _fixed_lines(batch: DataFrame, generated_at: Column, p: InvestmentReportParams) -> DataFrame:
-    route = R.importance(F.col("analysis.importance"))
+def _fixed_blocks(batch: DataFrame, generated_at: Column, p: InvestmentReportParams) -> DataFrame:
     days = batch.groupBy("date").agg(
         F.count(F.lit(1)).alias("total"),
-        *[F.count_if(route == r).alias(r) for r in ("high", "medium", "low")],
+        *[F.count_if(F.col("route") == r).alias(r) for r in ("high", "medium", "low")],
+        F.min(F.array_min("stocks")).alias("first"),
     )
-    names = stocks_union(batch).groupBy("date").agg(
-        F.array_join(F.array_sort(F.collect_list("entity")), ", $").alias("names")
+    named = batch.select("date", F.explode_outer("stocks").alias("entity"))
+    names = named.filter(F.col("entity").isNotNull()).distinct().join(
+        days.select("date", "first"), "date"
     )
+    comma = F.when(F.col("entity") == F.col("first"), "").otherwise(", $")
     head = {"date": F.date_format("date", "yyyy-MM-dd"), "total": F.col("total")}
     tail = {"generated_at": generated_at, "model": F.lit(p.model)}
     titles = ((10, "high", p.high_title), (20, "medium", p.medium_title), (30, "low", p.low_title))
-    entities = lines_of(
-        p.entities_title, "", F.concat(F.lit("$**"), F.col("names"), F.lit("**")), ""
-    )
-    return line_rows(
-        days.join(names, "date", "left"),
+    any_names = F.col("first").isNotNull()
+    return block_rows(
+        days,
         keyed(0, lines_of(*[fill(x, **head) for x in p.head])),
         keyed(2, lines_of("")),
-        keyed(3, lines_if(F.col("names").isNotNull(), entities)),
+        keyed(3, lines_if(any_names, lines_of(p.entities_title, "", "$**")), open=True),
+        keyed(5, lines_if(any_names, lines_of("**", ""))),
         *[keyed(n, lines_if(F.col(name) > 0, lines_of(title, ""))) for n, name, title in titles],
         keyed(32, lines_if(F.col("low") > 0, lines_of(""))),
         keyed(40, lines_of(p.actions_title, "")),
-        keyed(50, lines_of(*[fill(x, **tail) for x in p.tail])),
+        # The report ends without a line break.
+        keyed(50, lines_of(*[fill(x, **tail) for x in p.tail]), open=True),
+    ).unionByName(
+        block_rows(
+            names,
+            keyed(4, lines_of(F.concat(comma, F.col("entity"))), place(b=F.col("entity")), open=True),
+        )
     )
 
 
-def _section_lines(batch: DataFrame, p: InvestmentReportParams) -> DataFrame:
+def _section_lines(p: InvestmentReportParams) -> Column:
     route = F.col("route")
-    block = F.when(route == "high", 11).when(route == "medium", 21).otherwise(31)
-    lines = (
+    return (
         F.when(route == "high", _high_lines(p))
         .when(route == "medium", _medium_lines())
         .otherwise(_low_lines())
     )
-    order = F.concat_ws(
-        "/", F.date_format("crawl_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("article_id")
-    )
-    return line_rows(importance_sections(batch, p), keyed(block, lines, place(b=order)))
 
 
-def _action_lines(batch: DataFrame, p: InvestmentReportParams) -> DataFrame:
+def _action_blocks(actions: DataFrame) -> DataFrame:
     lines = F.concat(
         lines_of(F.concat(F.lit("### "), F.col("action"))),
         F.transform("shown", lambda t: F.concat(F.lit("- "), t)),
@@ -232,31 +246,68 @@ def _action_lines(batch: DataFrame, p: InvestmentReportParams) -> DataFrame:
         ),
         lines_of(""),
     )
-    return line_rows(action_list(batch, p), keyed(41, lines, place(b=F.col("action"))))
+    return block_rows(actions, keyed(41, lines, place(b=F.col("action"))))
+
+
+def shown_articles(
+    batch: DataFrame, p: InvestmentReportParams = InvestmentReportParams()
+) -> DataFrame:
+    """What a report needs of each article, its entries ready but for the number."""
+    sections = importance_sections(
+        batch.withColumns(
+            {
+                "_stocks": F.col("analysis.related_stocks"),
+                "_list": _list_line(p),
+                "_action": F.struct(F.col("analysis.action_required").alias("action_required")),
+                "_title": F.col("title"),
+            }
+        ),
+        p,
+        ("_stocks", "_list", "_action", "_title"),
+    )
+    return sections.select(
+        "date", *ORDER, "route",
+        F.col("_stocks").alias("stocks"),
+        F.col("_list").alias("listed"),
+        F.col("_title").alias("title"),
+        F.col("_action").alias("analysis"),
+        _section_lines(p).alias("lines"),
+    )
 
 
-def investment_lines(
+def investment_blocks(
     batch: DataFrame,
     generated_at: Column | str,
     p: InvestmentReportParams = InvestmentReportParams(),
 ) -> DataFrame:
-    """Every line of every day's report, keyed as in ``functions.lines``.
-
-    One line names all entities of a day; everything else is a line per article. The
-    batch is read several times, so it should be a stored or materialized table.
-    """
+    """Every day's report as ordered block rows (``functions.lines``), days of any size."""
     stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
-    listed = line_rows(
-        article_list(batch, p), keyed(1, lines_of(F.col("line")), place(F.col("number")))
-    )
-    return (
-        _fixed_lines(batch, stamp, p)
-        .unionByName(listed)
-        .unionByName(_section_lines(batch, p))
-        .unionByName(_action_lines(batch, p))
+    articles = materialize(shown_articles(batch, p))
+    route = F.col("route")
+    section = F.when(route == "high", 11).when(route == "medium", 21).otherwise(31)
+    return in_order(
+        _fixed_blocks(articles, stamp, p)
+        .unionByName(
+            block_rows(
+                articles,
+                keyed(1, lines_of(F.col("listed")), article_place(), F.lit("")),
+                keyed(section, F.col("lines"), article_place()),
+            )
+        )
+        .unionByName(_action_blocks(action_list(articles, p)))
     )
 
 
-def render_investment_report(lines: DataFrame) -> DataFrame:
-    """One text per day from the lines of a day-limited batch."""
-    return render_lines(lines)
+def investment_lines(blocks: DataFrame) -> DataFrame:
+    """Every line of every day's report, as in the daily report."""
+    return line_rows(blocks)
+
+
+def investment_text(blocks: DataFrame) -> DataFrame:
+    """The reports as ordered pieces of text, to be written by ``write_report_text``."""
+    return pieces(blocks)
+
+
+def render_investment_report(blocks: DataFrame, chars: int = PAGE_CHARS) -> DataFrame:
+    """The text of each day in pages of ``chars`` characters, most days in one."""
+    return pages(pieces(blocks), chars)

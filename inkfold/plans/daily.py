@@ -7,17 +7,16 @@ from pyspark.sql import functions as F
 
 from inkfold.functions.text import text
 from inkfold.operators.classification import analyze_rules, analyze_rules_v2
-from inkfold.operators.daily_report import render_report, report_lines
+from inkfold.operators.daily_report import report_blocks
 from inkfold.operators.incremental import (
     enabled_accounts,
     incremental_batch,
     report_batch,
     snapshot_rollup,
 )
-from inkfold.operators.investment_report import investment_lines, render_investment_report
+from inkfold.operators.investment_report import investment_blocks
 from inkfold.operators.responses import attach_responses_v1, attach_responses_v2
 from inkfold.params import Params
-from inkfold.session import materialize
 
 
 def collect(
@@ -65,12 +64,13 @@ def daily_report(
     generated_at: Column | str,
     params: Params = Params(),
 ) -> DataFrame:
-    """One report text per day, limited to the day's first articles."""
+    """The report of each day over the day's first articles, as ordered block rows.
+
+    ``render_report`` makes texts of them, ``report_text`` what the text sink takes.
+    """
     chosen = report_batch(index, documents, params.daily.limit)
-    batch = materialize(daily_batch(chosen, responses, params))
-    return render_report(
-        report_lines(batch, generated_at, params.site, params.daily, bounded=True)
-    )
+    batch = daily_batch(chosen, responses, params)
+    return report_blocks(batch, generated_at, params.site, params.daily)
 
 
 def investment_report(
@@ -79,11 +79,9 @@ def investment_report(
     generated_at: Column | str,
     params: Params = Params(),
 ) -> DataFrame:
-    """One investment report text per day over all of the day's articles."""
+    """The investment report of each day over all of the day's articles, as ordered block rows."""
     if responses is None:
         batch = analyze_rules_v2(articles, params.entity).drop("content")
     else:
         batch = attach_responses_v2(articles, responses, params.entity)
-    return render_investment_report(
-        investment_lines(materialize(batch), generated_at, params.investment)
-    )
+    return investment_blocks(batch, generated_at, params.investment)

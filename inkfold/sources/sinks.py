@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.functions.lines import sorted_lines
 from inkfold.sources.corpus import STORED, markdown_document
+from inkfold.sources.ordered_text import write_ordered_text
 
 # Keeps the files of a hot partition at a readable size.
 ROWS_PER_FILE = 1_000_000
@@ -70,27 +70,13 @@ def write_snapshots(snapshots: DataFrame, path: str, run_id: int) -> None:
     )
 
 
-def write_report_text(reports: DataFrame, path: str, column: str = "report") -> None:
-    """One text per date under ``date=…``; a rerun replaces that date."""
-    (
-        reports.select("date", F.col(column).alias("value"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .text(path)
-    )
-
+def write_report_text(texts: DataFrame, path: str) -> None:
+    """Reports of any size from their ordered pieces, one folder of parts per date.
 
-def write_report_lines(lines: DataFrame, path: str) -> None:
-    """The lines of reports of any size, in report order across the files of each date."""
-    (
-        sorted_lines(lines)
-        .select("date", F.col("line").alias("value"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .text(path)
-    )
+    A rerun replaces its dates. The parts of a date, in the order of their names, are the
+    report; ``scan_ordered_text`` reads them.
+    """
+    write_ordered_text(texts, path)
 
 
 def write_quality_log(daily: DataFrame, path: str) -> None:

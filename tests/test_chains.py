@@ -6,7 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from inkfold.operators import daily_report as H
 from inkfold.operators import extraction as X
+from inkfold.operators import investment_report as I
 from inkfold.operators.incremental import explode_snapshots, upsert_index
 from inkfold.params import CrawlParams, DailyReportParams, Params, SiteParams
 from inkfold.plans import daily
@@ -88,7 +90,9 @@ def documents_and_index(spark, n=5):
 
 def test_daily_report_without_a_model(spark):
     index, documents = documents_and_index(spark)
-    (row,) = daily.daily_report(index, documents.filter("article_id <> '1'"), None, "now", PARAMS).collect()
+    (row,) = H.render_report(
+        daily.daily_report(index, documents.filter("article_id <> '1'"), None, "now", PARAMS)
+    ).collect()
     text = row.report
     assert "- **今日新增**：3 篇" in text and "- **无效文章**：1 篇" in text
     # Article 1 has no document; 0, 2 and 3 are the first three that have one.
@@ -104,7 +108,7 @@ def test_daily_report_with_responses(spark):
         [("1", json.dumps({"category": "c", "related_stocks": ["S1", "S2"]}), None), ("2", None, "timeout")],
         "article_id string, response string, error string",
     )
-    (row,) = daily.daily_report(index, documents, responses, "now", PARAMS).collect()
+    (row,) = H.render_report(daily.daily_report(index, documents, responses, "now", PARAMS)).collect()
     assert "- **相关股票**：S1, S2" in row.report and "| S1 | 1 | [Title 1](https://site.example/u/1) |" in row.report
     assert "2. [Title 2](https://site.example/u/2)（au）" in row.report
 
@@ -117,12 +121,12 @@ def test_investment_report(spark):
         .withColumn("url", F.lit(None).cast("string"))
         .withColumn("link", F.concat(F.lit("l"), "article_id"))
     )
-    (rules,) = daily.investment_report(articles, None, "now").collect()
+    (rules,) = I.render_investment_report(daily.investment_report(articles, None, "now")).collect()
     assert "共爬取 **25** 篇新文章。" in rules.report and "25. [Title 24](l24)" in rules.report
     assert "### 需要关注\n- Title 0\n" in rules.report and "- ... 还有 20 条" in rules.report
     responses = spark.createDataFrame(
         [("0", '{"importance": "high", "core_thesis": "big", "related_stocks": ["X"]}', None)],
         "article_id string, response string, error string",
     )
-    (answered,) = daily.investment_report(articles, responses, "now").collect()
+    (answered,) = I.render_investment_report(daily.investment_report(articles, responses, "now")).collect()
     assert "**核心论点：** big" in answered.report and "$**X**" in answered.report

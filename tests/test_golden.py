@@ -106,7 +106,7 @@ def test_gate_priority_and_sections(spark, corpus_root, documents, stored_index)
     chosen = report_batch(stored_index, content, 20)
     counted = chosen.withColumn("word_count", F.length("content").cast("bigint"))
     results = analyze_rules(counted)
-    sections = H.article_sections(results, bounded=True).select(
+    sections = H.article_sections(results).select(
         "date", "article_id", "priority", "number", "quality_passed",
         F.array_join("issues", ", ").alias("issues"), "word_count",
     ).collect()
@@ -206,8 +206,7 @@ def test_rendered_text_equals_the_report(spark, corpus_root, day):
     )
     stamp = re.search(r"\*报告生成时间：(.*)\*", text).group(1)
     base = re.search(r"(https://[^/]+)/\d+/\d+", text).group(1)
-    lines = H.report_lines(batch, stamp, SiteParams(base_url=base), bounded=True)
-    (got,) = H.render_report(lines).collect()
+    (got,) = H.render_report(H.report_blocks(batch, stamp, SiteParams(base_url=base))).collect()
     cut = "\n---\n\n## 四、"
     assert got.report.split(cut)[0] == text.split(cut)[0]
     assert got.report.split("\n")[-5:] == text.split("\n")[-5:]

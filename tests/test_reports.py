@@ -84,13 +84,19 @@ def test_topics_skip_missing(spark):
     assert sorted(r.category for r in H.topics_distinct(batch(spark, ROWS)).collect()) == ["a", "b"]
 
 
+def texts_of(pages):
+    """The whole text of each date from its pages."""
+    found = defaultdict(list)
+    for r in sorted(pages.collect(), key=lambda r: (r.date, r.page)):
+        assert r.page == len(found[str(r.date)])
+        found[str(r.date)].append(r.report)
+    return {date: "".join(parts) for date, parts in found.items()}
+
+
 def test_report_text(spark):
     rows = batch(spark, ROWS)
-    for bounded in (True, False):
-        texts = {
-            str(r.date): r.report
-            for r in H.render_report(H.report_lines(rows, "2024-01-03 01:02:03", SITE, bounded=bounded)).collect()
-        }
+    for chars in (10**6, 37):
+        texts = texts_of(H.render_report(H.report_blocks(rows, "2024-01-03 01:02:03", SITE), chars))
         lines = texts["2024-01-01"].split("\n")
         at = lines.index("### 🔴 必读文章")
         assert lines[at : at + 34] == [
@@ -161,7 +167,7 @@ def test_investment_text(spark):
             {"importance": "odd", "action_required": "无需行动"},
         ],
     )
-    (row,) = I.render_investment_report(I.investment_lines(rows, "now")).collect()
+    (row,) = I.render_investment_report(I.investment_blocks(rows, "now")).collect()
     t = [f"T{i} " + "t" * 60 for i in range(3)]
     assert row.report.split("\n") == [
         "# 📊 价值投资日报 - 2024-01-01", "", "## 📰 今日新增文章", "", "共爬取 **3** 篇新文章。", "", "### 文章列表", "",
@@ -179,6 +185,28 @@ def test_investment_text(spark):
 
 def test_investment_text_without_entities_or_actions(spark):
     rows = batch2(spark, [{"importance": "low", "action_required": "", "related_stocks": []}])
-    (row,) = I.render_investment_report(I.investment_lines(rows, "now")).collect()
+    (row,) = I.render_investment_report(I.investment_blocks(rows, "now")).collect()
     assert "关联股票" not in row.report and "🔴" not in row.report and "🟡" not in row.report
     assert row.report.endswith("## ✅ 行动清单\n\n---\n\n*报告生成时间：now*\n*分析模型：GLM-5 (qwen-plus)*")
+
+
+def test_long_lists_are_rows_and_pages_are_even(spark):
+    """A day with thousands of topics: their line is as many rows, and no page is too long."""
+    rows = [
+        ("2024-01-01", f"{i:05d}", i % 60, True, "reference", {"category": f"topic {i:05d}", "related_stocks": []})
+        for i in range(3000)
+    ]
+    blocks = H.report_blocks(batch(spark, rows), "now", SITE)
+    lines = H.report_lines(blocks).filter("block = 61")
+    assert lines.count() == 3000 and lines.agg(F.max(F.length("line"))).first()[0] < 20
+    pages = H.render_report(blocks, 1000)
+    sizes = [r.n for r in pages.orderBy("page").select(F.length("report").alias("n")).collect()]
+    assert set(sizes[:-1]) == {1000} and len(sizes) > 200
+    line = next(x for x in texts_of(pages)["2024-01-01"].split("\n") if "主要话题" in x)
+    assert line == "- **主要话题**：" + ", ".join(f"topic {i:05d}" for i in range(3000))
+
+
+def test_report_without_rows(spark):
+    none = batch(spark, ROWS).filter("false")
+    assert H.render_report(H.report_blocks(none, "now", SITE)).collect() == []
+    assert I.render_investment_report(I.investment_blocks(batch2(spark, [{}]).filter("false"), "now")).collect() == []

@@ -1,5 +1,6 @@
 """Stored state: written, read back, rerun."""
 
+import datetime as dt
 import json
 import subprocess
 import sys
@@ -8,11 +9,12 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from inkfold.functions.lines import line_rows, keyed, lines_of, place
+from inkfold.functions import lines
 from inkfold.operators.incremental import explode_snapshots, snapshot_rollup
 from inkfold.operators.quality import merge_quality_logs
 from inkfold.session import materialize
-from inkfold.sources import corpus, sinks, tables
+from inkfold.sources import corpus, ordered_text, sinks, tables
+from inkfold.sources.ordered_text import scan_ordered_text
 
 ARTICLE = (
     "user_id string, article_id string, title string, author string, publish_time string, likes int, "
@@ -159,22 +161,68 @@ def test_quality_log_reload(spark, tmp_path):
     assert (row.total_articles, row.passed, row.failed) == (9, 6, 3)
 
 
-def test_report_lines_keep_their_order_over_many_files(spark, tmp_path):
-    path = str(tmp_path / "lines")
-    rows = spark.range(500).select(F.lit("2024-01-01").cast("date").alias("date"), "id").repartition(6)
-    lines = line_rows(rows, keyed(1, lines_of(F.col("id").cast("string"), "x"), place(F.col("id"))))
-    sinks.write_report_lines(lines, path)
-    files = sorted((tmp_path / "lines" / "date=2024-01-01").glob("part-*"))
-    text = "".join(f.read_text() for f in files)
-    assert text.split("\n")[:-1] == [x for i in range(500) for x in (str(i), "x")]
+def report_pieces(spark, rows, partitions=7):
+    """Ordered pieces from (date, text) in the order given."""
+    df = spark.createDataFrame([(d, i, t) for i, (d, t) in enumerate(rows)], "date date, i bigint, text string")
+    return lines.ordered(df.repartition(partitions), "date", "i")
 
 
-def test_report_text_replaces_its_date(spark, tmp_path):
+def test_report_text_keeps_its_order_over_many_parts(spark, tmp_path):
     path = str(tmp_path / "reports")
-    for text in ("one", "two\nlines"):
-        rows = spark.createDataFrame([("2024-01-01", text)], "date string, report string")
-        sinks.write_report_text(rows, path)
-    assert [r.value for r in spark.read.text(path, wholetext=True).collect()] == ["two\nlines\n"]
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None]
+    rows = [(d, f"é{i}😀 line\n" * (1 + i % 3)) for d in days for i in range(400)]
+    rows.append((dt.date(2024, 1, 3), None))
+    want = {d: "".join(t or "" for x, t in rows if x == d) for d, _ in rows}
+    sinks.write_report_text(report_pieces(spark, rows), path)
+    for day, text in want.items():
+        folder = tmp_path / "reports" / f"date={day or '__HIVE_DEFAULT_PARTITION__'}"
+        parts = sorted(folder.glob("part-*"))
+        assert "".join(p.read_text() for p in parts) == text
+        listed = json.loads((folder / "_parts.json").read_text())
+        sizes = [p.stat().st_size for p in parts]
+        assert [x["bytes"] for x in listed] == sizes
+        assert [x["offset"] for x in listed] == [sum(sizes[:i]) for i in range(len(sizes))]
+    assert not list((tmp_path / "reports").glob("_temporary*"))
+    found = {}
+    for r in sorted(scan_ordered_text(spark, path).collect(), key=lambda r: r.offset):
+        assert r.offset == len(found.get(r.date, "").encode())
+        found[r.date] = found.get(r.date, "") + r.text
+    assert found == {d: t for d, t in want.items() if t}
+    # Spark's own reader sees the dates and nothing but the parts.
+    assert spark.read.text(path).filter("date = '2024-01-02'").count() == want[days[1]].count("\n")
+
+
+def test_report_text_replaces_its_date_alone(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    sinks.write_report_text(report_pieces(spark, [(one, "a\n")] * 50 + [(two, "b\n")] * 50), path)
+    sinks.write_report_text(report_pieces(spark, [(one, "new")]), path)
+    files = {str(p.relative_to(path)): p.read_text() for p in sorted((tmp_path / "reports").rglob("part-*"))}
+    assert files["date=2024-01-01/part-00000.txt"] == "new" and len([f for f in files if "01-01" in f]) == 1
+    assert "".join(t for f, t in sorted(files.items()) if "01-02" in f) == "b\n" * 50
+
+
+def test_report_text_refuses_pieces_out_of_order(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    rows = [("2024-01-01", "a"), ("2024-01-02", "b"), ("2024-01-01", "c")]
+    mixed = spark.createDataFrame(rows, "date string, text string").coalesce(1)
+    with pytest.raises(Exception, match="not in order"):
+        sinks.write_report_text(mixed, path)
+    assert not list((tmp_path / "reports").glob("*/*"))
+
+
+def test_slices_end_at_characters(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "reports")
+    text = "aé😀ü\n€" * 500
+    sinks.write_report_text(report_pieces(spark, [(dt.date(2024, 1, 1), text)]), path)
+    monkeypatch.setattr(ordered_text, "SLICE", 101)
+    monkeypatch.setattr(ordered_text, "BLOCK", 17)
+    reader = ordered_text.OrderedTextReader(path)
+    slices = reader.partitions()
+    assert len(slices) > 50
+    found = sorted(row for s in slices for row in reader.read(s))
+    assert "".join(t for _, _, t in found) == text
+    assert [o for _, o, _ in found] == [len("".join(t for _, _, t in found[:i]).encode()) for i in range(len(found))]
 
 
 SESSION_WITH_FOLDER = """
