@@ -293,10 +293,11 @@ def _split_tail(tail: tuple[str, ...]) -> tuple[list[str], list[str]]:
 
 
 def _fixed_blocks(
-    articles: DataFrame, generated_at: Column, p: DailyReportParams
+    articles: DataFrame, mentions: DataFrame, generated_at: Column, p: DailyReportParams
 ) -> DataFrame:
+    firsts = mentions.select("date", "entity", "first")
     hot = (
-        hot_stocks(articles, p)
+        first_k(firsts, ["date"], ["first"], p.hot_entities, "place")
         .groupBy("date")
         .agg(F.array_sort(F.collect_list(F.struct("place", "entity"))).alias("_hot"))
         .select("date", F.array_join(F.transform("_hot", lambda x: x["entity"]), ", ").alias("hot"))
@@ -339,7 +340,7 @@ def _article_blocks(articles: DataFrame, p: DailyReportParams) -> DataFrame:
     return block_rows(articles, keyed(block.cast("int"), F.col("lines"), article_place(), lead))
 
 
-def _entity_blocks(articles: DataFrame, site: SiteParams, p: DailyReportParams) -> DataFrame:
+def _entity_blocks(mentions: DataFrame) -> DataFrame:
     first = F.col("first")
     line = F.concat(
         F.lit("| "), F.col("entity"), F.lit(" | "), F.col("mentions").cast("string"),
@@ -352,7 +353,7 @@ def _entity_blocks(articles: DataFrame, site: SiteParams, p: DailyReportParams)
         first["ord"]["article_id"],
     )
     order = place(-F.col("mentions"), mention, first["place"])
-    return block_rows(stock_mentions(articles, site, p), keyed(51, lines_of(line), order))
+    return block_rows(mentions, keyed(51, lines_of(line), order))
 
 
 def report_blocks(
@@ -367,10 +368,11 @@ def report_blocks(
     """
     stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
     articles = materialize(shown_articles(batch, site, p))
+    mentions = materialize(stock_mentions(articles, site, p))
     return in_order(
-        _fixed_blocks(articles, stamp, p)
+        _fixed_blocks(articles, mentions, stamp, p)
         .unionByName(_article_blocks(articles, p))
-        .unionByName(_entity_blocks(articles, site, p))
+        .unionByName(_entity_blocks(mentions))
     )
 
 
