@@ -488,7 +488,7 @@ fresh as (select i.* from list_items i where article_id <> '' and not exists (
 
 @query("recent_snapshot_ids", _SQL_RECENT, "snapshots snapshot_headers")
 def recent_snapshot_ids(v: Views):
-    return D.recent_snapshot_ids(v.snapshot_headers, v.snapshots, TEST.crawl.snapshot_files)
+    return D.recent_snapshot_ids(v.nested_snapshots, TEST.crawl.snapshot_files)
 
 
 @query(
@@ -497,7 +497,7 @@ def recent_snapshot_ids(v: Views):
     "list_items snapshots snapshot_headers",
 )
 def new_articles_antijoin(v: Views):
-    known = D.recent_snapshot_ids(v.snapshot_headers, v.snapshots, TEST.crawl.snapshot_files)
+    known = D.recent_snapshot_ids(v.nested_snapshots, TEST.crawl.snapshot_files)
     return D.new_articles_antijoin(v.list_items, known).select("user_id", "article_id", "pos")
 
 
@@ -511,7 +511,7 @@ _SQL_CAP = f"""capped as (select * from (select *, row_number() over (partition
     "list_items snapshots snapshot_headers",
 )
 def crawl_cap_per_user(v: Views):
-    known = D.recent_snapshot_ids(v.snapshot_headers, v.snapshots, TEST.crawl.snapshot_files)
+    known = D.recent_snapshot_ids(v.nested_snapshots, TEST.crawl.snapshot_files)
     new = D.new_articles_antijoin(v.list_items, known)
     return D.crawl_cap_per_user(new, TEST.crawl.articles_per_user).select(
         "user_id", "article_id", "pos"
@@ -535,7 +535,7 @@ def index_dedup(v: Views):
 
 _SQL_KEPT = f"""{_SQL_NEW}, {_SQL_CAP},
 merged as (select c.user_id, c.article_id, c.pos, c.account_order, d.title, d.author, d.publish_time,
-    d.content, d.url from capped c join details d on d.url = c.link
+    d.content, d.url, d.crawl_time from capped c join details d on d.url = c.link
   where d.is_column and coalesce(d.title, '') not like 'The%'
     and c.article_id not in (select article_id from article_index)),
 kept as (select * from (select *, row_number() over (partition by article_id
@@ -543,9 +543,9 @@ kept as (select * from (select *, row_number() over (partition by article_id
 _COLLECT_VIEWS = "list_items snapshots snapshot_headers details article_index"
 
 
-def _kept(v: Views):
-    return D.incremental_batch(
-        v.list_items, v.details, v.snapshot_headers, v.snapshots, v.article_index, SITE, TEST.crawl
+def _run(v: Views) -> D.Collected:
+    return D.incremental_run(
+        v.list_items, v.details, v.nested_snapshots, v.article_index, SITE, TEST.crawl
     )
 
 
@@ -553,13 +553,14 @@ def _kept(v: Views):
     "incremental_batch",
     f"""
 with {_SQL_KEPT}
-select user_id, article_id, pos, title, author, publish_time, md5(content) as content_md5, url from kept""",
+select user_id, article_id, pos, title, author, publish_time, md5(content) as content_md5, url, {SQL_STAMP},
+  'data/' || user_id || '/' || article_id || '.md' as filepath from kept""",
     _COLLECT_VIEWS,
 )
 def incremental_batch(v: Views):
-    return _kept(v).select(
+    return _run(v).batch.select(
         "user_id", "article_id", "pos", "title", "author", "publish_time",
-        F.md5("content").alias("content_md5"), "url",
+        F.md5("content").alias("content_md5"), "url", stamp(), "filepath",
     )
 
 
@@ -577,9 +578,7 @@ left join k on k.user_id = l.user_id""",
     _COLLECT_VIEWS,
 )
 def incremental_counts(v: Views):
-    return D.incremental_counts(
-        v.list_items, _kept(v), v.snapshot_headers, v.snapshots, TEST.crawl
-    )
+    return _run(v).counts
 
 
 @query(
@@ -625,8 +624,12 @@ where cast(i.crawl_time as date) = date '{DAY}'""",
     "article_index articles",
 )
 def today_articles_join(v: Views):
+    """The documents are stored by day, those of other days are pruned."""
+    path = run_folder(v.spark, "articles")
+    sinks.write_articles(_stored(v), path, 1)
+    documents = corpus.scan_articles(v.spark, path).withColumnRenamed("body", "content")
     today = C.filter_crawl_date(v.article_index, DAY)
-    return D.today_articles_join(today, v.articles).select(
+    return D.today_articles_join(today, documents).select(
         "article_id", "user_id", "title", F.length("content").cast("bigint").alias("content_length")
     )
 

@@ -153,6 +153,14 @@ class Views:
             "user_id", "date", F.coalesce("article_count", F.lit(0).cast("bigint")).alias("article_count")
         )
 
+    @cached_property
+    def nested_snapshots(self) -> DataFrame:
+        """Stored snapshots as nested records: one per entry, and an empty one per run."""
+        entry = F.struct("article_id", "title", "crawl_time")
+        records = self.snapshots.select("user_id", "date", F.array(entry).alias("articles"))
+        none = F.array().cast(records.schema["articles"].dataType)
+        return records.unionByName(self.runs.select("user_id", "date", none.alias("articles")))
+
     @cached_property
     def list_items(self) -> DataFrame:
         """Newest first: a position in the whole listing orders each user's part too."""
@@ -185,6 +193,7 @@ class Views:
             F.lit(0).alias("likes"),
             F.lit(0).alias("comments"),
             "is_column",
+            "crawl_time",
         )
 
     @cached_property
@@ -368,7 +377,7 @@ select user_id, article_id, title, content, '' as publish_time, link, 7 as likes
   cast(substring(user_id, 4, 10) as bigint) as account_order, crawl_time from articles""",
     "details": """
 select link as url, case when toxic = 1 then '' else title end as title, author, publish_time,
-  content, 0 as likes, 0 as comments, is_column from articles where labelled""",
+  content, 0 as likes, 0 as comments, is_column, crawl_time from articles where labelled""",
     "article_index": """
 select article_id, user_id, title, author, publish_time, crawl_time from articles
 where doc_id % 5 = 0""",

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.functions.text import text
 from inkfold.operators.classification import analyze_rules, analyze_rules_v2
 from inkfold.operators.daily_report import report_blocks
+from inkfold.operators.filters import filter_crawl_date
 from inkfold.operators.incremental import (
+    Collected,
     enabled_accounts,
-    incremental_batch,
+    incremental_run,
     report_batch,
     snapshot_rollup,
 )
@@ -23,18 +27,22 @@ def collect(
     accounts: DataFrame,
     items: DataFrame,
     details: DataFrame,
-    headers: DataFrame,
-    entries: DataFrame,
+    snapshots: DataFrame,
     index: DataFrame,
     params: Params = Params(),
-) -> DataFrame:
-    """Articles to store from one run's listings. ``accounts`` has ``account_order``."""
+    crawl_time: Column | None = None,
+) -> Collected:
+    """Articles to store from one run's listings, and its counts.
+
+    ``accounts`` come in order of ``account_order``, or, without that column, of their ids.
+    """
+    enabled = enabled_accounts(accounts)
+    order = F.col("account_order") if "account_order" in accounts.columns else F.col("id")
     listed = items.join(
-        enabled_accounts(accounts).select(F.col("id").alias("user_id"), "account_order"),
-        "user_id",
+        enabled.select(F.col("id").alias("user_id"), order.alias("account_order")), "user_id"
     )
-    return incremental_batch(
-        listed, details, headers, entries, index, params.site, params.crawl
+    return incremental_run(
+        listed, details, snapshots, index, params.site, params.crawl, crawl_time=crawl_time
     )
 
 
@@ -63,11 +71,16 @@ def daily_report(
     responses: DataFrame | None,
     generated_at: Column | str,
     params: Params = Params(),
+    day: dt.date | None = None,
 ) -> DataFrame:
     """The report of each day over the day's first articles, as ordered block rows.
 
-    ``render_report`` makes texts of them, ``report_text`` what the text sink takes.
+    With ``day``, of that day alone: nothing else is read of the index, nor of documents
+    that are partitioned by day. ``render_report`` makes texts of the rows, ``report_text``
+    what the text sink takes.
     """
+    if day is not None:
+        index = filter_crawl_date(index, day)
     chosen = report_batch(index, documents, params.daily.limit)
     batch = daily_batch(chosen, responses, params)
     return report_blocks(batch, generated_at, params.site, params.daily)

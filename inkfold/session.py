@@ -83,3 +83,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the checkpoint folder, where a plan reads it several times."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back.
+
+    Plans over it see its true size, so the optimizer itself finds whether it is small
+    enough to go to every executor.
+    """
+    path = run_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from inkfold.operators import daily_report as H
 from inkfold.operators import extraction as X
 from inkfold.operators import investment_report as I
-from inkfold.operators.incremental import explode_snapshots, upsert_index
+from inkfold.operators.incremental import upsert_index
 from inkfold.params import CrawlParams, DailyReportParams, Params, SiteParams
 from inkfold.plans import daily
 from inkfold.session import materialize
@@ -38,8 +38,8 @@ def site(spark):
         for u, ids in users.items() for i in ids
     ]
     accounts = spark.createDataFrame(
-        [("1", "a", "url", True, 1), ("2", "b", "url", None, 2), ("3", "c", "url", True, 3), ("4", "d", "url", False, 4)],
-        "id string, name string, url string, enabled boolean, account_order int",
+        [("1", "a", "url", True), ("2", "b", "url", None), ("3", "c", "url", True), ("4", "d", "url", False)],
+        "id string, name string, url string, enabled boolean",
     )
     return accounts, X.parse_list_items(lists, SITE), X.page_details(
         spark.createDataFrame(pages, "url string, html string"), SITE
@@ -49,7 +49,9 @@ def site(spark):
 def test_collect_store_and_rerun(spark, site, tmp_path):
     accounts, items, details = site
     table, snaps, index_path = (str(tmp_path / x) for x in ("articles", "snapshots", "index"))
-    index_schema = "article_id string, user_id string, title string, author string, crawl_time timestamp"
+    index_schema = (
+        "article_id string, user_id string, title string, author string, crawl_time timestamp, filepath string"
+    )
     index = spark.createDataFrame([], index_schema)
     stored = spark.createDataFrame([], "user_id string, date date, article_count bigint, articles array<struct<article_id:string,title:string,crawl_time:timestamp>>")
     # Item 12 is a reply. It is never stored, so no snapshot knows it, and it takes up one of
@@ -57,14 +59,11 @@ def test_collect_store_and_rerun(spark, site, tmp_path):
     expected = [{"11", "13", "21", "22"}, {"14", "15"}, {"16"}, set()]
     for run_id, want in enumerate(expected, 1):
         day = F.lit(dt.date(2024, 1, run_id))
-        headers = tables.snapshot_headers(stored)
-        entries = explode_snapshots(stored).filter("article_id is not null")
-        kept = materialize(
-            daily.collect(accounts, items, details, headers, entries, index, PARAMS)
-            .withColumn("crawl_time", F.timestamp_seconds(1704067200 + 86400 * (run_id - 1) + F.col("pos")))
-            .withColumnRenamed("content", "body")
-        )
+        at = F.timestamp_seconds(1704067200 + 86400 * (run_id - 1) + F.col("pos"))
+        run = daily.collect(accounts, items, details, stored, index, PARAMS, crawl_time=at)
+        kept = materialize(run.batch.withColumnRenamed("content", "body"))
         assert {r.article_id for r in kept.collect()} == want
+        assert sum(r.kept for r in run.counts.collect()) == len(want)
         sinks.write_articles(kept, table, run_id)
         sinks.write_snapshots(daily.run_snapshots(accounts, kept, day, PARAMS), snaps, run_id)
         rows = upsert_index(index, kept.select(*index.columns), ["crawl_time"])

@@ -85,8 +85,7 @@ def test_all_snapshots_scan(spark, corpus_root):
     found = rows.filter("article_id is not null")
     assert found.count() == found.select("article_id").distinct().count() == 198
     assert found.filter("to_date(crawl_time) <> date").count() == 0
-    heads = rows.select("user_id", "date").distinct()
-    last7 = recent_snapshot_ids(heads, found, 7)
+    last7 = recent_snapshot_ids(tables.scan_snapshot_files(spark, f"{corpus_root}/history"), 7)
     assert last7.select("user_id").distinct().count() <= 9
 
 

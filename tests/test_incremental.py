@@ -1,5 +1,6 @@
 """Incremental state: order of steps, hot groups, reruns."""
 
+import datetime as dt
 import random
 from collections import defaultdict
 
@@ -18,12 +19,13 @@ DETAIL = (
 )
 
 
-def headers(spark, rows):
-    return spark.createDataFrame(rows, "user_id string, date string")
-
-
-def entries(spark, rows):
-    return spark.createDataFrame(rows, "user_id string, date string, article_id string")
+def snapshots(spark, heads, entries=()):
+    """Nested records of (user, date) with the ids of (user, date, id); repeated ids stay."""
+    held = defaultdict(list, {tuple(h): [] for h in heads})
+    for user, date, article in entries:
+        held[user, date].append((article,))
+    rows = [(u, d, ids) for (u, d), ids in held.items()]
+    return spark.createDataFrame(rows, "user_id string, date string, articles array<struct<article_id:string>>")
 
 
 def index(spark, ids):
@@ -59,12 +61,15 @@ def reference_batch(listed, detail, stored, heads, known, k, cap):
     return sorted(kept)
 
 
-def run(spark, listed, detail, stored, heads, known, k=2, cap=3):
-    return D.incremental_batch(
+def run(spark, *args, **options):
+    return both(spark, *args, **options).batch
+
+
+def both(spark, listed, detail, stored, heads, known, k=2, cap=3):
+    return D.incremental_run(
         items(spark, listed),
         details(spark, [(a, t, c) for a, (t, c) in detail.items()]),
-        headers(spark, heads),
-        entries(spark, stored),
+        snapshots(spark, heads, stored),
         index(spark, known),
         SITE,
         CrawlParams(snapshot_files=k, articles_per_user=cap),
@@ -72,13 +77,22 @@ def run(spark, listed, detail, stored, heads, known, k=2, cap=3):
 
 
 def test_recent_ids_count_snapshots_not_days_and_empty_ones_too(spark):
-    heads = headers(spark, [("u", f"2024-01-{d:02d}") for d in (1, 5, 9)] + [("v", "2024-01-01")])
-    rows = entries(
-        spark, [("u", "2024-01-01", "a"), ("u", "2024-01-05", "b"), ("u", "2024-01-05", "b"), ("v", "2024-01-01", "c")]
-    )
-    got = {(r.user_id, r.article_id) for r in D.recent_snapshot_ids(heads, rows, 2).collect()}
+    heads = [("u", f"2024-01-{d:02d}") for d in (1, 5, 9)] + [("v", "2024-01-01")]
+    rows = [("u", "2024-01-01", "a"), ("u", "2024-01-05", "b"), ("u", "2024-01-05", "b"), ("v", "2024-01-01", "c")]
+    got = {(r.user_id, r.article_id) for r in D.recent_snapshot_ids(snapshots(spark, heads, rows), 2).collect()}
     assert got == {("u", "b"), ("v", "c")}
-    assert D.recent_snapshot_ids(heads, rows, 2).count() == 2
+    assert D.recent_snapshot_ids(snapshots(spark, heads, rows), 2).count() == 2
+
+
+def test_records_of_one_snapshot_count_once_and_a_bound_leaves_older_days_out(spark):
+    """A snapshot in three chunks, and a user whose newest snapshots are older than the bound."""
+    rows = spark.createDataFrame(
+        [("u", "2024-01-05", [("a",)]), ("u", "2024-01-05", [("b",)]), ("u", "2024-01-05", []),
+         ("u", "2024-01-03", [("c",)]), ("u", "2024-01-01", [("d",)]), ("v", "2024-01-01", [("e",)])],
+        "user_id string, date string, articles array<struct<article_id:string>>",
+    ).withColumn("date", F.to_date("date"))
+    assert {r.article_id for r in D.recent_snapshot_ids(rows, 2).collect()} == {"a", "b", "c", "e"}
+    assert {r.article_id for r in D.recent_snapshot_ids(rows, 2, dt.date(2024, 1, 2)).collect()} == {"a", "b", "c"}
 
 
 def test_new_items_have_an_id_and_are_new_to_their_user(spark):
@@ -128,15 +142,54 @@ def test_batch_equals_the_sequential_rules(spark, listed, detail, stored, known)
     assert sorted((r.user_id, r.article_id) for r in got.collect()) == want
 
 
+def test_counts_equal_the_sequential_rules(spark):
+    """Copies, empty and missing ids, known ids, users without items."""
+    rng = random.Random(4)
+    listed = [(rng.choice("uvw"), rng.choice(["", "a", "b", "c", "d", None]), 1, p) for p in range(60)]
+    stored = [("u", "2", "a"), ("u", "2", "a"), ("x", "2", "a"), ("v", "1", "b"), ("v", "2", "c"), ("v", "3", "d")]
+    heads = sorted({(u, d) for u, d, _ in stored})
+    detail = {a: ("t", True) for a in "abd"}
+    batch, counts = both(spark, listed, detail, stored, heads, ["d"], k=2, cap=7)
+    kept = reference_batch(listed, detail, stored, heads, ["d"], 2, 7)
+    recent = {("u", "a"), ("v", "c"), ("v", "d")}
+    want = {}
+    for user in "uvw":
+        own = [a for u, a, *_ in listed if u == user]
+        new = [a for a in own if a and (user, a) not in recent]
+        want[user] = (len(own), len(new), min(7, len(new)), sum(u == user for u, _ in kept))
+    assert {r.user_id: (r.listed, r.new, r.capped, r.kept) for r in counts.collect()} == want
+    assert sorted((r.user_id, r.article_id) for r in batch.collect()) == kept
+
+
+def test_batch_has_its_crawl_time_and_path(spark):
+    listed = items(spark, [("u", "a", 1, 0)])
+    fetched = details(spark, [("a", "t", True), ("a", "t", True)]).withColumn(
+        "crawl_time", F.lit("2024-01-02 03:04:05").cast("timestamp")
+    )
+    args = listed, fetched, snapshots(spark, []), index(spark, [])
+    (row,) = D.incremental_batch(*args).collect()
+    assert (str(row.crawl_time), row.filepath, row.url) == ("2024-01-02 03:04:05", "data/u/a.md", "la")
+    given = D.incremental_batch(*args, crawl_time=F.lit("2025-01-01").cast("timestamp"), root="store")
+    (row,) = given.collect()
+    assert (str(row.crawl_time), row.filepath) == ("2025-01-01 00:00:00", "store/u/a.md")
+
+
+def test_one_url_with_two_details_and_an_item_listed_under_two_urls(spark):
+    """The detail fetched last counts; where it fails the type filter, another url may pass."""
+    listed = spark.createDataFrame([("u", "a", "l1", 1, 0), ("u", "a", "l2", 1, 1)], ITEM)
+    rows = [("l1", "old", True, 1), ("l1", "new", False, 2), ("l2", "x", True, 1), ("l2", "y", True, 3)]
+    fetched = spark.createDataFrame(rows, "url string, title string, is_column boolean, at int")
+    kept = D.incremental_batch(
+        listed, fetched, snapshots(spark, []), index(spark, []), detail_order="at"
+    )
+    assert [(r.link, r.title) for r in kept.collect()] == [("l2", "y")]
+
+
 def test_counts_and_rerun(spark):
     listed = [("u", a, 1, p) for p, a in enumerate("abcde")] + [("v", "z", 2, 0)]
     detail = {a: ("t", a != "b") for a in "abcde"}
-    first = run(spark, listed, detail, [], [], [])
+    first, counts = both(spark, listed, detail, [], [], [])
     kept = [(r.user_id, r.article_id) for r in first.collect()]
-    crawl = CrawlParams(snapshot_files=2, articles_per_user=3)
-    counts = D.incremental_counts(
-        items(spark, listed), first, headers(spark, []), entries(spark, []), crawl
-    )
     assert {r.user_id: (r.listed, r.new, r.capped, r.kept) for r in counts.collect()} == {
         "u": (5, 5, 3, 2), "v": (1, 1, 1, 0),
     }
@@ -156,7 +209,7 @@ def test_index_rows_never_change(spark):
 
 
 def test_snapshot_rollup_keeps_empty_runs_and_splits_large_ones(spark):
-    runs = headers(spark, [("u", "d"), ("v", "d")])
+    runs = spark.createDataFrame([("u", "d"), ("v", "d")], "user_id string, date string")
     kept = spark.createDataFrame(
         [("u", "d", f"{i:03d}", "t" * 60, i) for i in range(95)],
         "user_id string, date string, article_id string, title string, ord int",
@@ -206,10 +259,19 @@ def test_report_batch_skips_missing_documents_before_the_limit(spark):
 
 
 def test_one_detail_of_each_url(spark):
-    from inkfold.operators.incremental import one_detail
-
-    rows = [("u1", "a", 1), ("u1", "b", 2), ("u2", "c", 1), ("u2", "c", 1), (None, "d", 1)]
-    details = spark.createDataFrame(rows, "url string, title string, at int")
-    found = [tuple(r) for r in one_detail(details, "at").collect()]
-    assert sorted(found) == [("u1", "b", 2), ("u2", "c", 1), ("u2", "c", 1)]
-    assert len({r.title for r in one_detail(details).filter("url = 'u1'").collect()}) == 1
+    rows = [("u1", "a", True, 1), ("u1", "b", False, 2), ("u2", "c", True, 1), ("u2", "c", True, 1)]
+    found = D.one_detail(spark.createDataFrame(rows, "url string, title string, is_column boolean, at int"), "at")
+    assert sorted((r.url, r.title, r.is_column) for r in found.collect()) == [("u1", "b", False), ("u2", "c", True)]
+
+
+def test_two_authors_with_one_id_do_not_multiply_rows(spark):
+    at = F.lit("2024-01-01 05:00:00").cast("timestamp")
+    both = spark.createDataFrame([("u", "1"), ("v", "1"), ("v", "2")], "user_id string, article_id string")
+    index_rows = both.withColumn("crawl_time", at)
+    documents = both.withColumn("content", F.concat_ws("/", "user_id", "article_id"))
+    want = ["u/1", "v/1", "v/2"]
+    assert sorted(r.content for r in D.today_articles_join(index_rows, documents).collect()) == want
+    assert sorted(r.content for r in D.report_batch(index_rows, documents, 20).collect()) == want
+    rows = index_rows.withColumn("date", F.to_date("crawl_time"))
+    limited = D.report_limit(rows, 20).collect()
+    assert sorted((r.user_id, r.article_id) for r in limited) == [("u", "1"), ("v", "1"), ("v", "2")]
