@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructType
+
+BUCKETS = 256  # of ids; a task holds the new rows of one bucket and micro-batch at a time
+MISSING = "\0"  # stands for a missing id
 
-from inkfold.functions.ranking import first_k
-from inkfold.sources.tables import path_exists
+# The processor travels with the task, so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def read_arrivals(
@@ -39,41 +46,69 @@ def stream_ingest_by_state(arrivals: DataFrame, table: str, checkpoint: str) ->
     )
 
 
-def stream_ingest_exact(
-    arrivals: DataFrame, table: str, checkpoint: str, order: tuple[str, ...] = ("crawl_time",)
-) -> StreamingQuery:
-    """Append each ``article_id`` once over the whole table's life.
+class FirstOfEachId(StatefulProcessor):
+    """The first row of each id by a fixed order, unless an earlier batch had the id.
 
-    Every micro-batch is anti-joined with the ids stored by earlier batches and written
-    to its own partition. A batch that runs again after a failure overwrites that
-    partition, so delivery stays exactly once.
+    A group is a bucket of ids; its state is a map with one entry per id ever seen.
     """
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        first = first_k(batch, ["article_id"], list(order), 1, "_copy").drop("_copy")
-        if path_exists(spark, table):
-            earlier = (
-                spark.read.schema(_with_batch(batch.schema)).parquet(table)
-                .filter(F.col("batch_id") < batch_id)
-                .select("article_id")
-            )
-            first = first.join(earlier, "article_id", "left_anti")
-        (
-            first.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(table)
-        )
+    def __init__(self, columns: list[str], key: int, rank: list[int]):
+        self.columns, self.key, self.rank = columns, key, rank
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", "id string", "stored boolean")
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first: dict[str, tuple[tuple, Row]] = {}
+        for row in rows:
+            # A missing value comes first and is compared with nothing.
+            rank = tuple((row[i] is not None, row[i]) for i in self.rank)
+            name = str(row[self.key]) if row[self.key] is not None else MISSING
+            if name not in first or rank < first[name][0]:
+                first[name] = rank, row
+        for name, (_, row) in first.items():
+            if not self.seen.containsKey((name,)):
+                self.seen.updateValue((name,), (True,))
+                yield Row(**dict(zip(self.columns, row)))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_ingest_exact(
+    arrivals: DataFrame,
+    table: str,
+    checkpoint: str,
+    order: tuple[str, ...] = ("crawl_time",),
+    buckets: int = BUCKETS,
+) -> StreamingQuery:
+    """Append each ``article_id`` once over the whole table's life, by a fixed choice.
+
+    Of the rows that bring an id in one micro-batch the first by ``order`` is stored, then
+    the one with the least hash of its columns, whatever order they arrive in; rows without
+    an id count as one. The ids are state, kept by id in buckets on disk and in snapshots of
+    the checkpoint; no micro-batch reads or lists what earlier ones stored. The state grows
+    with the ids and is never cut, as an id may come back after any time. The sink's log makes
+    a batch that runs again replace itself. ``buckets`` is fixed for a checkpoint's life.
+    """
+    columns = arrivals.columns
+    fields = [*columns, "_hash", "_bucket"]
+    keyed = arrivals.withColumns(
+        {
+            "_hash": F.xxhash64(*columns),
+            "_bucket": F.pmod(F.xxhash64("article_id"), F.lit(buckets)).cast("int"),
+        }
+    )
+    first = FirstOfEachId(
+        columns, fields.index("article_id"), [fields.index(c) for c in (*order, "_hash")]
+    )
     return (
-        arrivals.writeStream.foreachBatch(store)
+        keyed.groupBy("_bucket")
+        .transformWithState(first, arrivals.schema, outputMode="Append", timeMode="None")
+        .writeStream.format("parquet")
+        .option("path", table)
         .option("checkpointLocation", checkpoint)
+        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _with_batch(schema: StructType) -> StructType:
-    return StructType([*schema.fields, StructField("batch_id", LongType(), True)])
