@@ -42,11 +42,13 @@ select user_id, article_id, title, coalesce(author, '未知') as author,
     "articles",
 )
 def scan_article_corpus(v: Views):
-    documents = _stored(v).select(
-        corpus.markdown_document().alias("raw"),
-        F.concat_ws("/", F.lit("data"), "user_id", F.concat("article_id", F.lit(".md"))).alias("path"),
-    )
-    return corpus.parse_documents(documents).select(
+    """All articles written as documents, packed, and read back; a second batch repeats some."""
+    path = run_folder(v.spark, "documents")
+    rows = _stored(v)
+    again = F.col("is_column")
+    sinks.write_markdown(rows.withColumn("title", F.when(again, "old").otherwise(F.col("title"))), path, 1)
+    sinks.write_markdown(rows.filter(again), path, 2)
+    return corpus.scan_packed_corpus(v.spark, path).select(
         "user_id", "article_id", "title", "author", "publish_time", "likes", "comments", "url",
         F.md5("body").alias("body_md5"),
         F.date_format("crawl_time", "yyyy-MM-dd HH:mm:ss").alias("crawl_time"), "well_formed",
@@ -130,6 +132,7 @@ def sink_articles(v: Views):
     sinks.write_articles(rows, path, 1)
     again = rows.filter(~F.col("is_column")).withColumn("title", F.concat(F.lit("v2 "), "title"))
     sinks.write_articles(again, path, 2)
+    corpus.compact_articles(v.spark, path)
     return corpus.scan_articles(v.spark, path).select(
         "user_id", "article_id", "title", "author", "publish_time", "url",
         F.md5("body").alias("body_md5"), stamp(),

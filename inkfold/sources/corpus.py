@@ -8,6 +8,8 @@ from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from inkfold import schemas
 from inkfold.functions.text import text
+from inkfold.sources.packed import scan_packed
+from inkfold.sources.tables import child_names
 
 # --- fixed values: the document layout ---
 TITLE_START = "# "
@@ -97,7 +99,7 @@ def scan_article_corpus(spark: SparkSession, root: str, glob: str = USER_FOLDERS
     """Articles from ``<root>/<user_id>/<article_id>.md``, each file read whole.
 
     Small files are packed into common tasks by the scan. A corpus of many millions of
-    files should be converted once with ``write_articles`` and read from there.
+    files should be packed (``scan_packed_corpus``) or converted to the article table.
     """
     documents = (
         spark.read.text(f"{root}/{glob}", wholetext=True)
@@ -106,6 +108,11 @@ def scan_article_corpus(spark: SparkSession, root: str, glob: str = USER_FOLDERS
     return parse_documents(documents)
 
 
+def scan_packed_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """Articles from archives of documents, an archive to a task."""
+    return parse_documents(scan_packed(spark, path))
+
+
 def markdown_document(crawl_time: Column | None = None, body: str = "body") -> Column:
     """The document text of an article row; missing fields get the layout's defaults."""
     stamp = F.date_format(F.col("crawl_time") if crawl_time is None else crawl_time, CRAWL_FORMAT)
@@ -143,25 +150,93 @@ STORED = StructType(
 )
 
 
+# Which keys have several versions, as of a batch: (key, latest). Spark's readers of the
+# article table pass over the folder, as its name starts with an underscore.
+REPLACED = "_replaced"
+KEY = ["user_id", "article_id"]
+POINTERS = StructType(
+    [f for f in schemas.ARTICLES if f.name in KEY]
+    + [StructField("latest", LongType(), True), StructField("base", LongType(), True)]
+)
+
+
+def _numbers(names: list[str], column: str) -> list[int]:
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{column}="))
+
+
+def _newer(spark: SparkSession, path: str, stored: DataFrame) -> tuple[DataFrame, int | None]:
+    """(key, latest) of all keys that may have replaced something, and the batch up to which
+    they are compacted. Of batches since then only the keys are read, none of older ones;
+    the first batch of a table cannot have replaced anything.
+    """
+    bases = _numbers(child_names(spark, f"{path}/{REPLACED}"), "base")
+    if bases:
+        since = bases[-1]
+        pointers = spark.read.schema(POINTERS).parquet(f"{path}/{REPLACED}")
+        known = pointers.filter(F.col("base") == since).select(*KEY, "latest")
+    else:
+        batches = _numbers(child_names(spark, path), "batch_id")
+        since = batches[0] if batches else None
+        known = None
+    recent = stored if since is None else stored.filter(F.col("batch_id") > since)
+    latest = recent.groupBy(*KEY).agg(F.max("batch_id").alias("latest"))
+    if known is not None:
+        latest = known.unionByName(latest)
+    return latest, bases[-1] if bases else None
+
+
 def scan_articles(spark: SparkSession, path: str) -> DataFrame:
     """The current version of every article in the article table.
 
-    The table is append-only and a later batch replaces the same key. Only keys are
-    aggregated; the wide rows pass through an anti join with the replaced versions,
-    which are few, so their text is shuffled only when that list is too large to send
+    The table is append-only and a later batch replaces the same key. The keys that replaced
+    something are compacted from time to time (``compact_articles``); a read takes those and
+    the keys of the batches since. The wide rows pass through an anti join with them, so
+    filters reach the scan, and text is shuffled only when that list is too large to send
     to every executor.
     """
     stored = spark.read.schema(STORED).parquet(path)
-    keys = stored.select("user_id", "article_id", "batch_id")
-    latest = keys.groupBy("user_id", "article_id").agg(
-        F.max("batch_id").alias("_latest"), F.min("batch_id").alias("_oldest")
-    )
-    replaced = latest.filter(F.col("_latest") > F.col("_oldest")).select(
-        F.col("user_id").alias("_u"), F.col("article_id").alias("_a"), "_latest"
+    newer, _ = _newer(spark, path, stored)
+    replaced = newer.select(
+        F.col("user_id").alias("_u"), F.col("article_id").alias("_a"), "latest"
     )
     stale = (
         (F.col("user_id") == F.col("_u"))
         & (F.col("article_id") == F.col("_a"))
-        & (F.col("batch_id") < F.col("_latest"))
+        & (F.col("batch_id") < F.col("latest"))
     )
     return stored.join(replaced, stale, "left_anti")
+
+
+def compact_articles(spark: SparkSession, path: str) -> None:
+    """Note which keys have several versions, up to the newest batch.
+
+    Keys of older batches are read once, narrow, and only those that a batch since the last
+    compaction brought again go on. The list is appended as a folder of its own, so a run
+    that fails or is repeated changes nothing that readers use.
+    """
+    batches = _numbers(child_names(spark, path), "batch_id")
+    if not batches:
+        return
+    stored = spark.read.schema(STORED).parquet(path)
+    newer, base = _newer(spark, path, stored)
+    if base == batches[-1]:
+        return
+    since = batches[0] if base is None else base
+    recent = stored.filter(F.col("batch_id") > since).groupBy(*KEY).agg(
+        F.max("batch_id").alias("latest"), F.min("batch_id").alias("_first")
+    )
+    older = stored.filter(F.col("batch_id") <= since).select(*KEY)
+    again = older.join(recent.select(*KEY), KEY, "left_semi").select(*KEY, F.lit(True).alias("_again"))
+    several = recent.join(again.distinct(), KEY, "left").filter(
+        F.col("_again") | (F.col("_first") < F.col("latest"))
+    )
+    known = newer.join(recent.select(*KEY), KEY, "left_anti") if base is not None else None
+    rows = several.select(*KEY, "latest")
+    (
+        (rows if known is None else rows.unionByName(known))
+        .withColumn("base", F.lit(batches[-1]).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("base")
+        .parquet(f"{path}/{REPLACED}")
+    )

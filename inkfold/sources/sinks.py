@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkfold.sources.corpus import STORED, markdown_document
 from inkfold.sources.ordered_text import write_ordered_text
+from inkfold.sources.packed import write_packed
 
 # Keeps the files of a hot partition at a readable size.
 ROWS_PER_FILE = 1_000_000
@@ -32,15 +33,16 @@ def write_articles(articles: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
-def write_markdown(articles: DataFrame, path: str) -> None:
-    """One text document per article, as ``user_id=…/article_id=…`` folders."""
-    (
-        articles.select("user_id", "article_id", markdown_document().alias("value"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("user_id", "article_id")
-        .text(path)
+def write_markdown(articles: DataFrame, path: str, batch_id: int) -> None:
+    """The articles of a batch as text documents ``<user_id>/<article_id>.md`` in archives.
+
+    A later batch replaces the same document; ``corpus.scan_packed_corpus`` reads them.
+    """
+    name = F.concat(F.col("article_id"), F.lit(".md"))
+    documents = articles.select(
+        F.concat_ws("/", F.col("user_id"), name).alias("path"), markdown_document().alias("raw")
     )
+    write_packed(documents, path, batch_id)
 
 
 def write_index_rows(rows: DataFrame, path: str, batch_id: int) -> None:

@@ -21,6 +21,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
 def spread(df: DataFrame, *key: str) -> DataFrame:
     """Deal a coarsely split input out to all cores by key.
 

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import subprocess
 import sys
+import tarfile
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ from inkfold.functions import lines
 from inkfold.operators.incremental import explode_snapshots, snapshot_rollup
 from inkfold.operators.quality import merge_quality_logs
 from inkfold.session import materialize
-from inkfold.sources import corpus, ordered_text, sinks, tables
+from inkfold.sources import corpus, ordered_text, packed, sinks, tables
 from inkfold.sources.ordered_text import scan_ordered_text
 
 ARTICLE = (
@@ -67,12 +68,33 @@ def test_article_table_keeps_the_last_version(spark, tmp_path):
     assert [r.article_id for r in pruned.collect()] == ["11"]
 
 
-def test_markdown_on_request(spark, tmp_path):
-    sinks.write_markdown(articles(spark, ROWS), str(tmp_path / "md"))
-    stored = spark.read.text(str(tmp_path / "md"), wholetext=True)
-    assert stored.count() == 3
-    (text,) = [r.value for r in stored.filter("article_id = 21").collect()]
-    assert text.startswith("# t\n\n> 作者：a | 发布时间：p\n")
+def test_packed_documents(spark, tmp_path):
+    """Few archives with the paths; a later batch replaces documents, a rerun its own batch."""
+    path = str(tmp_path / "md")
+    rows = articles(spark, ROWS)
+    sinks.write_markdown(rows, path, 1)
+    for title in ("first try", "second"):
+        sinks.write_markdown(rows.filter("article_id = '12'").withColumn("title", F.lit(title)), path, 2)
+    got = {r.article_id: r for r in corpus.scan_packed_corpus(spark, path).collect()}
+    assert len(got) == 3 and all(r.well_formed for r in got.values())
+    for row in rows.collect():
+        for c in rows.columns:
+            assert got[row.article_id][c] == ("second" if (c, row.article_id) == ("title", "12") else row[c]), c
+    archives = sorted((tmp_path / "md" / "batch=1").glob("*.tar"))
+    names = [n for a in archives for n in tarfile.open(a).getnames()]
+    assert sorted(names) == ["1/11.md", "1/12.md", "2/21.md"]
+    assert not list((tmp_path / "md").glob("_temporary*"))
+
+
+def test_archives_roll_over_at_their_size(spark, tmp_path):
+    path = str(tmp_path / "packed")
+    name = F.concat(F.repeat(F.lit("é"), 150), F.col("id").cast("string"))
+    documents = spark.range(100).select(name.alias("path"), F.repeat(F.lit("ü€"), 200).alias("raw"))
+    packed.write_packed(documents.coalesce(2), path, 1, archive_bytes=10_000)
+    assert len(list((tmp_path / "packed").glob("*/*.tar"))) == 10
+    stored = packed.scan_packed(spark, path)
+    assert stored.rdd.getNumPartitions() == 10
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, documents.collect()))
 
 
 def snapshots(spark, rows, runs):
@@ -250,3 +272,45 @@ def test_a_file_system_that_fails_is_not_a_missing_file(spark, tmp_path):
     assert not tables.path_exists(spark, str(tmp_path / "none"))
     with pytest.raises(Exception):
         tables.scan_index_map(spark, "nosuchscheme://host/index.json")
+
+
+def test_current_versions_after_compaction(spark, tmp_path):
+    """Versions before, between and after compactions; the order of batches alone counts."""
+    path = str(tmp_path / "articles")
+    rows = articles(spark, [(u, str(i), "v1", "", "", 0, 0, "", "b", "2024-01-01 00:00:00") for u in "uv" for i in range(6)])
+    want = {(u, str(i)): "v1" for u in "uv" for i in range(6)}
+
+    def write(batch, keys):
+        wanted = F.struct("user_id", "article_id").isin(*[F.struct(F.lit(u), F.lit(i)) for u, i in keys])
+        sinks.write_articles(rows.filter(wanted).withColumn("title", F.lit(f"v{batch}")), path, batch)
+        want.update({k: f"v{batch}" for k in keys})
+
+    def check():
+        found = {(r.user_id, r.article_id): r.title for r in corpus.scan_articles(spark, path).collect()}
+        assert found == want and corpus.scan_articles(spark, path).count() == len(want)
+
+    sinks.write_articles(rows, path, 1)
+    corpus.compact_articles(spark, path)
+    check()
+    write(2, [("u", "0"), ("u", "1")])
+    check()
+    corpus.compact_articles(spark, path)
+    check()
+    write(3, [("u", "1"), ("v", "2")])
+    write(4, [("v", "2"), ("v", "3")])
+    check()
+    for _ in range(2):
+        corpus.compact_articles(spark, path)
+        check()
+    listed = spark.read.schema(corpus.POINTERS).parquet(f"{path}/_replaced").filter("base = 4")
+    assert sorted((r.user_id, r.article_id, r.latest) for r in listed.collect()) == [
+        ("u", "0", 2), ("u", "1", 3), ("v", "2", 4), ("v", "3", 4),
+    ]
+    write(5, [("u", "5")])
+    check()
+    # Of the keys only those of the batch since are read; a day filter reaches the article scan.
+    plan = corpus.scan_articles(spark, path).filter("crawl_date = date '2024-01-01'")
+    scans = [x for x in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    keys = [x for x in scans if "body" not in x and "latest" not in x]
+    assert keys and all("batch_id" in x and "> 4)" in x for x in keys)
+    assert all("crawl_date" in x.split("PartitionFilters")[1] for x in scans if "body" in x)
