@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 import subprocess
 import sys
 import tarfile
@@ -314,3 +315,52 @@ def test_current_versions_after_compaction(spark, tmp_path):
     keys = [x for x in scans if "body" not in x and "latest" not in x]
     assert keys and all("batch_id" in x and "> 4)" in x for x in keys)
     assert all("crawl_date" in x.split("PartitionFilters")[1] for x in scans if "body" in x)
+
+
+def index_document(n, indent=None, newest_first=False):
+    """An index with braces, quotes and backslashes in its strings, and other maps around."""
+    rng = random.Random(n)
+    odd = ['{', '}', '"', '\\', '\\"', '}}', '{"articles": {', ', "a": {', "é", "\n", "plain", '\\\\"}', "]["]
+    articles = {
+        f"id{i}" + rng.choice(["", "}", '"', "\\"]): {
+            "title": "".join(rng.choices(odd, k=rng.randint(0, 6))), "user_id": f"u{i % 3}",
+            "extra": {"nested": {"deep": "}"}} if i % 5 == 0 else None, "filepath": f"data/{i}.md",
+        }
+        for i in range(n)
+    }
+    parts = {"last_update": 'x "}{', "articles": articles, "history": {"2024": {"title": "not an article"}}}
+    keys = reversed(parts) if newest_first else parts
+    return articles, json.dumps({k: parts[k] for k in keys}, indent=indent, ensure_ascii=False)
+
+
+@pytest.mark.parametrize("n, indent, newest_first", [(400, None, False), (400, 2, True), (1, None, True), (0, None, False)])
+def test_one_index_document_over_many_splits(spark, tmp_path, n, indent, newest_first):
+    want, text = index_document(n, indent, newest_first)
+    file = tmp_path / "index.json"
+    file.write_text(text + ("\n" if indent else ""), encoding="utf-8")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0b")
+        if n == 400:
+            splits = spark.read.option("lineSep", "}").text(str(file)).select("_metadata.file_block_start")
+            assert splits.distinct().count() > 20
+        rows = tables.scan_index_map(spark, str(file)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert {r.article_id: (r.title, r.user_id, r.filepath) for r in rows} == {
+        k: (a["title"], a["user_id"], a["filepath"]) for k, a in want.items()
+    }
+    assert len(rows) == n
+
+
+def test_many_index_documents(spark, tmp_path):
+    want = set()
+    for i, n in enumerate((3, 40, 7)):
+        articles, text = index_document(n)
+        (tmp_path / f"{i}.json").write_text(text.replace('"id', f'"d{i}id'), encoding="utf-8")
+        want |= {f"d{i}{k}" for k in articles}
+    rows = tables.scan_index_map(spark, str(tmp_path)).collect()
+    assert {r.article_id for r in rows} == want and len(rows) == 50
