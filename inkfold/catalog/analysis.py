@@ -18,6 +18,8 @@ from inkfold.catalog.views import (
 from inkfold.operators import classification as K
 from inkfold.operators import quality as Q
 from inkfold.operators import responses as G
+from inkfold.session import run_folder
+from inkfold.sources import sinks, tables
 
 _PASSED = "length(title) >= 3 and length(content) >= 200"
 
@@ -114,8 +116,12 @@ from daily d left join t on t.date = d.date""",
     "articles",
 )
 def quality_summary_text(v: Views):
+    """Made from the stored log: the articles are not read again."""
+    path = run_folder(v.spark, "quality_log")
     gated = Q.quality_gate_full(v.articles, TEST.gate)
-    return Q.render_quality_summary(Q.quality_summary(gated, TEST.gate))
+    sinks.write_quality_log(Q.quality_log(gated, TEST.gate), path)
+    log = tables.scan_quality_log(v.spark, path, multiline=False)
+    return Q.render_quality_summary(Q.summary_of_log(log.withColumn("date", F.to_date("date"))))
 
 
 # --- classification ---

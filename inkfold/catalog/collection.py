@@ -8,11 +8,11 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from inkfold.catalog.registry import SQL_STAMP, query, stamp
-from inkfold.catalog.views import TEST, Views, sql_strip
+from inkfold.catalog.views import SQL_ISSUES, TEST, Views, sql_strip
 from inkfold.operators import extraction as X
 from inkfold.operators import filters as C
 from inkfold.operators import incremental as D
-from inkfold.operators.quality import quality_gate_report, quality_log_daily, merge_quality_logs
+from inkfold.operators.quality import merge_quality_logs, quality_gate_report, quality_log
 from inkfold.session import run_folder
 from inkfold.sources import corpus, sinks, tables
 
@@ -84,7 +84,7 @@ select article_id, title, author, publish_time, user_id,
     "article_index",
 )
 def scan_index_map(v: Views):
-    """Index documents of some hundred entries each, written as JSON lines and read back."""
+    """Index documents of some hundred entries each, read back as split at closing braces."""
     index = v.article_index
     entry = F.struct(
         "title", "author", "publish_time", "user_id",
@@ -100,7 +100,7 @@ def scan_index_map(v: Views):
         .select("articles", F.lit("2024-01-04").alias("last_update"))
         .write.json(path)
     )
-    return tables.scan_index_map(v.spark, path, multiline=False)
+    return tables.scan_index_map(v.spark, path)
 
 
 SQL_ENABLED = "coalesce(enabled, true) and coalesce(id, '') <> '' and coalesce(url, '') <> ''"
@@ -186,22 +186,35 @@ def sink_snapshot_overwrite(v: Views):
 
 @query(
     "scan_quality_log",
-    """
-select date, count(*) as total_articles,
-  count(*) filter (where length(title) >= 3 and length(content) >= 200) as passed,
-  count(*) filter (where length(title) < 3 or length(content) < 200) as failed
-from articles group by 1""",
+    f"""
+with g as (select *, {SQL_ISSUES} as issue_text, length(title) < 3 or length(content) < 200 as bad from articles),
+ranked as (select *, row_number() over (partition by date, labelled order by crawl_time, article_id) as rn
+  from g where bad),
+firsts as (select *, row_number() over (partition by date order by labelled, rn) as n from ranked where rn <= 10),
+texts as (select date, string_agg(article_id || '/' || user_id || '/' || left(title, 50) || '/' || issue_text
+  || '/' || length(content), '; ' order by n) as failures from firsts where n <= 10 group by 1),
+daily as (select date, count(*) as total_articles, count(*) filter (where not bad) as passed,
+  count(*) filter (where bad) as failed from g group by 1)
+select d.date, total_articles, passed, failed, coalesce(failures, '') as failures
+from daily d left join texts t on t.date = d.date""",
     "articles",
 )
 def scan_quality_log(v: Views):
     """A log of the articles without a label is reloaded and the labelled ones added to it."""
     gated = quality_gate_report(v.articles, TEST.gate)
     path = run_folder(v.spark, "quality_log")
-    sinks.write_quality_log(quality_log_daily(gated.filter(~F.col("labelled"))), path)
+    sinks.write_quality_log(quality_log(gated.filter(~F.col("labelled")), TEST.gate), path)
     stored = tables.scan_quality_log(v.spark, path, multiline=False).withColumn(
         "date", F.to_date("date")
     )
-    return merge_quality_logs(stored, quality_log_daily(gated.filter("labelled")))
+    merged = merge_quality_logs(stored, quality_log(gated.filter("labelled"), TEST.gate), p=TEST.gate)
+    line = F.transform(
+        "issues",
+        lambda x: F.concat_ws(
+            "/", x["article_id"], x["user_id"], x["title"], F.array_join(x["issues"], ", "), x["content_length"]
+        ),
+    )
+    return merged.withColumn("failures", F.array_join(line, "; ")).drop("issues")
 
 
 # --- page extraction ---

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,13 +57,64 @@ def quality_failures(
     )
 
 
-def merge_quality_logs(*logs: DataFrame) -> DataFrame:
-    """Counters of several logs added up per day."""
+def quality_log(gated: DataFrame, p: GateParams = GateParams(), content: str = "content") -> DataFrame:
+    """Totals per day with the day's first failures as ``issues``, as the log stores them.
+
+    The failures are cut to ``summary_rows`` in the map tasks, so a day's list is short
+    however many articles fail; ``quality_failures`` has them all.
+    """
+    details = ["article_id", "user_id", "title", "issues", "content_length"]
+    failures = quality_failures(gated, p, content)
+    first = (
+        first_k(failures, ["date"], ["crawl_time", "article_id"], p.summary_rows, "row_no")
+        .groupBy("date")
+        .agg(F.array_sort(F.collect_list(F.struct("row_no", F.struct(*details).alias("f")))).alias("_f"))
+        .select("date", F.col("_f.f").alias("issues"))
+    )
+    none = F.array().cast(first.schema["issues"].dataType)
+    return (
+        quality_log_daily(gated)
+        .join(first, "date", "left")
+        .withColumn("issues", F.coalesce("issues", none))
+    )
+
+
+def merge_quality_logs(*logs: DataFrame, p: GateParams = GateParams()) -> DataFrame:
+    """Several logs as one: counters added up per day, failures in order of the logs.
+
+    Of each day the first ``summary_rows`` failures stay, which is associative: merging
+    merged logs gives the same. A log without ``issues`` has none.
+    """
     counters = ["total_articles", "passed", "failed"]
-    merged = logs[0].select("date", *counters)
-    for log in logs[1:]:
-        merged = merged.unionByName(log.select("date", *counters))
-    return merged.groupBy("date").agg(*[F.sum(c).alias(c) for c in counters])
+    kind = next((log.schema["issues"].dataType for log in logs if "issues" in log.columns), None)
+    parts = []
+    for number, log in enumerate(logs):
+        issues = []
+        if kind is not None:
+            own = F.col("issues") if "issues" in log.columns else F.lit(None)
+            issues = [F.coalesce(own.cast(kind), F.array().cast(kind)).alias("issues")]
+        parts.append(log.select("date", *counters, F.lit(number).alias("_log"), *issues))
+    merged = reduce(lambda a, b: a.unionByName(b), parts).groupBy("date")
+    sums = [F.sum(c).alias(c) for c in counters]
+    if kind is None:
+        return merged.agg(*sums)
+    lists = F.array_sort(F.collect_list(F.struct("_log", F.slice("issues", 1, p.summary_rows).alias("i"))))
+    return merged.agg(*sums, lists.alias("_lists")).select(
+        "date", *counters, F.slice(F.flatten(F.col("_lists.i")), 1, p.summary_rows).alias("issues")
+    )
+
+
+def summary_of_log(log: DataFrame) -> DataFrame:
+    """The summary of ``quality_summary`` from stored logs, without the articles."""
+    return log.select(
+        "date", "total_articles", "passed", "failed",
+        F.posexplode_outer("issues").alias("_pos", "_issue"),
+    ).select(
+        "date", "total_articles", "passed", "failed",
+        F.col("_issue.article_id").alias("article_id"),
+        F.array_join("_issue.issues", ", ").alias("issue_text"),
+        (F.col("_pos") + 1).cast("bigint").alias("row_no"),
+    )
 
 
 def quality_summary(gated: DataFrame, p: GateParams = GateParams()) -> DataFrame:

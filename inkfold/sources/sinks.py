@@ -82,7 +82,7 @@ def write_report_text(texts: DataFrame, path: str) -> None:
 
 
 def write_quality_log(daily: DataFrame, path: str) -> None:
-    """Daily counters as JSON lines, one partition per day; a rerun replaces the day."""
+    """Daily counters and first failures as JSON lines, a partition per day; a rerun replaces it."""
     (
         daily.withColumn("p_date", F.col("date"))
         .write.mode("overwrite")

@@ -172,3 +172,25 @@ def test_a_hot_run_is_dealt_by_chunk(spark):
     plan = rolled._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_COL" in plan
     assert rolled.count() == 20
+
+
+def test_entries_are_cut_before_anything_moves(spark, stored):
+    """Detail and brief lines: what an entry does not show is gone before the first exchange."""
+    rows = spark.read.schema(corpus.STORED).parquet(stored)
+    points = F.split("body", " ")
+    batch = rows.select(
+        F.col("crawl_date").alias("date"), "article_id", "user_id", "title", "author", "crawl_time",
+        F.length("body").cast("bigint").alias("word_count"), F.lit(True).alias("quality_passed"),
+        F.array().cast("array<string>").alias("issues"),
+        F.when(F.length("body") > 10, "must_read").otherwise("reference").alias("priority"),
+        F.struct(
+            F.lit("c").alias("category"), F.array(F.lit("S")).alias("related_stocks"), points.alias("core_points"),
+            F.lit(None).cast("struct<alignment:string,margin_of_safety:string,analysis:string>").alias("value_investment"),
+            F.array().cast("array<string>").alias("insights"), F.lit("s").alias("summary"),
+        ).alias("analysis"),
+    )
+    for made in (H.article_detail_rows(batch), H.article_brief_rows(batch)):
+        moved = [x for x in plan(made).splitlines() if "Exchange" in x or "Sort [" in x]
+        assert moved and not any("body" in x or "analysis" in x for x in moved)
+    lines = H.article_detail_rows(batch).filter("line_no = 15").collect()
+    assert len(lines) == 200 and all(len(r.line) < 20 for r in lines)

@@ -1,5 +1,7 @@
 """Boundaries of the gates and classification rules."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from inkfold.functions.text import WHITESPACE, contains_any, fill, first_int, st
 from inkfold.operators import classification as K
 from inkfold.operators import quality as Q
 from inkfold.params import CategoryParams, EntityParams, PriorityParams
+from inkfold.sources import sinks, tables
 
 
 def column(spark, values, expr, schema="v string"):
@@ -155,3 +158,43 @@ def test_merged_logs_add_up(spark):
     log = spark.createDataFrame([("d", 3, 2, 1), ("e", 1, 1, 0)], "date string, total_articles bigint, passed bigint, failed bigint")
     merged = {r.date: (r.total_articles, r.passed, r.failed) for r in Q.merge_quality_logs(log, log.limit(1)).collect()}
     assert merged == {"d": (6, 4, 2), "e": (1, 1, 0)}
+
+
+def gated_rows(spark, rows):
+    """(date, id, second, passed)."""
+    return spark.createDataFrame(
+        [(d, f"{i:04d}", f"u{i % 3}", f"title {i}", f"{s:06d}", ok, [] if ok else [f"issue {i}"], "text" * i)
+         for d, i, s, ok in rows],
+        "date string, article_id string, user_id string, title string, crawl_time string, "
+        "quality_passed boolean, issues array<string>, content string",
+    )
+
+
+def test_logs_keep_the_first_failures_and_merge_in_any_grouping(spark, tmp_path):
+    rnd = random.Random(6)
+    rows = [(f"d{i % 4}", i, rnd.randrange(1000), i % 4 == 3 or rnd.random() < 0.3) for i in range(160)]
+    parts = [gated_rows(spark, [r for r in rows if r[1] % 3 == k]) for k in range(3)]
+    logs = [Q.quality_log(p) for p in parts]
+    want = {}
+    for k in range(3):
+        for d in {r[0] for r in rows}:
+            own = sorted((s, i) for x, i, s, ok in rows if x == d and i % 3 == k and not ok)
+            want.setdefault(d, []).extend(f"{i:04d}" for _, i in own[:10])
+    flat = Q.merge_quality_logs(*logs)
+    nested = Q.merge_quality_logs(Q.merge_quality_logs(logs[0], logs[1]), logs[2])
+    for merged in (flat, nested):
+        found = {r.date: r for r in merged.collect()}
+        assert {d: [x.article_id for x in r.issues] for d, r in found.items()} == {d: w[:10] for d, w in want.items()}
+        assert all(r.total_articles == 40 and r.passed + r.failed == 40 for r in found.values())
+    # Stored and read back, the log gives the summary that the articles give.
+    whole = gated_rows(spark, rows)
+    path = str(tmp_path / "log")
+    sinks.write_quality_log(Q.quality_log(whole), path)
+    stored = tables.scan_quality_log(spark, path, multiline=False)
+    columns = ["date", "total_articles", "passed", "failed", "row_no", "article_id", "issue_text"]
+    assert sorted(map(str, Q.summary_of_log(stored).select(columns).collect())) == sorted(
+        map(str, Q.quality_summary(whole).select(columns).collect())
+    )
+    assert sorted(Q.render_quality_summary(Q.summary_of_log(stored)).collect()) == sorted(
+        Q.render_quality_summary(Q.quality_summary(whole)).collect()
+    )
