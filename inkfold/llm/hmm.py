@@ -4,8 +4,9 @@ States emit word classes: every frequent word is a class of its own, the others
 classes by their last bytes, and inside a class a word has its smoothed share of the class's
 training tokens. So the emission table has a fixed size, while the counts of words grow
 with the corpus and stay a table. Baum-Welch counts are taken over windows of the training
-stream in all partitions and added up by Spark; the scaled forward recursion over a
-whole text gives its exact likelihood.
+texts in all partitions and added up by Spark; a window lies where its text says, so the
+counts, and with them all scores, do not depend on how rows are dealt to tasks. The scaled
+forward recursion over a whole text gives its exact likelihood.
 
 An unknown word is one event of its class, as it is one event of the base model.
 """
@@ -33,7 +34,8 @@ OWN = 16_384  # most frequent words, with a class each
 SHARED = 4_096  # classes of the others
 HEAD = 200_000  # most frequent words whose counts every task holds; others are joined
 SUFFIX = 3  # bytes that choose a shared class
-WINDOW = 64  # tokens of a Baum-Welch window
+WINDOW = 64  # tokens of a Baum-Welch window; the last one of a text is what is left
+WINDOWS = 4096  # counted at a time in a task
 ITERATIONS = 6
 STICKY = 0.9  # probability of staying in a state, to begin with
 PRIOR = 10.0  # tokens that every state is given from the overall distribution
@@ -47,6 +49,11 @@ CLASSES = OWN + SHARED
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def fields(record) -> tuple:
+    """A dataclass as plain values: executors that lack this package do not know its classes."""
+    return tuple(vars(record).values())
+
+
 def held_out(id_col: str):
     """Whether a row is kept from training, by the checksum of its id (null: of no text)."""
     text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
@@ -178,47 +185,70 @@ class Model:
         )
 
 
-def expected_counts(model: Model, tokens: np.ndarray, starts: np.ndarray, into: dict[str, np.ndarray]) -> None:
-    """Add the expected counts of windows (a row each) to ``into``.
-
-    ``starts`` marks first tokens of texts: the chain begins anew there.
+def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of texts that lie one after another: begins, lengths, whether a text begins."""
+    each = -(-lengths // WINDOW)
+    ends = np.cumsum(lengths)
+    first = np.cumsum(each) - each
+    number = np.arange(each.sum()) - np.repeat(first, each)
+    begins = np.repeat(ends - lengths, each) + WINDOW * number
+    return begins, np.minimum(WINDOW, np.repeat(ends, each) - begins), number == 0
+
+
+def expected_counts(
+    model: Model,
+    stream: np.ndarray,
+    begins: np.ndarray,
+    lengths: np.ndarray,
+    first: np.ndarray,
+    into: dict[str, np.ndarray],
+) -> None:
+    """Add the expected counts of windows of ``stream`` to ``into``.
+
+    ``first`` marks the windows at a text's beginning. Windows are taken by falling length,
+    so those that are longer than t are the first ones at every step.
     """
-    size, length = tokens.shape
-    seen = model.emit[tokens]
-    alpha = np.empty((length, size, STATES))
-    scale = np.empty((length, size, 1))
-    for t in range(length):
+    order = np.argsort(-lengths, kind="stable")
+    begins, lengths, first = begins[order], lengths[order], first[order]
+    live = len(lengths) - np.cumsum(np.bincount(lengths, minlength=lengths[0] + 1))
+    alpha: list[np.ndarray] = []
+    seen: list[np.ndarray] = []  # emissions over the step's scale
+    tokens: list[np.ndarray] = []
+    for t in range(lengths[0]):
+        n = live[t]
+        tokens.append(stream[begins[:n] + t])
+        emitted = model.emit[tokens[t]]
         if t == 0:
-            ahead = np.where(starts[:, 0, None], model.begin, model.inside)
+            ahead = np.where(first[:, None], model.begin, model.inside)
         else:
-            ahead = alpha[t - 1] @ model.step
-            ahead[starts[:, t]] = model.begin
-        joint = ahead * seen[:, t]
-        scale[t] = joint.sum(1, keepdims=True)
-        alpha[t] = joint / scale[t]
-    beta = np.ones((size, STATES))
-    gamma = np.empty((size, length, STATES))
-    for t in range(length - 1, -1, -1):
-        gamma[:, t] = alpha[t] * beta
+            ahead = alpha[t - 1][:n] @ model.step
+        joint = ahead * emitted
+        scale = joint.sum(1, keepdims=True)
+        alpha.append(joint / scale)
+        seen.append(emitted / scale)
+    beta = np.ones((0, STATES))
+    gamma: list[np.ndarray] = []
+    for t in range(lengths[0] - 1, -1, -1):
+        # Windows that end here have nothing behind them.
+        beta = np.concatenate([beta, np.ones((live[t] - len(beta), STATES))])
+        gamma.append(alpha[t] * beta)
         if t:
-            weighted = seen[:, t] * beta / scale[t]
-            going = ~starts[:, t]
-            into["step"] += model.step * (alpha[t - 1][going].T @ weighted[going])
+            weighted = seen[t] * beta
+            into["step"] += model.step * (alpha[t - 1][: live[t]].T @ weighted)
             beta = weighted @ model.step.T
-            beta[starts[:, t]] = 1.0
-    into["begin"] += gamma[starts].sum(0)
-    into["inside"] += gamma[:, 0].sum(0)
-    flat = tokens.ravel()
+    into["begin"] += gamma[-1][first].sum(0)
+    into["inside"] += gamma[-1].sum(0)
+    flat, weights = np.concatenate(tokens), np.concatenate(gamma[::-1])
     for k in range(STATES):
-        into["emit"][:, k] += np.bincount(flat, gamma[:, :, k].ravel(), CLASSES)
+        into["emit"][:, k] += np.bincount(flat, weights[:, k], CLASSES)
 
 
 def _sequences(training: DataFrame, vocab: Vocabulary) -> DataFrame:
     """(classes): the class of every token of a text, its end last, as 16-bit numbers."""
-    shared = training.sparkSession.sparkContext.broadcast(vocab)  # HEAD words at most
+    shared = training.sparkSession.sparkContext.broadcast(fields(vocab))  # HEAD words at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = shared.value.classes()
+        of = Vocabulary(*shared.value).classes()
         for batch in batches:
             made = [
                 np.fromiter(map(of.__getitem__, [*words(t.as_py()), END]), np.uint16).tobytes()
@@ -248,17 +278,9 @@ def train(training: DataFrame, vocab: Vocabulary, iterations: int = ITERATIONS)
         for batch in batches:
             raw = batch["classes"].to_pylist()
             stream = np.frombuffer(b"".join(raw), np.uint16).astype(np.int64)
-            starts = np.zeros(len(stream), bool)
-            starts[np.cumsum([0, *(len(r) // 2 for r in raw[:-1])])] = True
-            whole = len(stream) // WINDOW * WINDOW
-            rows = 4096  # windows at a time
-            for i in range(0, whole, rows * WINDOW):
-                j = min(whole, i + rows * WINDOW)
-                expected_counts(
-                    model, stream[i:j].reshape(-1, WINDOW), starts[i:j].reshape(-1, WINDOW), into
-                )
-            if whole < len(stream):
-                expected_counts(model, stream[None, whole:], starts[None, whole:], into)
+            cut = windows(np.array([len(r) // 2 for r in raw], np.int64))
+            for i in range(0, len(cut[0]), WINDOWS):
+                expected_counts(model, stream, *(part[i : i + WINDOWS] for part in cut), into)
         for part, table in into.items():
             table = np.rint(np.atleast_2d(table) * UNIT).astype(np.int64)
             at = np.flatnonzero(table.any(1))
@@ -304,10 +326,11 @@ def forward(model: Model, texts: list[np.ndarray]) -> np.ndarray:
 def _scored(docs: DataFrame, vocab: Vocabulary, model: Model) -> DataFrame:
     """Scores without the words that tasks do not hold; those are listed with their number."""
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((vocab, model))  # HEAD words and CLASSES x STATES numbers
+    # HEAD words and CLASSES x STATES numbers.
+    shared = context.broadcast((fields(vocab), fields(model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, model = shared.value
+        vocab, model = Vocabulary(*shared.value[0]), Model(*shared.value[1])
         of = vocab.classes()
         counts = vocab.counts
         logs = {w: math.log10(n + 1) for w, n in counts.items()}

@@ -19,12 +19,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.llm.storage import neutral
+from inkfold.llm.storage import neutral, stored
 
 WORDS_BITS = 18  # buckets for words and their beginnings
 STYLE = 4096  # buckets for letter shapes and for bins of document measures
 STYLE_SCALE = 10.0
 SAMPLE = 12_000  # rated documents the weights are fitted to, at most
+FEATURES = 5_000_000  # of these documents together, so that long ones do not fill the driver
 ITERATIONS = 200
 PENALTY = 2e-3
 LEAST_ROWS = 3  # of the sample that a feature must be in
@@ -109,23 +110,37 @@ def _featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # Words count one each; only the values behind them are sent.
             value = np.concatenate([STYLE_SCALE * n / max(1, len(found)), np.ones(len(own))])
             rows.append((at.astype(np.int32).tobytes(), value.astype(np.float32).tobytes()))
-        yield pd.DataFrame({"grade": frame["grade"], "at": [a for a, _ in rows], "value": [v for _, v in rows]})
+        yield frame[["key", "grade"]].assign(at=[a for a, _ in rows], value=[v for _, v in rows])
 
 
-def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE):
+def fit(
+    docs: DataFrame,
+    ratings: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    sample: int = SAMPLE,
+    features: int = FEATURES,
+):
     """A ``Model`` from at most ``sample`` rated documents; None without two grades.
 
-    The sample is the rated ids with the smallest hashes, so it is the same in each run
-    and for each order of the rows. Its sparse features go to the driver: ``sample`` bounds them.
+    The sample is the rated ids with the smallest hashes, as many as have ``features``
+    features together, so it is the same in each run and for each order of the rows. Whole
+    texts become features in the tasks and are stored; the driver takes those of the sample,
+    whose number both bounds hold, however long the texts are.
     """
     chosen = ratings.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    rows = (
+    featured = stored(
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
         .join(chosen, "_id")
-        .select("grade", "text")
-        .mapInPandas(_featured, "grade int, at binary, value binary")
-        .toPandas()
+        .select(F.xxhash64("_id").alias("key"), "grade", "text")
+        .mapInPandas(_featured, "key bigint, grade int, at binary, value binary"),
+        "ordinal-features",
     )
+    sizes = featured.groupBy("key").agg(F.sum(F.octet_length("at") / 4).alias("n")).toPandas()
+    sizes = sizes.sort_values("key")
+    within = sizes["key"][sizes["n"].cumsum() <= features]
+    last = int(within.iloc[-1]) if len(within) else -(2**63)
+    rows = featured.filter(F.col("key") <= last).drop("key").toPandas()
     if rows["grade"].nunique() < 2:
         return None
     rows = rows.sort_values(["grade", "at"])  # the sums below then add up in one order
@@ -232,11 +247,13 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", select:
                 "_kept": F.lit(True),
             }
         )
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed: DIMENSIONS floats
+    # Its size is fixed: DIMENSIONS floats. Plain arrays, as classes of this package are not
+    # known to executors that lack it.
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
     @F.pandas_udf("expected double, top double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known = Model(*shared.value)
         memo = _Memo(known.weights)
         for texts in batches:
             scores = np.empty(len(texts))

@@ -1,11 +1,16 @@
 """Mixing, classifier, secrets, fingerprints, language model, token files: small tables."""
 
 import hashlib
+import json
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -347,16 +352,83 @@ def test_expected_counts_by_enumeration():
     emit[:3] = rng.dirichlet(np.ones(3), hmm.STATES).T
     step, begin = rng.dirichlet(np.ones(hmm.STATES), hmm.STATES), rng.dirichlet(np.ones(hmm.STATES))
     model = hmm.Model(begin, rng.dirichlet(np.ones(hmm.STATES)), step, emit)
-    tokens, starts = np.array([[0, 2, 1]]), np.array([[True, False, True]])
+    stream, lengths = np.array([1, 0, 2, 1, 0]), np.array([1, 3, 1])
+    first = np.array([True, True, False])
     into = {"begin": np.zeros(hmm.STATES), "inside": np.zeros(hmm.STATES), "step": np.zeros((hmm.STATES,) * 2), "emit": np.zeros((hmm.CLASSES, hmm.STATES))}
-    hmm.expected_counts(model, tokens, starts, into)
-    want, total = np.zeros((hmm.STATES,) * 2), 0.0
+    hmm.expected_counts(model, stream, np.array([0, 1, 4]), lengths, first, into)
+    want, seen, total = np.zeros((hmm.STATES,) * 2), np.zeros(hmm.STATES), 0.0
     for a, b, c in itertools.product(range(hmm.STATES), repeat=3):
-        p = begin[a] * emit[0, a] * step[a, b] * emit[2, b] * begin[c] * emit[1, c]
+        p = begin[a] * emit[0, a] * step[a, b] * emit[2, b] * step[b, c] * emit[1, c]
         want[a, b] += p
+        want[b, c] += p
+        seen[a] += p
         total += p
+    alone = begin * emit[1] / (begin * emit[1]).sum()
     assert into["step"] == pytest.approx(want / total)
-    assert into["emit"].sum() == pytest.approx(3)
+    assert into["begin"] == pytest.approx(seen / total + alone)
+    assert into["emit"].sum() == pytest.approx(5) and into["inside"].sum() == pytest.approx(3)
+
+
+def test_windows_lie_where_their_text_says():
+    begins, lengths, first = hmm.windows(np.array([1, 64, 65, 130]))
+    assert begins.tolist() == [0, 1, 65, 129, 130, 194, 258]
+    assert lengths.tolist() == [1, 64, 64, 1, 64, 64, 2]
+    assert first.tolist() == [True, True, True, False, True, False, False]
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    rows = [(i, prose(i % 40, 3 + (17 * i) % 150), None, None, None) for i in range(300)] + awkward()
+    found = []
+    for parts in (1, 4, 7):
+        scored = hmm.score(table(spark, rows).repartition(parts)).collect()
+        found.append(sorted((str(r["id"]), r["n_tokens"], r["base_score"], r["score"]) for r in scored))
+    for other in found[1:]:
+        for a, b in zip(found[0], other):
+            assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=2e-6)  # counts come in units
+
+
+WITHOUT_PACKAGE = r"""
+import json, sys
+sys.path.insert(0, sys.argv[1])
+from inkfold.session import build_session
+from inkfold.llm import fim, hmm, ordinal, runs, tag_paths
+# Workers get a path without the repository.
+spark = build_session("bare", "local[2]", **{"spark.executorEnv.PYTHONPATH": "", "spark.sql.shuffle.partitions": "2"})
+sys.path.remove(sys.argv[1])
+spark.sparkContext.environment["PYTHONPATH"] = ""
+def found(_):
+    import importlib.util
+    return [importlib.util.find_spec("inkfold") is not None]
+assert not any(spark.sparkContext.parallelize(range(2), 2).mapPartitions(found).collect()), "package on the path"
+docs = spark.range(60).selectExpr("id as doc_id", "concat('w', id % 7, ' a b c d\n', repeat('x ', 8)) as text")
+labels = spark.range(60).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "0 as toxic")
+print(json.dumps([
+    hmm.score(docs, iterations=1).count(), ordinal.select(docs, labels).count() >= 0, ordinal.classify(docs, labels).count(),
+    fim.transform(docs).count(), runs.periodic(docs).count(),
+    tag_paths.extract(docs.withColumnRenamed("text", "html")).filter("_main_text <> ''").count(),
+]))
+"""
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    root = str(Path(__file__).resolve().parents[2])
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", WITHOUT_PACKAGE, root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert json.loads(done.stdout.splitlines()[-1]) == [60, True, 60, 60, 60, 60]
+
+
+def test_the_sample_is_bounded_by_its_features(spark):
+    """Long texts: as many documents as have so many features together, the same in each run."""
+    docs = table(spark, [(i, prose(i, 400), None, None, None) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], LABELS)
+    ratings = ordinal.grade(labels)
+    small = [ordinal.fit(docs.repartition(p), ratings, features=8_000) for p in (1, 5)]
+    assert np.array_equal(small[0].weights, small[1].weights)
+    assert 0 < np.count_nonzero(small[0].weights) < np.count_nonzero(ordinal.fit(docs, ratings).weights)
+    assert ordinal.fit(docs, ratings, features=1) is None
 
 
 def test_scores(spark, tmp_path):
