@@ -19,6 +19,9 @@ WIDTH = 512  # bytes of the first round that carries texts
 GROWTH = 8
 
 
+RESULTS = ["_keep_id", "_group_size", "_kept"]
+
+
 def _bytes(text: Column) -> Column:
     return F.encode(F.coalesce(text, F.lit("")), "UTF-8")
 
@@ -29,8 +32,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows with equal texts form a class; null counts as the empty text. The row with the
     largest id stays. A row that is repeated with its id is a member like any other: the
     class keeps exactly one of them, so ``_kept`` is true once in each class. A null id
-    ranks below all others. An empty table gives an empty result. Columns of ``docs``
-    that start with ``_radix`` are not allowed; any other name is carried along.
+    ranks below all others. An empty table gives an empty result. Columns of any name are
+    carried along, but those called like a result give way to it.
 
     Texts pass one exchange, at every size: the joins ask for a merge join, so a small
     table takes the plan of a large one and needs no broadcast. Only documents with a partner in length and first bytes are
@@ -38,6 +41,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     are joined back, so that the partition of a group of copies that holds a third of
     all rows is split over tasks.
     """
+    docs = docs.select(*(docs[c] for c in docs.columns if c not in RESULTS))
+    plain, own_id, own_text = neutral(docs, id_col, text_col)
+    found = _classes(plain, own_id, own_text)
+    return found.select(*plain.columns, *RESULTS).toDF(*docs.columns, *RESULTS)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col)
     keyed = docs.withColumns(
         {

@@ -143,6 +143,9 @@ def solve(counts: DataFrame, sources: DataFrame, cap: float = CAP) -> DataFrame:
     return state.drop("_mix_low", "_mix_high", "_mix_gap")
 
 
+RESULTS = ["_mix_size", "_mix_words", "_mix_target", "_mix_rate", "_mix_copies"]
+
+
 def plan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -156,13 +159,22 @@ def plan(
 
     A null text has no words; a null source is a source of its own, after the others.
     Documents without words keep rate 1: they cost nothing. Repeated rows are mixed like
-    any others. An empty table gives an empty result. Other columns are carried along;
-    their names must not start with ``_mix``.
+    any others. An empty table gives an empty result. Other columns are carried along,
+    whatever their names, but those called like a result give way to it.
 
     Copies: within chunks of a source, in descending size, the running sum of the rates'
     fractions is rounded, so every chunk is off by less than half its largest document,
-    and the same rows give the same copies.
+    and the same rows give the same copies: equal sizes go by id, then by text.
     """
+    docs = docs.select(*(docs[c] for c in docs.columns if c not in RESULTS))
+    plain, own_id, own_text, own_source = neutral(docs, id_col, text_col, source_col)
+    made = _planned(plain, own_id, own_text, own_source, weights, share, cap)
+    return made.toDF(*docs.columns, *RESULTS)
+
+
+def _planned(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, cap: float
+) -> DataFrame:
     sized = _sized(docs, text_col, source_col)
     counts = stored(
         sized.groupBy(*_KEY, "_mix_size").agg(F.count(F.lit(1)).alias("_mix_n")), "mix-counts"
@@ -181,11 +193,13 @@ def plan(
     )
     units = F.round(F.col("_mix_rate") * UNIT).cast("bigint")
     fraction = units % UNIT
-    before = Window.partitionBy(*_KEY, "_mix_chunk").orderBy(F.desc("_mix_size"), id_col)
+    before = Window.partitionBy(*_KEY, "_mix_chunk").orderBy(
+        F.desc("_mix_size"), id_col, F.xxhash64(text_col)
+    )
     total = F.sum(fraction).over(before.rowsBetween(Window.unboundedPreceding, 0)) + UNIT // 2
     extra = F.floor(total / UNIT) - F.floor((total - fraction) / UNIT)
     return rated.withColumn("_mix_copies", (F.floor(units / UNIT) + extra).cast("bigint")).select(
-        *docs.columns, "_mix_size", "_mix_words", "_mix_target", "_mix_rate", "_mix_copies"
+        *docs.columns, *RESULTS
     )
 
 

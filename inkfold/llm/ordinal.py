@@ -237,7 +237,8 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", select:
     Whole texts are scored; null counts as empty, and an empty text is scored by its
     measures alone. Without a model (no ratings, or one grade only) nothing is known:
     both figures are null and every row is kept. Rows are scored one by one, so repeated
-    ones get equal figures; columns pass unchanged. Empty in, empty out.
+    ones get equal figures; columns pass unchanged, but those called like a result give way
+    to it. Empty in, empty out.
     """
     if model is None:
         return docs.withColumns(

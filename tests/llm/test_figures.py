@@ -41,6 +41,18 @@ def brute_targets(words):
         full |= over
 
 
+def test_mixing_with_clashing_columns_and_repeated_ids(spark):
+    """Rows that share id and size but not the text get the same copies in each layout."""
+    rows = [(i % 3, f"w{i} b c", "z", f"s{i % 2}", 0) for i in range(60)]
+    docs = table(spark, rows).withColumns({"_mix_size": F.lit("z"), "_mix_chunk": F.lit("z")})
+    found = []
+    for parts in (1, 3, 6):
+        made = mixing.plan(docs.repartition(parts))
+        assert made.columns == ["doc_id", "text", "lang", "source", "n_chars", "_mix_chunk", *mixing.RESULTS]
+        found.append(sorted((r["text"], r["_mix_copies"], r["_mix_chunk"]) for r in made.collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 60
+
+
 def test_mixing_plan(spark):
     rng = random.Random(3)
     rows = [(i, prose(i, rng.randint(1, 300)), "en", "abcdé"[i % 5 if i % 3 else 0], None) for i in range(600)]

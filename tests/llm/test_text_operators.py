@@ -37,6 +37,16 @@ def test_exact_classes(spark):
     assert sum(r["_kept"] for r in found) == len(by_text)
 
 
+def test_exact_classes_with_clashing_columns(spark):
+    names = "doc_id bigint, text string, _kept string, _keep_id string, _radix_n string, _radix_row string"
+    rows = [(i, t, "z", "z", "z", "z") for i, t in ((1, "a"), (2, "a"), (3, "b"), (None, None))]
+    found = exact_dedup.classes(spark.createDataFrame(rows, names))
+    assert found.columns == ["doc_id", "text", "_radix_n", "_radix_row", "_keep_id", "_group_size", "_kept"]
+    assert sorted((str(r["doc_id"]), str(r["_keep_id"]), r["_kept"], r["_radix_n"]) for r in found.collect()) == [
+        ("1", "2", False, "z"), ("2", "2", True, "z"), ("3", "3", True, "z"), ("None", "None", True, "z"),
+    ]
+
+
 def test_exact_long_common_beginnings(spark):
     texts = ["a" * 5000, "a" * 5000, "a" * 4999 + "b", "a" * 4999, "a" * 600, "a" * 600 + "c", "a" * 600]
     found = exact_dedup.classes(table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]))
