@@ -265,11 +265,6 @@ def _counts(tagged: DataFrame, capped: DataFrame, kept: DataFrame, n: int) -> Da
     )
 
 
-def index_entries(batch: DataFrame, columns: list[str]) -> DataFrame:
-    """The index rows of a batch."""
-    return batch.select(*columns)
-
-
 def snapshot_rollup(
     runs: DataFrame,
     kept: DataFrame,

@@ -39,6 +39,7 @@ class SiteParams:
         '.article__bd__from a, .user-name, .author-name, .status-content a[href*="/u/"]'
     )
     time_selector: str = ".article__bd__from .date, .time, .date, .status-content .time"
+    name_selector: str = ".user-name, .username, .profile__name"
     item_selector: str = ".timeline__item"
     item_title_selector: str = ".article__title, .title, h3, h4"
     item_content_selector: str = ".content, .status-content, article"

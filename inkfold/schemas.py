@@ -47,6 +47,12 @@ INDEX_ROWS = _struct(
     article_id=_S, title=_S, author=_S, publish_time=_S, user_id=_S, crawl_time=_S, filepath=_S
 )
 
+# The index as a table: one partition per batch, times as timestamps.
+INDEX_TABLE = StructType(
+    [StructField(f.name, _T if f.name == "crawl_time" else f.dataType, True) for f in INDEX_ROWS]
+    + [StructField("batch_id", _L, True)]
+)
+
 SNAPSHOT_ENTRY = _struct(article_id=_S, title=_S, crawl_time=_S)
 SNAPSHOT_FILE = _struct(
     date=_S, user_id=_S, article_count=_L, articles=ArrayType(SNAPSHOT_ENTRY)

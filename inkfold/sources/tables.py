@@ -47,12 +47,17 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def scan_snapshots(spark: SparkSession, path: str) -> DataFrame:
+def scan_snapshots(spark: SparkSession, path: str, before_run: int | None = None) -> DataFrame:
     """The snapshot table, each (user, date) as its latest run left it.
 
-    Only keys are aggregated; records of replaced runs drop out in an anti join.
+    Only keys are aggregated; records of replaced runs drop out in an anti join. A run that
+    may be a repeated one reads the state ``before_run``. No table yet reads as an empty one.
     """
+    if not path_exists(spark, path):
+        return empty(spark, schemas.SNAPSHOT_TABLE).drop("run_id")
     records = spark.read.schema(schemas.SNAPSHOT_TABLE).parquet(path)
+    if before_run is not None:
+        records = records.filter(F.col("run_id") < before_run)
     replaced = (
         records.groupBy("user_id", "date")
         .agg(F.max("run_id").alias("_latest"), F.min("run_id").alias("_oldest"))
@@ -232,6 +237,19 @@ def scan_index_map(spark: SparkSession, path: str, multiline: bool = True) -> Da
     return index_rows(parsed)
 
 
+def scan_index_table(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
+    """The index rows as ``write_index_rows`` stored them, those before a batch if one is given.
+
+    No table yet reads as an empty one.
+    """
+    if not path_exists(spark, path):
+        return empty(spark, schemas.INDEX_TABLE).drop("batch_id")
+    rows = spark.read.schema(schemas.INDEX_TABLE).parquet(path)
+    if before_batch is not None:
+        rows = rows.filter(F.col("batch_id") < before_batch)
+    return rows.drop("batch_id")
+
+
 def scan_accounts_enabled(spark: SparkSession, path: str, file_format: str = "json") -> DataFrame:
     """Enabled, complete accounts from JSON lines or CSV."""
     reader = spark.read.schema(schemas.ACCOUNTS)

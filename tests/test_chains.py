@@ -25,11 +25,11 @@ PAGE = (
 
 
 @pytest.fixture(scope="module")
-def site(spark):
+def site_pages(spark):
     """Two authors' list pages and the detail pages behind them."""
     users = {"1": range(11, 17), "2": range(21, 23)}
     lists = spark.createDataFrame(
-        [(u, "".join(ITEM.format(u=u, i=i) for i in ids)) for u, ids in users.items()] + [("3", "<p>empty</p>")],
+        [(u, {"1": "<title>Ann page</title>", "2": "<p class='username'>Bob</p>"}[u] + "".join(ITEM.format(u=u, i=i) for i in ids)) for u, ids in users.items()] + [("3", "<p>empty</p>")],
         "user_id string, html string",
     )
     pages = [
@@ -41,9 +41,13 @@ def site(spark):
         [("1", "a", "url", True), ("2", "b", "url", None), ("3", "c", "url", True), ("4", "d", "url", False)],
         "id string, name string, url string, enabled boolean",
     )
-    return accounts, X.parse_list_items(lists, SITE), X.page_details(
-        spark.createDataFrame(pages, "url string, html string"), SITE
-    )
+    return accounts, lists, spark.createDataFrame(pages, "url string, html string")
+
+
+@pytest.fixture(scope="module")
+def site(site_pages):
+    accounts, lists, pages = site_pages
+    return accounts, X.parse_list_items(lists, SITE), X.page_details(pages, SITE)
 
 
 def test_collect_store_and_rerun(spark, site, tmp_path):
@@ -79,6 +83,36 @@ def test_collect_store_and_rerun(spark, site, tmp_path):
     assert (first.title, first.author, first.publish_time) == ("Title 11", "Ann", "day")
 
 
+def test_runs_from_pages_to_state_and_a_report(spark, site_pages, tmp_path):
+    """Nothing is added by hand: pages in, state on disk, the day's report from what is stored."""
+    accounts, lists, pages = site_pages
+    store = daily.Store(*(str(tmp_path / x) for x in ("articles", "index", "snapshots", "documents")))
+    expected = [{"11", "13", "21", "22"}, {"14", "15"}, {"16"}, set()]
+    for run_id, want in enumerate(expected, 1):
+        at = F.lit(f"2024-01-0{run_id} 09:00:00").cast("timestamp")
+        for _ in range(2 if run_id == 2 else 1):  # the second run happens twice
+            counts = daily.collect_run(accounts, lists, pages, store, run_id, at, PARAMS)
+            assert sum(r.kept for r in counts.collect()) == len(want)
+    index = tables.scan_index_table(spark, store.index)
+    assert {r.article_id: r.filepath for r in index.collect()} == {
+        a: f"data/{a[0]}/{a}.md" for day in expected for a in day
+    }
+    snapshots = tables.scan_snapshots(spark, store.snapshots)
+    assert snapshots.filter("user_id = '3'").count() == 4  # empty ones, but one each
+    documents = corpus.scan_packed_corpus(spark, store.documents)
+    assert documents.filter("well_formed").count() == 7
+    table = corpus.scan_articles(spark, store.articles)
+    report = daily.daily_report(
+        index, table.select("user_id", "article_id", "crawl_date", F.col("body").alias("content")), None, "now",
+        PARAMS, day=dt.date(2024, 1, 2),
+    )
+    (row,) = H.render_report(report).collect()
+    assert str(row.date) == "2024-01-02" and "- **今日新增**：2 篇" in row.report
+    assert "Title 14" in row.report and "Title 11" not in row.report
+    named = daily.named_accounts(accounts.withColumn("name", F.col("id")), lists, Params(site=SiteParams(name_suffix=" page")))
+    assert {r.id: r.name for r in named.collect()} == {"1": "Ann", "2": "Bob", "3": "3", "4": "4"}
+
+
 def documents_and_index(spark, n=5):
     rows = spark.createDataFrame(
         [(str(i), "u", f"Title {i}", "au", ("估值 " if i % 2 else "x ") * (30 if i == 0 else 300), 60 * i) for i in range(n)],
