@@ -19,6 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -332,19 +333,21 @@ def _scored(docs: DataFrame, vocab: Vocabulary, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, model = Vocabulary(*shared.value[0]), Model(*shared.value[1])
         of = vocab.classes()
-        counts = vocab.counts
-        logs = {w: math.log10(n + 1) for w, n in counts.items()}
-        zero = logs.get
+        held = {w: i for i, w in enumerate(vocab.counts)}
+        # The last place stands for words that are not held.
+        class_of = np.array([*(of[w] for w in held), 0], np.uint16)
+        log_of = np.log10([*(n + 1 for n in vocab.counts.values()), 1])
         for batch in batches:
             if not batch.num_rows:
                 continue
             sequences, sizes, known, own, shares, rest, numbers = [], [], [], [], [], [], []
             for text in batch["text"]:
                 tokens = [*words(text.as_py()), END]
-                classes = np.fromiter(map(of.__getitem__, tokens), np.uint16, len(tokens))
-                values = [zero(w) for w in tokens]
-                unheld = Counter(w for w, v in zip(tokens, values) if v is None)
-                logged = np.array([0.0 if v is None else v for v in values])
+                at = np.fromiter(map(held.get, tokens, repeat(-1)), np.int64, len(tokens))
+                classes, logged = class_of[at], log_of[at]
+                others = np.flatnonzero(at < 0)
+                unheld = Counter([tokens[i] for i in others])
+                classes[others] = [of[tokens[i]] for i in others]
                 sequences.append(classes)
                 sizes.append(len(tokens))
                 known.append(len(tokens) - sum(unheld.values()))
