@@ -370,8 +370,12 @@ def report_limit(
     they are few, text is neither sorted nor shuffled; the optimizer sees how many they are.
     """
     chosen = stored(limit_keys(rows, limit, day, order), "limited")
+    same = F.col("article_id") == F.col("_article_id")
+    if "user_id" in rows.columns:
+        same &= F.col("user_id").eqNullSafe(F.col("_user_id"))
     keys = [c for c in ("user_id", "article_id") if c in rows.columns]
-    return rows.join(chosen.select(*keys, "batch_no"), keys)
+    few = chosen.select(*[F.col(c).alias(f"_{c}") for c in keys], "batch_no")
+    return rows.join(few, same).drop(*[f"_{c}" for c in keys])
 
 
 def report_batch(index: DataFrame, documents: DataFrame, limit: int) -> DataFrame:

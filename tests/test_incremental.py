@@ -275,3 +275,5 @@ def test_two_authors_with_one_id_do_not_multiply_rows(spark):
     rows = index_rows.withColumn("date", F.to_date("crawl_time"))
     limited = D.report_limit(rows, 20).collect()
     assert sorted((r.user_id, r.article_id) for r in limited) == [("u", "1"), ("v", "1"), ("v", "2")]
+    nobody = rows.withColumn("user_id", F.lit(None).cast("string")).filter("article_id = '2'")
+    assert D.report_limit(nobody, 20).count() == 1
