@@ -3,10 +3,15 @@
 Every document becomes a set of word shingles, and every distinct set one
 representative with a signature of minwise tokens. Trees branch the representatives:
 a node holds those that agree on the tokens chosen on the way to it. Members are compared
-with one of them, the node's pivot. What is then still unconnected is compared
-exhaustively where that takes few pairs for the node's size; other nodes branch on further
-tokens. Every link is confirmed on full sets. Members that are already connected need no
-comparison, so a large group of near-copies costs a few comparisons a member.
+with one of them, the node's pivot. Nodes that are still unconnected branch on further
+tokens while they are large. The others are leaves: a small one compares all its pairs; of a
+larger one each member's shingles are counted over all such leaves, members meet the one with the
+most common shingles, the likely origin of copies, and then only those pairs of different
+components are compared that share a shingle among their rarest, as every link must
+(``_rare_pairs``; that step is exact). Every link is confirmed on full sets. Members that are
+already connected need no comparison, and one that differs from all others by more than
+a link allows has no rare shingle to meet them by, so a large group of near-copies costs
+a few comparisons a member.
 
 Recall: a node passes each member on to ``BRANCH`` children. Two sets of similarity s stay
 together below a root with probability at least 1 - q, q the smallest root of
@@ -37,7 +42,9 @@ BRANCH = 3
 TOKENS = 64  # of a signature
 AGREE = 27  # of 64 tokens that two sets of similarity 0.75 share but for 6e-9
 DIFFER = 42  # of a sketch's 128 bits in which they differ at most, but for 3e-7
-FEW = 48  # pairs a member up to which a node is compared exhaustively; doubles each level
+FEW = 32  # members up to which a leaf compares all its pairs
+LEAF = 4096  # members up to which a node does not branch; doubles each level
+SLICE = 200_000  # shingles counted in a task before they are passed on, and sent back to
 ROWS = 256
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -156,42 +163,206 @@ def _rooted(rows: DataFrame, ends: DataFrame | None, key: str, name: str) -> Dat
     return joined.withColumn(name, F.coalesce("_root", key)).drop("_node", "_root")
 
 
-def _open(members: DataFrame, ends: DataFrame | None, level: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare exhaustively, and rows (path, tree, set_key) of nodes that branch.
+def _across(rows: DataFrame, keys: list[str], *more: str) -> DataFrame:
+    """(u, v): alike pairs of rows that share ``keys`` and are of different components.
 
-    Nodes halve at least from level to level, so the pairs of a deeper one may be twice as
-    many a member. That keeps the tree short.
+    ``more``: columns that the pairs have twice, as they are and with ``p_`` before the name.
     """
-    rows = stored(_rooted(members, ends, "set_key", "root"), "path-rooted")
-    parts = rows.groupBy("path", "tree", "root").agg(F.count(F.lit(1)).alias("n"))
-    nodes = parts.groupBy("path", "tree").agg(
-        F.sum("n").alias("size"),
-        F.sum(F.col("n") * F.col("n")).alias("squares"),
-        F.max(F.struct("n", "root")).alias("most"),
-    )
-    pairs = (F.col("size") * F.col("size") - F.col("squares")) / 2
-    nodes = stored(
-        nodes.filter("size * size > squares").select(
-            "path", "tree", F.col("most.root").alias("main"), (pairs <= FEW * 2**level * F.col("size")).alias("few")
-        ),
-        "path-apart",
-    )
-    rows = rows.select("path", "tree", "set_key", "root", "s1", "s2")
-    apart = stored(rows.join(nodes.hint("merge"), ["path", "tree"]), "path-open")
+    parts = rows.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("most"))
+    main = main.filter("roots > 1").select(*keys, F.col("most.root").alias("main"))
+    apart = stored(rows.join(main.hint("merge"), keys), "path-apart")
     # All pairs but those inside a component have a member outside the largest one.
-    few = apart.filter("few")
-    outside = few.filter("root != main").select(
-        "path", "tree", F.col("set_key").alias("u"), F.col("root").alias("root_u"),
-        F.col("s1").alias("p1"), F.col("s2").alias("p2"),
+    outside = apart.filter("root != main").select(
+        *keys, F.col("set_key").alias("u"), F.col("root").alias("root_u"),
+        F.col("s1").alias("p1"), F.col("s2").alias("p2"), *(F.col(c).alias(f"p_{c}") for c in more),
     )
-    exhaustive = (
-        few.select("path", "tree", F.col("set_key").alias("v"), "root", "s1", "s2")
-        .join(outside.hint("merge"), ["path", "tree"])
+    return (
+        apart.select(*keys, F.col("set_key").alias("v"), "root", "s1", "s2", *more)
+        .join(outside.hint("merge"), keys)
         .filter("root != root_u")
         .filter(_alike("s1", "s2", "p1", "p2"))
-        .select("u", "v")
     )
-    return exhaustive, apart.filter("not few").select("path", "tree", "set_key")
+
+
+def _open(members: DataFrame, ends: DataFrame | None, level: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of small leaves, then members of larger leaves and of nodes that branch.
+
+    Nodes halve at least from level to level, so a deeper leaf may have twice as many
+    members. That keeps the tree short.
+    """
+    rows = stored(_rooted(members, ends, "set_key", "root"), "path-rooted")
+    nodes = rows.groupBy("path", "tree").agg(
+        F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    nodes = stored(nodes.filter("low != high").select("path", "tree", "size"), "path-sizes")
+    rows = rows.select("path", "tree", "set_key", "root", "s1", "s2")
+    rows = stored(rows.join(nodes.hint("merge"), ["path", "tree"]), "path-open")
+    small = _across(rows.filter(F.col("size") <= FEW), ["path", "tree"]).select("u", "v")
+    leaf = F.col("size") <= LEAF * 2**level
+    return small, rows.filter((F.col("size") > FEW) & leaf), rows.filter(~leaf).select("path", "tree", "set_key")
+
+
+_SLICE_DDL = "slice string, keys binary, sizes binary, shingles binary"
+
+
+def _sliced(texts: DataFrame) -> DataFrame:
+    """The sets of ``texts``, some SLICE shingles in a row, one set after another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, keys, sets = shingles.WordHashes(), [], []
+
+        def row() -> pa.RecordBatch:
+            sizes = np.array([len(s) for s in sets], "<i8").tobytes()
+            made = [keys[0].hex(), b"".join(keys), sizes, np.concatenate(sets).tobytes()]
+            kinds = [pa.string(), pa.binary(), pa.binary(), pa.binary()]
+            made = [pa.array([m], k) for m, k in zip(made, kinds)]
+            return pa.RecordBatch.from_arrays(made, names=["slice", "keys", "sizes", "shingles"])
+
+        size = 0
+        for batch in batches:
+            for key, text in zip(batch["set_key"].to_pylist(), batch["text"]):
+                keys.append(key)
+                sets.append(shingles.shingle_set(text.as_py(), hashes))
+                size += len(sets[-1])
+                if size > SLICE:
+                    yield row()
+                    keys, sets, size = [], [], 0
+        if keys:
+            yield row()
+
+    return texts.select("set_key", "text").mapInArrow(run, _SLICE_DDL)
+
+
+def _shared_counts(slices: DataFrame) -> DataFrame:
+    """(slice, shingles, counts): each slice's shingles that several sets have, and how many.
+
+    A slice counts its own first, so a shingle of very many sets is sent once a slice.
+    """
+    buckets = int(slices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, raw in zip(batch["slice"].to_pylist(), batch["shingles"].to_pylist()):
+                found, counts = np.unique(np.frombuffer(raw, np.uint64), return_counts=True)
+                bucket = (found % np.uint64(buckets)).astype(np.int32)
+                by = np.argsort(bucket, kind="stable")
+                parts = np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket[p[0]] for p in parts], pa.int32()),
+                        pa.array([name] * len(parts)),
+                        pa.array([found[p].tobytes() for p in parts], pa.binary()),
+                        pa.array([counts[p].astype("<i8").tobytes() for p in parts], pa.binary()),
+                    ],
+                    names=["bucket", "slice", "shingles", "counts"],
+                )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+            parts = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+            counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows])
+            _, which = np.unique(np.concatenate(parts), return_inverse=True)
+            total = np.zeros(which.max() + 1, np.int64)
+            np.add.at(total, which, counts)
+            total = np.split(total[which], np.cumsum([len(p) for p in parts])[:-1])
+            several = [t > 1 for t in total]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r["slice"] for r in rows]),
+                    pa.array([p[m].tobytes() for p, m in zip(parts, several)], pa.binary()),
+                    pa.array([t[m].tobytes() for t, m in zip(total, several)], pa.binary()),
+                ],
+                names=["slice", "shingles", "counts"],
+            )
+
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and row["bucket"] != held[0]["bucket"]:
+                    yield from flush(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from flush(held)
+
+    sent = slices.select("slice", "shingles").mapInArrow(
+        local, "bucket int, slice string, shingles binary, counts binary"
+    )
+    placed = sent.repartition("bucket").sortWithinPartitions("bucket")
+    return placed.mapInArrow(meet, "slice string, shingles binary, counts binary")
+
+
+def _profiles(keys: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(set_key, n, common, shingles, rest) of those of ``keys`` that can have a link.
+
+    ``common`` is the mean number of sets that have a shingle of the set. ``shingles`` are the
+    rarest of the set that others have too, and ``rest`` how many of the set are no rarer.
+    At least one of them is in the intersection with any set that it links to.
+    """
+    slices = stored(_sliced(texts.join(keys.hint("merge"), "set_key")), "path-slices")
+    several = _shared_counts(slices).groupBy("slice").agg(
+        F.collect_list(F.struct("shingles", "counts")).alias("several")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys = [row["keys"][i : i + 16] for i in range(0, len(row["keys"]), 16)]
+                sizes, found = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["shingles"], np.uint64)
+                known = np.concatenate([np.frombuffer(x["shingles"], np.uint64) for x in row["several"]])
+                counts = np.concatenate([np.frombuffer(x["counts"], np.int64) for x in row["several"]])
+                by = np.argsort(known)
+                known, counts = np.append(known[by], found[:1]), np.append(counts[by], 1)
+                at = np.searchsorted(known[:-1], found)
+                sets = np.where(known[at] == found, counts[at], 1)
+                out = []
+                for key, n, end in zip(keys, sizes, np.cumsum(sizes)):
+                    own, often = found[end - n : end], sets[end - n : end]
+                    order = np.lexsort((own, often))
+                    rest = n - np.arange(n)
+                    keep = (often[order] > 1) & (100 * rest >= percent * n)
+                    if keep.any():
+                        out.append((key, n, often.mean(), own[order][keep].view(np.int64), rest[keep]))
+                kinds = [pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                columns = zip(*out) if out else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), k) for c, k in zip(columns, kinds)],
+                    names=["set_key", "n", "common", "shingles", "rest"],
+                )
+
+    ddl = "set_key binary, n bigint, common double, shingles array<bigint>, rest array<bigint>"
+    return stored(slices.join(several.hint("merge"), "slice").mapInArrow(run, ddl), "path-profiles")
+
+
+def _central_pairs(leaves: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(u, v): each member of a leaf that can have a link and the one with the most common shingles."""
+    rows = stored(leaves.join(profiles.select("set_key", "common").hint("merge"), "set_key"), "path-leaves")
+    most = rows.groupBy("path", "tree").agg(F.max(F.struct("common", "set_key", "root", "s1", "s2")).alias("most"))
+    most = most.select(
+        "path", "tree", F.col("most.set_key").alias("v"), F.col("most.root").alias("root_v"),
+        F.col("most.s1").alias("p1"), F.col("most.s2").alias("p2"),
+    )
+    near = rows.join(most.hint("merge"), ["path", "tree"]).filter("root != root_v")
+    return near.filter(_alike("s1", "s2", "p1", "p2")).select(F.col("set_key").alias("u"), "v")
+
+
+def _rare_pairs(leaves: DataFrame, profiles: DataFrame, ends: DataFrame | None, percent: int) -> DataFrame:
+    """(u, v): pairs of different components that share a shingle among the rarest of both.
+
+    In one order of all shingles, the first one that two sets share has the whole
+    intersection behind it on either side; a link needs percent / (100 + percent) of
+    both sizes together there.
+    """
+    sketches = leaves.groupBy("set_key").agg(F.first("s1").alias("s1"), F.first("s2").alias("s2"))
+    rows = profiles.join(sketches.hint("merge"), "set_key")
+    rows = _rooted(rows, ends, "set_key", "root")
+    rows = rows.select(
+        "set_key", "root", "s1", "s2", "n", F.explode(F.arrays_zip("shingles", "rest")).alias("at")
+    ).select("set_key", "root", "s1", "s2", "n", F.col("at.shingles").alias("shingle"), F.col("at.rest").alias("rest"))
+    pairs = _across(stored(rows, "path-rare"), ["shingle"], "n", "rest")
+    enough = (100 + percent) * F.least("rest", "p_rest") >= percent * (F.col("n") + F.col("p_n"))
+    return pairs.filter(enough).select("u", "v")
 
 
 def _candidates(pairs: DataFrame, sets: DataFrame, tested: DataFrame | None, percent: int) -> DataFrame:
@@ -342,7 +513,11 @@ def _linked(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percen
             if exhaustive is not None:
                 pairs, exhaustive = pairs.unionByName(exhaustive), None
             compare(pairs)
-        exhaustive, large = _open(members, ends, level)
+        exhaustive, leaves, large = _open(members, ends, level)
+        if not leaves.isEmpty():
+            profiles = _profiles(leaves.select("set_key").distinct(), texts, percent)
+            compare(exhaustive.unionByName(_central_pairs(leaves, profiles)))
+            exhaustive = _rare_pairs(leaves, profiles, ends, percent)
         if large.isEmpty():
             break
         level, rounds = level + 1, ["true"]

@@ -129,6 +129,44 @@ def test_near_large_group_that_must_branch(spark):
     assert _order(map(tuple, found)) == _order(_components(rows))
 
 
+def _family(near, far):
+    """Texts with one changed word in 100, and with three: those do not link to any."""
+    import random
+
+    rng = random.Random(8)
+    base = prose(30, 100).split()
+    rows = []
+    for i in range(near + far):
+        words = list(base)
+        for at in rng.sample(range(5, 95), 1) if i < near else (10 + i % 15, 40 + i % 15, 70 + i % 15):
+            words[at] = f"w{i}x{at}"
+        rows.append((i, " ".join(words), None, None, None))
+    return rows
+
+
+def test_near_large_group_makes_few_pairs(spark, monkeypatch):
+    """Outsiders of a family meet none of its members once these are connected."""
+    made, candidates = [], chosen_path._candidates
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return candidates(pairs, *rest)
+
+    monkeypatch.setattr(chosen_path, "_candidates", counted)
+    rows = _family(110, 70)
+    found = chosen_path.groups(table(spark, rows)).select("id", "n_shingles", "component_id").collect()
+    assert _order(map(tuple, found)) == _order(_components(rows))
+    assert sum(made) < 24 * len(rows)
+
+
+def test_near_leaves_that_branch(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "FEW", 4)
+    monkeypatch.setattr(chosen_path, "LEAF", 16)
+    rows = _family(40, 30)
+    found = chosen_path.groups(table(spark, rows)).select("id", "n_shingles", "component_id").collect()
+    assert _order(map(tuple, found)) == _order(_components(rows))
+
+
 def test_near_keep_one(spark):
     docs = table(spark, schema=CLASHING)
     kept = chosen_path.keep_one(docs)
