@@ -218,7 +218,7 @@ def expected_counts(
     for t in range(lengths[0]):
         n = live[t]
         tokens.append(stream[begins[:n] + t])
-        emitted = model.emit[tokens[t]]
+        emitted = model.emit.take(tokens[t], 0)
         if t == 0:
             ahead = np.where(first[:, None], model.begin, model.inside)
         else:
@@ -315,7 +315,7 @@ def forward(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     for t in range(lengths[0]):
         n = live[t]
         ahead = alpha[:n] if t == 0 else alpha[:n] @ model.step
-        joint = ahead * model.emit[stream[begin[:n] + t]]
+        joint = ahead * model.emit.take(stream[begin[:n] + t], 0)
         scale = joint.sum(1)
         likelihood[:n] += np.log10(scale)
         alpha = joint / scale[:, None]
